@@ -74,11 +74,11 @@ def normalize_answer(c: Column | str) -> Column:
         (r"\\[dt]frac(?![a-zA-Z])", r"\\frac"),
         (r"\\[()\[\]]|\$|[\s\x{a0}]+", ""),
         (r"\.$", ""),
+        # A comma goes only if everything around it is one grouped number (at most 30 groups in front of it).
+        (r"(?<=\A[+-]?\d{1,3}(?:,\d{3}){0,30}),(?=\d{3}(?:,\d{3})*(?:\.\d+)?\z)", ""),
     ]
     for pattern, replacement in steps:
         c = F.regexp_replace(c, pattern, replacement)
-    number = c.rlike(r"\A[+-]?\d{1,3}(?:,\d{3})+(?:\.\d+)?\z")
-    c = F.when(number, F.replace(c, F.lit(","), F.lit(""))).otherwise(c)
     return F.nullif(c, F.lit(""))
 
 
@@ -117,18 +117,15 @@ def answers_match(pred_norm: Column, gold_norm: Column, pred_value: Column, gold
 
 
 def with_grading(df: DataFrame, content: str = "content", gold: str = "solution") -> DataFrame:
-    """Add ``gold_norm``, ``pred_norm`` and ``is_correct`` once; every graded reward reads these columns."""
-    return (
-        df.withColumn("gold_norm", normalize_gold(gold))
-        .withColumn("pred_norm", normalize_answer(boxed_answer(content)))
-        .withColumn("_gold_value", numeric_value("gold_norm"))
-        .withColumn("_pred_value", numeric_value("pred_norm"))
-        .withColumn(
-            "is_correct",
-            answers_match(F.col("pred_norm"), F.col("gold_norm"), F.col("_pred_value"), F.col("_gold_value")),
-        )
-        .drop("_gold_value", "_pred_value")
-    )
+    """Add ``gold_norm``, ``pred_norm`` and ``is_correct`` once; every graded reward reads these columns.
+
+    Each regex chain is bound as a column before something reads it twice.
+    """
+    parsed = df.withColumns(
+        {"gold_norm": normalize_gold(gold), "pred_norm": normalize_answer(boxed_answer(content))}
+    ).withColumns({"_gold_value": numeric_value("gold_norm"), "_pred_value": numeric_value("pred_norm")})
+    match = answers_match(F.col("pred_norm"), F.col("gold_norm"), F.col("_pred_value"), F.col("_gold_value"))
+    return parsed.select(*df.columns, "gold_norm", "pred_norm", match.alias("is_correct"))
 
 
 def with_multi_gold(df: DataFrame, content: str, golds: str, out: str = "score") -> DataFrame:

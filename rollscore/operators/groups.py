@@ -32,7 +32,7 @@ def with_len_reward(
     scaled = F.lit(0.5) - (F.col("_len") - F.col("_min_len")) / span
     correct = F.col("gold_norm").isNull() | F.col("is_correct")
     reward = F.when(span == 0, F.lit(0.0)).when(correct, scaled).otherwise(F.least(F.lit(0.0), scaled))
-    return joined.withColumn(out, reward).drop("_len", "_min_len", "_max_len")
+    return joined.select(*df.columns, reward.alias(out))
 
 
 def with_group_advantage(
@@ -45,11 +45,10 @@ def with_group_advantage(
     **bounds: int,
 ) -> DataFrame:
     """(reward - group mean) / (group sample deviation + eps); a single-row group has deviation 0."""
-    stats = {"_mean": F.avg(reward), "_std": F.coalesce(F.stddev_samp(reward), F.lit(0.0))}
+    stats = {"_mean": F.avg(reward), "_std": F.stddev_samp(reward)}
     joined = attach_group_stats(df, group, row_id, stats, **bounds)
-    return joined.withColumn(out, (F.col(reward) - F.col("_mean")) / (F.col("_std") + F.lit(eps))).drop(
-        "_mean", "_std"
-    )
+    scale = F.coalesce("_std", F.lit(0.0)) + F.lit(eps)
+    return joined.select(*df.columns, ((F.col(reward) - F.col("_mean")) / scale).alias(out))
 
 
 def reward_summary(df: DataFrame, rewards: Sequence[str], by: Sequence[str] = ("step",)) -> DataFrame:

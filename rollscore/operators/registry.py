@@ -35,11 +35,19 @@ class RewardConfig:
     bounds: dict[str, int] = field(default_factory=dict)
 
 
-Adder = Callable[[DataFrame, RewardConfig, str], DataFrame]
+@dataclass(frozen=True)
+class ByColumn:
+    """A reward that is one expression over the row."""
 
+    build: Callable[[RewardConfig], Column]
 
-def _column(build: Callable[[RewardConfig], Column]) -> Adder:
-    return lambda df, cfg, out: df.withColumn(out, build(cfg))
+
+@dataclass(frozen=True)
+class ByTable:
+    """A reward that needs helper columns or statistics of its group."""
+
+    add: Callable[[DataFrame, RewardConfig, str], DataFrame]
+    grouped: bool = False
 
 
 def _cosine(cfg: RewardConfig) -> Column:
@@ -61,23 +69,23 @@ def _length(df: DataFrame, cfg: RewardConfig, out: str) -> DataFrame:
     return with_len_reward(df, cfg.group, cfg.row_id, cfg.content, out, **cfg.bounds)
 
 
-REGISTRY: dict[str, Adder] = {
-    "accuracy": _column(lambda cfg: R.accuracy_reward()),
-    "format": _column(lambda cfg: R.format_reward(cfg.content)),
-    "reasoning_steps": _column(lambda cfg: R.reasoning_steps_reward(cfg.content)),
-    "cosine": _column(_cosine),
-    "repetition_penalty": _repetition,
-    "length": _length,
-    "code": _column(lambda cfg: F.col("code_reward")),
-    "code_format": _column(lambda cfg: R.code_format_reward(cfg.content, cfg.code_language)),
-    "tag_count": _column(lambda cfg: R.tag_count_reward(cfg.content)),
+REGISTRY: dict[str, ByColumn | ByTable] = {
+    "accuracy": ByColumn(lambda cfg: R.accuracy_reward()),
+    "format": ByColumn(lambda cfg: R.format_reward(cfg.content)),
+    "reasoning_steps": ByColumn(lambda cfg: R.reasoning_steps_reward(cfg.content)),
+    "cosine": ByColumn(_cosine),
+    "repetition_penalty": ByTable(_repetition),
+    "length": ByTable(_length, grouped=True),
+    "code": ByColumn(lambda cfg: F.col("code_reward")),
+    "code_format": ByColumn(lambda cfg: R.code_format_reward(cfg.content, cfg.code_language)),
+    "tag_count": ByColumn(lambda cfg: R.tag_count_reward(cfg.content)),
 }
 GRADED = {"accuracy", "cosine", "length"}
 
 
 def register(name: str, build: Callable[[], Column]) -> None:
     """Add a reward of your own: ``build`` returns a Column expression, or a pandas_udf call on columns."""
-    REGISTRY[name] = _column(lambda cfg: build())
+    REGISTRY[name] = ByColumn(lambda cfg: build())
 
 
 def add_rewards(
@@ -89,11 +97,17 @@ def add_rewards(
     all graded rewards.
     """
     cfg = config or RewardConfig()
-    adders = [(n, REGISTRY[n]) for n in names]
+    chosen = {n: REGISTRY[n] for n in names}
     if GRADED & set(names) and "is_correct" not in df.columns:
         df = with_grading(df, cfg.content, cfg.gold)
-    for name, add in adders:
-        df = add(df, cfg, f"reward_{name}")
+    # Row-local rewards first: whatever reads the text is done before the group shuffle, which then need not carry it.
+    tables = sorted(((n, r) for n, r in chosen.items() if isinstance(r, ByTable)), key=lambda nr: nr[1].grouped)
+    local = [(n, r) for n, r in tables if not r.grouped]
+    for name, reward in local:
+        df = reward.add(df, cfg, f"reward_{name}")
+    df = df.withColumns({f"reward_{n}": r.build(cfg) for n, r in chosen.items() if isinstance(r, ByColumn)})
+    for name, reward in tables[len(local) :]:
+        df = reward.add(df, cfg, f"reward_{name}")
     return df
 
 

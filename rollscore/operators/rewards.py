@@ -48,19 +48,11 @@ def with_repetition_penalty(
     """
     if max_penalty > 0:
         raise ValueError(f"max_penalty {max_penalty} must not be positive")
-    return (
-        df.withColumn("_words", py_split(F.lower(content)))
-        .withColumn("_grams", F.when(F.size("_words") >= n, ngrams("_words", n)))
-        .withColumn("_distinct", F.size(F.array_distinct("_grams")))
-        .withColumn(
-            out,
-            F.when(
-                F.col("_grams").isNotNull(),
-                (F.lit(1.0) - F.col("_distinct") / F.size("_grams")) * F.lit(float(max_penalty)),
-            ).otherwise(F.lit(0.0)),
-        )
-        .drop("_words", "_grams", "_distinct")
-    )
+    words = df.withColumn("_words", py_split(F.lower(content)))
+    grams = words.withColumn("_grams", F.when(F.size("_words") >= n, ngrams("_words", n)))
+    repeated = F.lit(1.0) - F.size(F.array_distinct("_grams")) / F.size("_grams")
+    penalty = F.when(F.col("_grams").isNotNull(), repeated * F.lit(float(max_penalty))).otherwise(F.lit(0.0))
+    return grams.select(*df.columns, penalty.alias(out))
 
 
 def accuracy_reward(gold_norm: Column | str = "gold_norm", is_correct: Column | str = "is_correct") -> Column:

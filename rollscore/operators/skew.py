@@ -16,77 +16,106 @@ from pyspark.sql import functions as F
 HOT_ROWS = 100_000
 # At most this many groups are broadcast. Any group left out holds less than 1/HOT_KEYS of all rows, because at least
 # HOT_KEYS groups are as large as it, so the ordinary shuffle of the rest is balanced.
-HOT_KEYS = 1_000
+HOT_KEYS = 10_000
 # Rows of hot groups are spread over this many extra join keys.
 SPREAD = 1_024
 
 
+def _largest(sizes: DataFrame, keys: Sequence[str], hot_rows: int, hot_keys: int) -> DataFrame:
+    """The largest groups: above ``hot_rows`` rows each, and at most ``hot_keys`` of them."""
+    return sizes.where(F.col("_rows") > hot_rows).orderBy(F.desc("_rows"), *keys).limit(hot_keys)
+
+
+def _equal(keys: Sequence[str], left: str, right: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(left + k).eqNullSafe(F.col(right + k)) for k in keys])
+
+
+def _renamed(df: DataFrame, keys: Sequence[str], prefix: str, row: str, payload: Sequence[str]) -> DataFrame:
+    packed = F.struct(F.lit(True).alias("hit"), *payload).alias(row)
+    return df.select(*[F.col(k).alias(prefix + k) for k in keys], packed)
+
+
+def _hot_keys(
+    df: DataFrame, keys: Sequence[str], hot_rows: int | None, hot_keys: int | None
+) -> DataFrame:
+    """Keys of the hot groups of ``df`` as ``_h_<key>``. Only the key columns are read for this."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    largest = _largest(
+        sizes, keys, HOT_ROWS if hot_rows is None else hot_rows, HOT_KEYS if hot_keys is None else hot_keys
+    )
+    return largest.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
+
+
+def _salt(is_hot: Column, spread_on: Sequence[str]) -> Column:
+    """0 for ordinary rows; rows of hot groups get one of many values, so their shuffle key spreads them."""
+    spread = F.pmod(F.xxhash64(*spread_on), F.lit(SPREAD)).cast("int") + 1
+    return F.when(is_hot, spread).otherwise(F.lit(0))
+
+
 def attach_by_key(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
     spread_on: Sequence[str],
-    sizes: DataFrame | None = None,
     hot_rows: int | None = None,
     hot_keys: int | None = None,
 ) -> DataFrame:
-    """Left outer join of ``left`` with a ``right`` that has at most one row per key.
+    """Left outer join of ``left`` with a ``right`` that has at most one row per key; adds ``_matched``.
 
-    ``sizes`` gives rows per key of ``left`` as column ``_rows`` (computed if absent). Groups above ``hot_rows``, at
-    most ``hot_keys`` of them, find their partner row in a broadcast table of that bounded size; their rows join under
-    random extra keys, hence spread over all tasks. All other rows take an ordinary shuffle join, with no size
-    assumption on ``right``. Null keys match each other. Row order is not kept.
+    Groups of ``left`` above ``hot_rows`` rows, at most ``hot_keys`` of them, find their partner row in a broadcast
+    table of that bounded size; their rows pass the shuffle under random extra keys. All other rows take an ordinary
+    shuffle join, with no size assumption on ``right``. Null keys match each other. Row order is not kept.
     """
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    hot_keys = HOT_KEYS if hot_keys is None else hot_keys
     keys = list(keys)
     payload = [c for c in right.columns if c not in keys]
-    if sizes is None:
-        sizes = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-
-    hot = sizes.where(F.col("_rows") > hot_rows).orderBy(F.desc("_rows"), *keys).limit(hot_keys).select(*keys)
-    hot = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
-    match_hot = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
-    # Bounded by hot_keys rows on both sides of this join.
-    hot_right = right.join(F.broadcast(hot), match_hot, "left_semi")
-    hot_right = hot_right.select(
-        *[F.col(k).alias(f"_p_{k}") for k in keys], F.struct(F.lit(True).alias("hit"), *payload).alias("_hot_row")
+    names = _hot_keys(left, keys, hot_rows, hot_keys)
+    # Both tables of this inner step are bounded by hot_keys rows.
+    partners = right.join(F.broadcast(names), _equal(keys, "", "_h_"), "left_semi")
+    partners = _renamed(partners, keys, "_p_", "_hot_row", payload)
+    hot = names.join(F.broadcast(partners), _equal(keys, "_h_", "_p_"), "left").select(
+        *names.columns, "_hot_row", F.lit(True).alias("_is_hot")
     )
-    on_partner = reduce(lambda a, b: a & b, [F.col(f"_h_{k}").eqNullSafe(F.col(f"_p_{k}")) for k in keys])
-    hot_table = hot.join(F.broadcast(hot_right), on_partner, "left").select(
-        *[f"_h_{k}" for k in keys], "_hot_row", F.lit(True).alias("_is_hot")
-    )
-
-    marked = left.join(F.broadcast(hot_table), match_hot, "left").drop(*[f"_h_{k}" for k in keys])
-    spread = F.when(F.col("_is_hot"), F.pmod(F.xxhash64(*spread_on), F.lit(SPREAD)) + 1).otherwise(F.lit(0))
-    marked = marked.withColumn("_salt", spread.cast("int"))
-    cold = right.select(
-        *[F.col(k).alias(f"_c_{k}") for k in keys],
-        F.lit(0).alias("_c_salt"),
-        F.struct(F.lit(True).alias("hit"), *payload).alias("_cold_row"),
-    )
-    on_cold = reduce(
-        lambda a, b: a & b,
-        [F.col("_salt") == F.col("_c_salt")] + [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in keys],
-    )
-    joined = marked.join(cold, on_cold, "left").withColumn("_row", F.coalesce("_hot_row", "_cold_row"))
+    marked = left.join(F.broadcast(hot), _equal(keys, "", "_h_"), "left")
+    marked = marked.withColumn("_salt", _salt(F.col("_is_hot"), spread_on))
+    cold = _renamed(right, keys, "_c_", "_cold_row", payload).withColumn("_c_salt", F.lit(0))
+    joined = marked.join(cold, _equal(keys, "", "_c_") & (F.col("_salt") == F.col("_c_salt")), "left")
+    row = F.coalesce("_hot_row", "_cold_row")
     return joined.select(
         *left.columns,
-        *[F.col(f"_row.{c}").alias(c) for c in payload],
-        F.coalesce(F.col("_row.hit"), F.lit(False)).alias("_matched"),
+        *[row[c].alias(c) for c in payload],
+        F.coalesce(row["hit"], F.lit(False)).alias("_matched"),
     )
 
 
 def attach_group_stats(
-    df: DataFrame, keys: Sequence[str], spread_on: Sequence[str], stats: dict[str, Column], **bounds: int
+    df: DataFrame,
+    keys: Sequence[str],
+    spread_on: Sequence[str],
+    stats: dict[str, Column],
+    hot_rows: int | None = None,
+    hot_keys: int | None = None,
 ) -> DataFrame:
-    """Add group aggregates to every row: map-side partial aggregation, then a skew-safe join back.
+    """Add group aggregates to every row without ever holding a hot group in one task.
 
-    Replaces ``agg() over (partition by keys)``, which would sort a whole hot group in one task.
+    Ordinary groups use a window: one pass over the rows, one shuffle. Groups above ``hot_rows`` rows, at most
+    ``hot_keys`` of them, are aggregated with map-side combine and their few result rows broadcast; their rows pass the
+    window's shuffle under random extra keys. Without such groups that second branch is empty and is not run.
     """
-    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *[c.alias(n) for n, c in stats.items()])
-    right = grouped.select(*keys, *stats)
-    return attach_by_key(df, right, keys, spread_on, sizes=grouped.select(*keys, "_rows"), **bounds).drop("_matched")
+    keys = list(keys)
+    names = _hot_keys(df, keys, hot_rows, hot_keys)
+    hot = (
+        df.join(F.broadcast(names), _equal(keys, "", "_h_"), "left_semi")
+        .groupBy(*keys)
+        .agg(*[c.alias(n) for n, c in stats.items()])
+    )
+    hot = _renamed(hot, keys, "_h_", "_hot_row", list(stats))
+    marked = df.join(F.broadcast(hot), _equal(keys, "", "_h_"), "left")
+    marked = marked.withColumn("_salt", _salt(F.col("_hot_row").isNotNull(), spread_on))
+    group = Window.partitionBy(*keys, "_salt")
+    is_hot = F.col("_hot_row").isNotNull()
+    return marked.select(
+        *df.columns, *[F.when(is_hot, F.col("_hot_row")[n]).otherwise(c.over(group)).alias(n) for n, c in stats.items()]
+    )
 
 
 def hash_ordinal(df: DataFrame, digest: Column, tie: Sequence[str], out: str, prefix: int = 4) -> DataFrame:

@@ -63,7 +63,7 @@ with w as (
   select {key}, len(words) as n, case when len(words) >= 3 then list_transform(range(1, len(words) - 1),
     lambda i: concat(words[i], ' ', words[i + 1], ' ', words[i + 2])) end as grams from w
 )
-select {key}, n as n_words, {r("case when n < 3 then 0.0::double else "
+select {key}, {r("case when n < 3 then 0.0::double else "
     "(1.0::double - len(list_distinct(grams)) / len(grams)::double) * -1.0::double end")} as repetition_penalty
 from g
 """
@@ -87,23 +87,17 @@ def reasoning_steps_reward(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("repetition_penalty", repetition_sql("documents", "doc_id", "text"))
 def repetition_penalty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..functions.text import py_split
-
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", spread=True)
     return R.with_repetition_penalty(docs, "text").select(
         "doc_id",
-        F.size(py_split(F.lower("text"))).cast("bigint").alias("n_words"),
         rounded("repetition_penalty").alias("repetition_penalty"),
     )
 
 
 @query("repetition_penalty_completions", repetition_sql(f"({C})", "completion_id", "content"))
 def repetition_penalty_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..functions.text import py_split
-
     return R.with_repetition_penalty(I.completions(spark, sf_dir)).select(
         "completion_id",
-        F.size(py_split(F.lower("content"))).cast("bigint").alias("n_words"),
         rounded("repetition_penalty").alias("repetition_penalty"),
     )
 
