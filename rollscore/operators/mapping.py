@@ -20,17 +20,6 @@ def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema:
     return df.mapInPandas(run, schema)
 
 
-def _call(client: Callable[[list[str]], Sequence[str]], prompts: list[str], retries: int, pause: float):
-    for attempt in range(retries + 1):
-        try:
-            return list(client(prompts)), None
-        except Exception as error:
-            failure = f"{type(error).__name__}: {error}"
-            if attempt < retries:
-                time.sleep(pause * 2**attempt)
-    return [None] * len(prompts), failure
-
-
 def external_step(
     requests: DataFrame,
     make_client: Callable[[], Callable[[list[str]], Sequence[str]]],
@@ -43,16 +32,28 @@ def external_step(
     """Send requests to a user-supplied client in batches and add ``text`` and ``error``.
 
     ``replicas`` partitions call at the same time; each makes its own client once (the client brings its own timeout).
-    A batch that still fails after the retries keeps its rows, with a null text and the error message.
+    A batch that still fails after the retries keeps its rows, with a null text and the error message. The functions
+    sent to the executors are closures, so nothing but pandas has to be installed there.
     """
 
+    def ask(client: Callable[[list[str]], Sequence[str]], prompts: list[str]) -> tuple[list, str | None]:
+        failure = None
+        for attempt in range(retries + 1):
+            try:
+                return list(client(prompts)), None
+            except Exception as error:
+                failure = f"{type(error).__name__}: {error}"
+                if attempt < retries:
+                    time.sleep(pause * 2**attempt)
+        return [None] * len(prompts), failure
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = None
         for batch in batches:
             client = client or make_client()
             for at in range(0, len(batch), batch_rows):
                 part = batch.iloc[at : at + batch_rows]
-                texts, failure = _call(client, part[prompt].tolist(), retries, pause)
+                texts, failure = ask(client, part[prompt].tolist())
                 yield part.assign(text=texts, error=failure)
 
     schema = T.StructType(

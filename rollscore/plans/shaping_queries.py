@@ -475,9 +475,13 @@ def row_map_function_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_rows(events, convert, "event_id bigint, label string, twice double")
 
 
-def echo_client():
-    """Stand-in for a model server: answers with the length of the prompt."""
-    return lambda prompts: [f"{len(p)} characters" for p in prompts]
+def echo_server():
+    """Stand-in for a model server: its clients answer with the length of the prompt."""
+
+    def make_client():
+        return lambda prompts: [f"{len(p)} characters" for p in prompts]
+
+    return make_client
 
 
 @query(
@@ -487,7 +491,7 @@ def echo_client():
 )
 def external_step_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = S.generation_requests(problems(spark, sf_dir).select("row_id", "problem"), "problem")
-    answered = external_step(requests.select("row_id", "instruction"), echo_client, replicas=4)
+    answered = external_step(requests.select("row_id", "instruction"), echo_server(), replicas=4)
     return answered
 
 
@@ -498,7 +502,7 @@ def external_step_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def generate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     prompts = problems(spark, sf_dir).select("row_id", "problem")
-    out = generate(prompts, "row_id", "problem", echo_client, generations=3, replicas=4, temperature=0.6)
+    out = generate(prompts, "row_id", "problem", echo_server(), generations=3, replicas=4, temperature=0.6)
     return out.select(
         "row_id",
         "part",
