@@ -27,6 +27,10 @@ FOREIGN_SCRIPTS = {
     "greek": [(0x0370, 0x03FF)],
 }
 
+# LaTeX that is ignored by the language check. Math spans and environments, then single commands.
+LATEX_SPANS = r"(?s)\$[^$]*+\$|\\\(.*?\\\)|\\\[.*?\\\]|\\begin\{.*?\}.*?\\end\{.*?\}"
+LATEX_COMMANDS = r"\\[a-zA-Z]++(?:\{[^{}]*+\})*+"
+
 
 def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -84,14 +88,20 @@ def foreign_class() -> str:
             runs[-1][1] = code
         else:
             runs.append([code, code])
-    return "[" + "".join(f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for lo, hi in runs) + "]"
+
+    def spans(pairs: list[list[int]]) -> str:
+        return "".join(f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for lo, hi in pairs)
+
+    # The class is an intersection whose first half is small, so that Latin text fails it at once.
+    low = [r for r in runs if r[1] < 0x370]
+    return f"[{spans([*low, [0x370, 0x10FFFF]])}&&[{spans(runs)}]]"
 
 
 def without_latex(c: Column | str) -> Column:
     """Drop math spans and environments first, then remaining commands with their brace arguments."""
-    spans = r"(?s)\$[^$]*+\$|\\\(.*?\\\)|\\\[.*?\\\]|\\begin\{.*?\}.*?\\end\{.*?\}"
-    commands = r"\\[a-zA-Z]++(?:\{[^{}]*+\})*+"
-    return F.regexp_replace(F.regexp_replace(as_col(c), spans, ""), commands, "")
+    c = as_col(c)
+    stripped = F.regexp_replace(F.regexp_replace(c, LATEX_SPANS, ""), LATEX_COMMANDS, "")
+    return F.when(c.contains("\\") | c.contains("$"), stripped).otherwise(c)
 
 
 def is_non_english(c: Column | str) -> Column:

@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions.text import as_col, count_substring, is_non_english, ngrams, py_split, py_strip
 
-# Tags and the step markers that the rewards look for.
+# Tags, step markers and the code answer layout that the rewards look for.
 OPEN_THINK = "<think>\n"
 CLOSE_THINK = "\n</think>\n"
 STEP_MARKERS = r"(Step \d+:|^\d+\.|\n-|\n\*|First,|Second,|Next,|Finally,)"
 STEPS_FOR_FULL_REWARD = 3
+ANSWER_START = "\n</think>\n<answer>\n"
+ANSWER_END = "\n</answer>"
+FENCE = "```"
 
 
 def _one_if(cond: Column, value: float = 1.0) -> Column:
@@ -86,13 +89,24 @@ def cosine_scaled_reward(
     )
 
 
+def _past(needle: str, c: Column, start: Column) -> Column:
+    """Position right after the first ``needle`` at or behind ``start``; null without one."""
+    return F.nullif(F.position(F.lit(needle), c, start), F.lit(0)) + F.lit(len(needle))
+
+
 def code_format_reward(content: Column | str, language: str = "python") -> Column:
     """1.0 iff the text opens with a think block followed by an answer block holding a fenced ``language`` block.
 
-    The closing answer tag must end a line; more lines may follow.
+    The closing answer tag must end a line; more lines may follow. Taking the first occurrence of each part in turn
+    leaves the most room for the next one, so a chain of linear searches decides it without a backtracking regex.
     """
-    body = rf"<think>\n.*?\n</think>\n<answer>\n.*?```{language}.*?```.*?\n</answer>$"
-    return _one_if(as_col(content).rlike(r"(?msd)\A" + body))
+    c = as_col(content)
+    at = F.lit(len(OPEN_THINK) + 1)
+    for part in (ANSWER_START, FENCE + language, FENCE):
+        at = _past(part, c, at)
+    rest = F.substring(c, at, F.length(c))
+    closed = rest.contains(ANSWER_END + "\n") | rest.endswith(ANSWER_END)
+    return _one_if(F.coalesce(c.startswith(OPEN_THINK) & closed, F.lit(False)))
 
 
 def quality_checks(df: DataFrame, content: str = "content") -> DataFrame:
@@ -126,16 +140,16 @@ def english_reward(content: Column | str) -> Column:
 
 
 def case_passes(stdout: Column, expected: Column) -> Column:
-    """Line-by-line comparison after stripping, over the shorter of the two outputs."""
-    def lines(text: Column) -> Column:
-        return F.split(text, "\n", -1)
-
-    got, want = lines(py_strip(stdout)), lines(expected)
-    shared = F.least(F.size(got), F.size(want))
-    equal = F.zip_with(
-        F.slice(got, F.lit(1), shared), F.slice(want, F.lit(1), shared), lambda a, b: py_strip(a) == py_strip(b)
+    """Line-by-line comparison after stripping, over the shorter of the two outputs.
+
+    Zipping pads the shorter side with nulls, so a null comparison marks a line that does not count. Texts that are
+    equal up to closing newlines pass without being split.
+    """
+    shown = py_strip(stdout)
+    same = F.zip_with(
+        F.split(shown, "\n", -1), F.split(expected, "\n", -1), lambda a, b: F.coalesce(py_strip(a) == py_strip(b), F.lit(True))
     )
-    return F.forall(equal, lambda ok: ok)
+    return F.when(shown == F.rtrim(expected, F.lit("\n")), F.lit(True)).otherwise(F.forall(same, lambda ok: ok))
 
 
 def code_pass_rate(completions: DataFrame, runs: DataFrame, key: str = "completion_id") -> DataFrame:

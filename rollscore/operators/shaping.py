@@ -188,7 +188,6 @@ def pack_sequences(
     sized = (
         df.select(shard.alias("shard"), row_id, F.col(tokens).alias("_t"))
         .withColumn("_n", F.size("_t"))
-        .where(F.col("_n") > 0)
         .withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0)))
     )
     first, last = F.floor(F.col("_start") / length), F.floor((F.col("_start") + F.col("_n") - 1) / length)
@@ -199,7 +198,9 @@ def pack_sequences(
         part = F.slice("_t", (begin + 1).cast("int"), (end - begin).cast("int"))
         return F.struct(row.alias("row"), F.col("_start").alias("at"), part.alias("tokens"))
 
-    pieces = sized.select("shard", F.explode(F.transform(F.sequence(first, last), piece)).alias("p"))
+    # Empty rows add no piece. A filter on the size would be pushed down and compute the tokens a second time.
+    rows = F.when(F.col("_n") > 0, F.sequence(first, F.greatest(first, last)))
+    pieces = sized.select("shard", F.explode(F.transform(rows, piece)).alias("p"))
     return (
         pieces.groupBy("shard", F.col("p.row").alias("packed_row"))
         .agg(F.array_sort(F.collect_list(F.struct("p.at", "p.tokens"))).alias("_pieces"))

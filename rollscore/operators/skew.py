@@ -14,42 +14,41 @@ from pyspark.sql import functions as F
 
 # A group larger than this is worth treating apart; smaller ones fit a task.
 HOT_ROWS = 100_000
-# At most this many groups are broadcast. Any group left out holds less than 1/HOT_KEYS of all rows, because at least
-# HOT_KEYS groups are as large as it, so the ordinary shuffle of the rest is balanced.
+# At most this many groups are treated apart. Any group left out holds less than 1/HOT_KEYS of all rows, because at
+# least HOT_KEYS groups are as large as it, so the ordinary shuffle of the rest is balanced.
 HOT_KEYS = 10_000
-# Rows of hot groups are spread over this many extra join keys.
-SPREAD = 1_024
-
-
-def _largest(sizes: DataFrame, keys: Sequence[str], hot_rows: int, hot_keys: int) -> DataFrame:
-    """The largest groups: above ``hot_rows`` rows each, and at most ``hot_keys`` of them."""
-    return sizes.where(F.col("_rows") > hot_rows).orderBy(F.desc("_rows"), *keys).limit(hot_keys)
 
 
 def _equal(keys: Sequence[str], left: str, right: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(left + k).eqNullSafe(F.col(right + k)) for k in keys])
 
 
-def _renamed(df: DataFrame, keys: Sequence[str], prefix: str, row: str, payload: Sequence[str]) -> DataFrame:
-    packed = F.struct(F.lit(True).alias("hit"), *payload).alias(row)
-    return df.select(*[F.col(k).alias(prefix + k) for k in keys], packed)
+def hot_groups(
+    df: DataFrame, keys: Sequence[str], hot_rows: int | None = None, hot_keys: int | None = None
+) -> DataFrame:
+    """The largest groups of ``df`` as (``_hash``, ``_salts``): a 64-bit hash of the keys, and one salt per
+    ``hot_rows`` rows.
+
+    Fixed-width rows, at most ``hot_keys`` of them, so the table is always small enough to broadcast (160 kB by
+    default), however wide the keys are. Only the key columns are read. Keys that share a hash are treated alike, which
+    costs some spreading but never changes a result.
+    """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    sizes = df.groupBy(F.xxhash64(*keys).alias("_hash")).agg(F.count(F.lit(1)).alias("_rows"))
+    largest = sizes.where(F.col("_rows") > hot_rows).orderBy(F.desc("_rows"), "_hash")
+    largest = largest.limit(HOT_KEYS if hot_keys is None else hot_keys)
+    return largest.select("_hash", F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_salts"))
 
 
-def _hot_keys(
-    df: DataFrame, keys: Sequence[str], hot_rows: int | None, hot_keys: int | None
-) -> DataFrame:
-    """Keys of the hot groups of ``df`` as ``_h_<key>``. Only the key columns are read for this."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    largest = _largest(
-        sizes, keys, HOT_ROWS if hot_rows is None else hot_rows, HOT_KEYS if hot_keys is None else hot_keys
-    )
-    return largest.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
+def with_salts(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """Add ``_salts``: how many ways the row's group is split (null for ordinary groups). A map-side join."""
+    return df.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(hot), "_hash", "left").drop("_hash")
 
 
-def _salt(is_hot: Column, spread_on: Sequence[str]) -> Column:
-    """0 for ordinary rows; rows of hot groups get one of many values, so their shuffle key spreads them."""
-    spread = F.pmod(F.xxhash64(*spread_on), F.lit(SPREAD)).cast("int") + 1
-    return F.when(is_hot, spread).otherwise(F.lit(0))
+def _one_salt(spread_on: Sequence[str]) -> Column:
+    return F.when(
+        F.col("_salts").isNotNull(), F.pmod(F.xxhash64(*spread_on), F.col("_salts").cast("bigint")).cast("int")
+    ).otherwise(F.lit(0))
 
 
 def attach_by_key(
@@ -62,28 +61,23 @@ def attach_by_key(
 ) -> DataFrame:
     """Left outer join of ``left`` with a ``right`` that has at most one row per key; adds ``_matched``.
 
-    Groups of ``left`` above ``hot_rows`` rows, at most ``hot_keys`` of them, find their partner row in a broadcast
-    table of that bounded size; their rows pass the shuffle under random extra keys. All other rows take an ordinary
-    shuffle join, with no size assumption on ``right``. Null keys match each other. Row order is not kept.
+    A salted join: rows of a hot group are split over its salts, and the one partner row is repeated once per salt. The
+    repeats come to at most rows / ``hot_rows`` + ``hot_keys`` in all, and no size of ``right`` is assumed. Null keys
+    match each other. Row order is not kept.
     """
     keys = list(keys)
     payload = [c for c in right.columns if c not in keys]
-    names = _hot_keys(left, keys, hot_rows, hot_keys)
-    # Both tables of this inner step are bounded by hot_keys rows.
-    partners = right.join(F.broadcast(names), _equal(keys, "", "_h_"), "left_semi")
-    partners = _renamed(partners, keys, "_p_", "_hot_row", payload)
-    hot = names.join(F.broadcast(partners), _equal(keys, "_h_", "_p_"), "left").select(
-        *names.columns, "_hot_row", F.lit(True).alias("_is_hot")
+    hot = hot_groups(left, keys, hot_rows, hot_keys)
+    salted = with_salts(left, keys, hot).withColumn("_salt", _one_salt(spread_on))
+    every_salt = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias("_r_salt")
+    partners = with_salts(right, keys, hot).select(
+        *[F.col(k).alias(f"_r_{k}") for k in keys], F.struct(F.lit(True).alias("hit"), *payload).alias("_row"), every_salt
     )
-    marked = left.join(F.broadcast(hot), _equal(keys, "", "_h_"), "left")
-    marked = marked.withColumn("_salt", _salt(F.col("_is_hot"), spread_on))
-    cold = _renamed(right, keys, "_c_", "_cold_row", payload).withColumn("_c_salt", F.lit(0))
-    joined = marked.join(cold, _equal(keys, "", "_c_") & (F.col("_salt") == F.col("_c_salt")), "left")
-    row = F.coalesce("_hot_row", "_cold_row")
-    return joined.select(
+    same = _equal(keys, "", "_r_") & (F.col("_salt") == F.col("_r_salt"))
+    return salted.join(partners, same, "left").select(
         *left.columns,
-        *[row[c].alias(c) for c in payload],
-        F.coalesce(row["hit"], F.lit(False)).alias("_matched"),
+        *[F.col("_row")[c].alias(c) for c in payload],
+        F.coalesce(F.col("_row")["hit"], F.lit(False)).alias("_matched"),
     )
 
 
@@ -97,24 +91,18 @@ def attach_group_stats(
 ) -> DataFrame:
     """Add group aggregates to every row without ever holding a hot group in one task.
 
-    Ordinary groups use a window: one pass over the rows, one shuffle. Groups above ``hot_rows`` rows, at most
-    ``hot_keys`` of them, are aggregated with map-side combine and their few result rows broadcast; their rows pass the
-    window's shuffle under random extra keys. Without such groups that second branch is empty and is not run.
+    Ordinary groups use a window: one pass over the rows, one shuffle. Hot groups are aggregated with map-side combine
+    and their few result rows (keys and numbers) broadcast; their rows pass the window's shuffle split over salts.
+    Without hot groups that second branch is empty and is not run.
     """
     keys = list(keys)
-    names = _hot_keys(df, keys, hot_rows, hot_keys)
-    hot = (
-        df.join(F.broadcast(names), _equal(keys, "", "_h_"), "left_semi")
-        .groupBy(*keys)
-        .agg(*[c.alias(n) for n, c in stats.items()])
-    )
-    hot = _renamed(hot, keys, "_h_", "_hot_row", list(stats))
-    marked = df.join(F.broadcast(hot), _equal(keys, "", "_h_"), "left")
-    marked = marked.withColumn("_salt", _salt(F.col("_hot_row").isNotNull(), spread_on))
-    group = Window.partitionBy(*keys, "_salt")
-    is_hot = F.col("_hot_row").isNotNull()
+    salted = with_salts(df, keys, hot_groups(df, keys, hot_rows, hot_keys))
+    hot = salted.where(F.col("_salts").isNotNull()).groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
+    hot = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.struct(*stats).alias("_hot"))
+    marked = salted.join(F.broadcast(hot), _equal(keys, "", "_h_"), "left").withColumn("_salt", _one_salt(spread_on))
+    group, is_hot = Window.partitionBy(*keys, "_salt"), F.col("_hot").isNotNull()
     return marked.select(
-        *df.columns, *[F.when(is_hot, F.col("_hot_row")[n]).otherwise(c.over(group)).alias(n) for n, c in stats.items()]
+        *df.columns, *[F.when(is_hot, F.col("_hot")[n]).otherwise(c.over(group)).alias(n) for n, c in stats.items()]
     )
 
 
@@ -142,7 +130,7 @@ def hash_ordinal(df: DataFrame, digest: Column, tie: Sequence[str], out: str, pr
 
 
 def unit_dense_rank(
-    df: DataFrame, keys: Sequence[str], value: str, out: str, spread_on: Sequence[str], buckets: int = 1_000
+    df: DataFrame, keys: Sequence[str], value: str, out: str, spread_on: Sequence[str], buckets: int = 100_000
 ) -> DataFrame:
     """Dense rank of ``value`` (within 0..1, highest first) per key, without sorting a key's rows in one task.
 

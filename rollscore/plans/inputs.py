@@ -249,7 +249,8 @@ from lineitem
 def code_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as recorded test runs: an order is a completion, a line is a test case."""
     items = read_table(
-        spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_partkey", "l_suppkey", "l_quantity"
+        spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_partkey", "l_suppkey", "l_quantity",
+        spread=True,
     )
     value, line = F.col("l_quantity").cast("int").cast("string"), F.col("l_linenumber").cast("string")
     form = F.col("l_partkey") % 6

@@ -16,7 +16,7 @@ from .registry import query, r, rounded
 
 
 def written_logs(spark: SparkSession, sf_dir: str) -> str:
-    """Result logs of the derived runs, one file per run, below a fresh folder."""
+    """Result logs of the derived runs below a fresh folder."""
     root = fresh_path(spark, "logs")
     write_eval_logs(I.eval_runs(spark, sf_dir), root)
     return root
@@ -36,7 +36,7 @@ def scan_split_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ({I.RUNS_SQL}) group by suite, exp, step, run_ts""",
 )
 def scan_eval_logs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logs = scan_eval_logs(spark, written_logs(spark, sf_dir))
+    logs = scan_eval_logs(spark, written_logs(spark, sf_dir), compacted=True)
     return logs.select(
         "suite",
         "exp",
@@ -54,7 +54,7 @@ def scan_eval_logs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
       {r('max(seconds) over (partition by run_id)', 6)} as seconds from ({I.RUNS_SQL})""",
 )
 def explode_results_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = explode_results(scan_eval_logs(spark, written_logs(spark, sf_dir)))
+    rows = explode_results(scan_eval_logs(spark, written_logs(spark, sf_dir), compacted=True))
     return rows.select(
         "suite",
         "exp",
@@ -109,7 +109,7 @@ def sink_metrics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_leaderboard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, out = written_logs(spark, sf_dir), fresh_path(spark, "leaderboard")
-    stream = stream_leaderboard(spark, root, out, fresh_path(spark, "leaderboard-state"), files_per_trigger=1000)
+    stream = stream_leaderboard(spark, root, out, fresh_path(spark, "leaderboard-state"), compacted=True)
     stream.awaitTermination()
     return read_leaderboard(spark, out).withColumn("best_score", rounded("best_score"))
 
@@ -144,6 +144,6 @@ def stream_checkpoint_jobs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def logged_macro_average_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Averages computed from the written log files rather than from the run table."""
-    rows = explode_results(scan_eval_logs(spark, written_logs(spark, sf_dir)))
+    rows = explode_results(scan_eval_logs(spark, written_logs(spark, sf_dir), compacted=True))
     out = macro_average(rows, ("suite", "exp", "step"))
     return out.withColumn("macro_score", rounded("macro_score"))

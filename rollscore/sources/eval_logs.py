@@ -1,4 +1,8 @@
-"""Result logs of evaluation runs: one JSON file per run, task names as dynamic keys."""
+"""Result logs of evaluation runs: JSON records with task names as dynamic keys.
+
+Logs come as one pretty-printed file per run, identified by its path, or compacted: many runs per JSON-lines file, each
+record naming the path it stands for. Many small files are slow to list and open, so archives should be compacted.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +14,7 @@ from ..functions.keys import parse_task_key
 # The part of the log layout that the analysis reads. Task names are map keys, so the schema stays the
 # same whatever tasks a file holds. The misspelt field name is the format's own.
 LOG_SCHEMA = """
+source_path string,
 config_general struct<max_samples:int, job_id:int, start_time:double, end_time:double,
   total_evaluation_time_secondes:string, model_name:string, model_sha:string, model_dtype:string, model_size:string>,
 results map<string, struct<extractive_match:double, extractive_match_stderr:double>>,
@@ -40,18 +45,20 @@ def path_columns(path: Column) -> dict[str, Column]:
     }
 
 
-def scan_eval_logs(spark: SparkSession, root: str) -> DataFrame:
-    """One row per result file below ``root``; suite, checkpoint and run time come from the path."""
-    raw = (
-        spark.read.schema(LOG_SCHEMA)
-        .option("multiLine", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .json(root)
-    )
-    return raw.select("*", F.col("_metadata.file_path").alias("path")).select(
-        *[c.alias(n) for n, c in path_columns(F.col("path")).items()], *raw.columns
-    )
+def read_options(compacted: bool) -> dict[str, object]:
+    return {"multiLine": not compacted, "recursiveFileLookup": True, "pathGlobFilter": "*.json"}
+
+
+def locate(raw: DataFrame) -> DataFrame:
+    """Add suite, checkpoint and run time, from the record's own path if it has one, else from the file's."""
+    path = F.coalesce("source_path", F.col("_metadata.file_path"))
+    named = raw.select("*", path.alias("_path"))
+    return named.select(*[c.alias(n) for n, c in path_columns(F.col("_path")).items()], *raw.columns)
+
+
+def scan_eval_logs(spark: SparkSession, root: str, compacted: bool = False) -> DataFrame:
+    """One row per logged run below ``root``."""
+    return locate(spark.read.schema(LOG_SCHEMA).options(**read_options(compacted)).json(root))
 
 
 def explode_results(logs: DataFrame) -> DataFrame:
@@ -85,9 +92,10 @@ def explode_results(logs: DataFrame) -> DataFrame:
 
 
 def write_eval_logs(runs: DataFrame, root: str) -> None:
-    """Write task-level run rows as result logs, one file per run, in folders the scan understands.
+    """Write task-level run rows as compacted result logs.
 
-    Expects the columns of ``explode_results``. The rows of one run (one per task) meet in one map.
+    Expects the columns of ``explode_results`` with one row per run and task. The rows of a run, at most one per task,
+    meet in one map.
     """
     key = F.concat_ws("|", F.lit("custom"), F.col("task"), F.lit("0"))
     result = F.struct(F.col("score").alias("extractive_match"), F.col("stderr").alias("extractive_match_stderr"))
@@ -104,7 +112,7 @@ def write_eval_logs(runs: DataFrame, root: str) -> None:
     def as_map(k: Column, v: Column) -> Column:
         return F.map_from_entries(F.array_sort(F.collect_list(F.struct(k.alias("k"), v.alias("v")))))
 
-    files = runs.groupBy("suite", "exp", "step", "run_ts").agg(
+    logs = runs.groupBy("suite", "exp", "step", "run_ts").agg(
         as_map(key, result).alias("results"),
         as_map(F.concat_ws("|", F.lit("custom"), F.col("task")), config).alias("config_tasks"),
         as_map(key, summary).alias("summary_tasks"),
@@ -117,10 +125,9 @@ def write_eval_logs(runs: DataFrame, root: str) -> None:
         F.struct(F.col("_mean").alias("extractive_match"), F.lit(None).cast("double").alias("extractive_match_stderr")),
     )
     stamp = F.date_format("run_ts", "yyyy-MM-dd'T'HH-mm-ss.SSSSSS")
-    out = files.select(
-        "suite",
-        F.concat(F.lit("Exp"), F.col("exp"), F.lit("_"), F.col("step")).alias("checkpoint"),
-        F.concat(F.lit("results_"), stamp).alias("run"),
+    path = F.format_string("%s/Exp%d_%d/results_%s.json", F.col("suite"), F.col("exp"), F.col("step"), stamp)
+    out = logs.select(
+        path.alias("source_path"),
         F.struct(
             F.col("_model").alias("model_name"),
             F.format_string("%s", F.col("_seconds")).alias("total_evaluation_time_secondes"),
@@ -129,5 +136,4 @@ def write_eval_logs(runs: DataFrame, root: str) -> None:
         "config_tasks",
         "summary_tasks",
     )
-    parts = ["suite", "checkpoint", "run"]
-    out.repartition(*parts).write.mode("overwrite").partitionBy(*parts).json(root)
+    out.write.mode("overwrite").json(root)

@@ -11,21 +11,15 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.keys import build_task_key, step_revision
 from ..operators.filters import save_step_filter
 from ..sources.dimensions import BENCHMARKS
-from ..sources.eval_logs import LOG_SCHEMA, explode_results, path_columns
+from ..sources.eval_logs import LOG_SCHEMA, explode_results, locate, read_options
 
 
-def stream_eval_logs(spark: SparkSession, root: str, files_per_trigger: int = 1000) -> DataFrame:
+def stream_eval_logs(
+    spark: SparkSession, root: str, files_per_trigger: int = 1000, compacted: bool = False
+) -> DataFrame:
     """Result files as they appear below ``root``, in the columns of the batch scan."""
-    raw = (
-        spark.readStream.schema(LOG_SCHEMA)
-        .option("multiLine", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .json(root)
-    )
-    located = raw.select("*", F.col("_metadata.file_path").alias("path"))
-    return located.select(*[c.alias(n) for n, c in path_columns(F.col("path")).items()], *raw.columns)
+    reader = spark.readStream.schema(LOG_SCHEMA).options(**read_options(compacted))
+    return locate(reader.option("maxFilesPerTrigger", files_per_trigger).json(root))
 
 
 def task_bests(rows: DataFrame) -> DataFrame:
@@ -38,13 +32,13 @@ def task_bests(rows: DataFrame) -> DataFrame:
 
 
 def stream_leaderboard(
-    spark: SparkSession, root: str, out: str, checkpoint: str, files_per_trigger: int = 1000
+    spark: SparkSession, root: str, out: str, checkpoint: str, files_per_trigger: int = 1000, compacted: bool = False
 ) -> StreamingQuery:
     """Keep ``out`` up to date with the best result per task.
 
     Each micro-batch writes its own ``version`` folder; a replayed batch overwrites only the folder it wrote before.
     """
-    board = task_bests(explode_results(stream_eval_logs(spark, root, files_per_trigger)))
+    board = task_bests(explode_results(stream_eval_logs(spark, root, files_per_trigger, compacted)))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/version={batch_id}")

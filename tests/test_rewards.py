@@ -121,6 +121,22 @@ def test_code_format(values, text, want):
     assert values([text], R.code_format_reward("content")) == [want]
 
 
+code_parts = st.lists(
+    st.sampled_from(["<think>\n", "x", "\n", "</think>\n", "\n</think>\n<answer>\n", "```python", "```", "\n</answer>", "\r"]),
+    max_size=14,
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(code_parts, min_size=300, max_size=400))
+def test_code_format_equals_a_regex(spark, parts):
+    texts = ["<think>\n" * (i % 2) + "".join(p) for i, p in enumerate(parts)]
+    layout = re.compile(r"<think>\n.*?\n</think>\n<answer>\n.*?```python.*?```.*?\n</answer>$", re.S | re.M)
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, content string")
+    rows = df.select("id", R.code_format_reward("content").alias("v")).orderBy("id").collect()
+    assert [r.v for r in rows] == [float(layout.match(t) is not None) for t in texts]
+
+
 def test_code_format_other_language(values):
     assert values([CODE.replace("python", "java")], R.code_format_reward("content", "java")) == [1.0]
 
