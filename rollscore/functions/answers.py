@@ -90,23 +90,13 @@ def normalize_gold(c: Column | str) -> Column:
 
 def numeric_value(norm: Column | str) -> Column:
     """Value of a plain number, a percentage or a fraction in normalised text; null otherwise."""
-    norm = as_col(norm)
     num = r"[+-]?(?:\d+(?:\.\d+)?|\.\d+)"
-    plain = F.regexp_extract(norm, rf"\A({num})\z", 1)
-    percent = F.regexp_extract(norm, rf"\A({num})\\?%\z", 1)
-    frac = rf"\A([+-]?)\\frac\{{({num})\}}\{{({num})\}}\z"
-    slash = rf"\A({num})/({num})\z"
-
-    def num_of(text: Column) -> Column:
-        return F.nullif(text, F.lit("")).try_cast("double")
-
-    sign = F.when(F.regexp_extract(norm, frac, 1) == "-", F.lit(-1.0)).otherwise(F.lit(1.0))
-    return F.coalesce(
-        num_of(plain),
-        num_of(percent) / F.lit(100.0),
-        sign * F.try_divide(num_of(F.regexp_extract(norm, frac, 2)), num_of(F.regexp_extract(norm, frac, 3))),
-        F.try_divide(num_of(F.regexp_extract(norm, slash, 1)), num_of(F.regexp_extract(norm, slash, 2))),
-    )
+    fraction = rf"\A([+-]?)\\frac\{{({num})\}}\{{({num})\}}\z"
+    flat = F.replace(F.regexp_replace(as_col(norm), fraction, "$1$2/$3"), F.lit("--"), F.lit(""))
+    number = rf"\A({num})(?:/({num})|(\\?%))?\z"
+    top, under, percent = (F.regexp_extract(flat, number, i) for i in (1, 2, 3))
+    divisor = F.when(percent != "", F.lit(100.0)).when(under != "", under.try_cast("double")).otherwise(F.lit(1.0))
+    return F.try_divide(top.try_cast("double"), divisor)
 
 
 def answers_match(pred_norm: Column, gold_norm: Column, pred_value: Column, gold_value: Column) -> Column:

@@ -15,7 +15,8 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-WHITESPACE_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]"
+# The same set as a regex class.
+WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 
 # Scripts that mark a text as not English (first and last code point).
 FOREIGN_SCRIPTS = {
@@ -49,7 +50,7 @@ def py_strip(c: Column | str) -> Column:
 
 def py_split(c: Column | str) -> Column:
     """Words between whitespace runs; no empty words."""
-    return F.array_remove(F.split(as_col(c), WHITESPACE_CLASS + "+"), "")
+    return F.array_remove(F.split(as_col(c), WHITESPACE_RUN), "")
 
 
 def ngrams(words: Column | str, n: int) -> Column:

@@ -29,7 +29,7 @@ def with_len_reward(
     stats = {"_min_len": F.min("_len"), "_max_len": F.max("_len")}
     joined = attach_group_stats(sized, group, row_id, stats, **bounds)
     span = F.col("_max_len") - F.col("_min_len")
-    scaled = F.lit(0.5) - (F.col("_len") - F.col("_min_len")) / span
+    scaled = F.lit(0.5) - F.try_divide(F.col("_len") - F.col("_min_len"), span)
     correct = F.col("gold_norm").isNull() | F.col("is_correct")
     reward = F.when(span == 0, F.lit(0.0)).when(correct, scaled).otherwise(F.least(F.lit(0.0), scaled))
     return joined.select(*df.columns, reward.alias(out))

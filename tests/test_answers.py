@@ -86,6 +86,11 @@ def test_very_long_boxes_do_not_break_the_executor(values):
         ("\\boxed{2}", "3", False),
         ("\\boxed{1/0}", "2", False),
         ("\\boxed{-\\frac{3}{4}}", "-0.75", True),
+        ("\\boxed{-\\frac{-3}{4}}", "0.75", True),
+        ("\\boxed{.5}", "50%", True),
+        ("\\boxed{3/4%}", "0.0075", False),
+        ("\\boxed{1/3}", "0.33334", False),
+        ("\\boxed{+7}", "7.0", True),
         ("\\boxed{1,234,567.5}", "1234567.5", True),
         ("\\boxed{(1,234)}", "(1234)", False),
         ("\\boxed{\\left(1, 2\\right)}", "(1,2)", True),

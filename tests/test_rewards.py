@@ -100,6 +100,16 @@ def test_whitespace_rules_match_python(spark, texts):
     assert [r.w for r in rows] == [t.split() for t in texts]
 
 
+def test_every_whitespace_character_is_known(spark):
+    codes = [c for c in range(1, 0x30000) if not 0xD800 <= c <= 0xDFFF]
+    df = spark.createDataFrame([(c, f"a{chr(c)}b", f"{chr(c)}a{chr(c)}") for c in codes], "code int, mid string, ends string")
+    got = df.select("code", (F.size(py_split("mid")) == 2).alias("splits"), (py_strip("ends") == "a").alias("strips"))
+    spaces = {c for c in codes if chr(c).isspace()}
+    rows = got.collect()
+    assert {r.code for r in rows if r.splits} == spaces
+    assert {r.code for r in rows if r.strips} == spaces
+
+
 CODE = "<think>\nx\n</think>\n<answer>\n```python\nprint(1)\n```\n</answer>"
 
 
