@@ -85,7 +85,7 @@ def collect_messages(
     packed = F.struct(F.col(turn).alias("t"), F.col(role).alias("role"), F.col(content).alias("content"))
     return (
         turns.groupBy(key, part.alias("part"))
-        .agg(F.array_sort(F.collect_list(packed)).alias("_m"))
+        .agg(F.sort_array(F.collect_list(packed)).alias("_m"))
         .select(
             key,
             "part",
@@ -94,6 +94,24 @@ def collect_messages(
     )
 
 
+def render_conversations(
+    turns: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", content: str = "text",
+    eos: str = "</s>", generation_prompt: bool = False, rows_per_part: int = ROWS_PER_PART,
+) -> DataFrame:
+    """Chat text of every conversation; the parts of a long one concatenate to its text.
+
+    The generation marker belongs to the last part only, found from the largest turn number of each conversation.
+    """
+    parts = collect_messages(turns, key, turn, role, content, rows_per_part)
+    text = chat_render("messages", eos)
+    if not generation_prompt:
+        return parts.select(key, "part", text.alias("rendered"))
+    last = turns.groupBy(key).agg(F.max(turn).alias("_turn"))
+    last = last.select(key, F.floor(F.col("_turn") / F.lit(rows_per_part)).cast("int").alias("part"), F.lit(True).alias("_last"))
+    marker = F.when(F.col("_last"), F.lit("<|assistant|>")).otherwise(F.lit(""))
+    return parts.join(last, [key, "part"], "left").select(key, "part", F.concat(text, marker).alias("rendered"))
+
+
 def math_prompt(question: Column | str) -> Column:
     return fill_template(MATH_PROMPT, Question=as_col(question))
 
@@ -144,7 +162,7 @@ def group_generations(
     packed = F.struct(F.col(index).alias("i"), F.col(text).alias("text"))
     return (
         df.groupBy(key, part.alias("part"))
-        .agg(F.array_sort(F.collect_list(packed)).alias("_g"))
+        .agg(F.sort_array(F.collect_list(packed)).alias("_g"))
         .select(key, "part", F.transform("_g", lambda g: g["text"]).alias("generations"))
     )
 
@@ -203,7 +221,7 @@ def pack_sequences(
     pieces = sized.select("shard", F.explode(F.transform(rows, piece)).alias("p"))
     return (
         pieces.groupBy("shard", F.col("p.row").alias("packed_row"))
-        .agg(F.array_sort(F.collect_list(F.struct("p.at", "p.tokens"))).alias("_pieces"))
+        .agg(F.sort_array(F.collect_list(F.struct("p.at", "p.tokens"))).alias("_pieces"))
         .select("shard", "packed_row", F.flatten(F.col("_pieces.tokens")).alias("tokens"))
     )
 

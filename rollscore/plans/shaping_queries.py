@@ -85,14 +85,15 @@ def prune_for_tokens_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "chat_render",
-    """select conv_id, cast(0 as integer) as part, concat(string_agg(concat('<|', role, '|>', chr(10), text, '</s>', chr(10)), '' order by turn),
-      '<|assistant|>') as rendered
-    from conversations where role in ('user', 'system', 'assistant') group by conv_id""",
+    """with t as (select *, cast(turn // 10000 as integer) as part,
+      cast(max(turn) over (partition by conv_id) // 10000 as integer) as last_part from conversations)
+    select conv_id, part, concat(string_agg(concat('<|', role, '|>', chr(10), text, '</s>', chr(10)), '' order by turn),
+      case when part = last_part then '<|assistant|>' else '' end) as rendered
+    from t where role in ('user', 'system', 'assistant') group by conv_id, part, last_part""",
 )
 def chat_render_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
-    chats = S.collect_messages(turns)
-    return chats.select("conv_id", "part", S.chat_render("messages", generation_prompt=True).alias("rendered"))
+    return S.render_conversations(turns, generation_prompt=True)
 
 
 @query("math_prompt", f"select row_id, replace({text_sql(S.MATH_PROMPT)}, '{{Question}}', problem) as query from ({PROBLEMS_SQL})")
@@ -195,8 +196,8 @@ def request_batches_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "group_generations",
-    f"""select prompt_id, cast(0 as integer) as part, count(*) as n, string_agg(content, '|' order by turn) as joined from ({I.COMPLETIONS_SQL})
-    group by prompt_id""",
+    f"""select prompt_id, cast(turn // 10000 as integer) as part, count(*) as n, string_agg(content, '|' order by turn) as joined
+    from ({I.COMPLETIONS_SQL}) group by prompt_id, turn // 10000""",
 )
 def group_generations_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = S.group_generations(I.completions(spark, sf_dir), "prompt_id", "turn", "content")

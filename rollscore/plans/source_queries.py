@@ -123,8 +123,9 @@ def stream_leaderboard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_checkpoint_jobs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Save events read as a stream of the event table itself, each announced twice."""
-    table = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = spark.readStream.schema(table).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    # Written as a pattern because a stream takes a single file only that way; a folder of files matches as well.
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
     saves = events.select(
         F.col("user_id").alias("run"),
         F.col("event_id").alias("step"),

@@ -110,7 +110,7 @@ def write_eval_logs(runs: DataFrame, root: str) -> None:
     )
 
     def as_map(k: Column, v: Column) -> Column:
-        return F.map_from_entries(F.array_sort(F.collect_list(F.struct(k.alias("k"), v.alias("v")))))
+        return F.map_from_entries(F.sort_array(F.collect_list(F.struct(k.alias("k"), v.alias("v")))))
 
     logs = runs.groupBy("suite", "exp", "step", "run_ts").agg(
         as_map(key, result).alias("results"),

@@ -40,6 +40,19 @@ def test_long_conversations_come_in_ordered_parts(spark):
     assert [m.content for r in rows for m in r.messages] == [str(i) for i in range(25)]
 
 
+def test_generation_marker_only_ends_the_last_part(spark):
+    rows = [(c, t, "user", f"m{t}") for c in (1, 2) for t in range(c * 10)]
+    turns = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
+    parts = S.render_conversations(turns, eos="", generation_prompt=True, rows_per_part=6).orderBy("conv_id", "part").collect()
+    whole = {r.conv_id: r.rendered for r in S.render_conversations(turns, eos="", generation_prompt=True).collect()}
+    for conv in (1, 2):
+        mine = [r.rendered for r in parts if r.conv_id == conv]
+        assert len(mine) == (2 if conv == 1 else 4)
+        assert "".join(mine) == whole[conv]
+    plain = S.render_conversations(turns, eos="").collect()
+    assert all("assistant" not in r.rendered for r in plain)
+
+
 def test_templates_keep_odd_characters(spark):
     odd = "50% of $x$ {Question} {A} \\boxed{1}"
     df = spark.createDataFrame([(1, odd, "b{B}", "x", "y", "z")], "id int, q string, c string, w1 string, w2 string, w3 string")
