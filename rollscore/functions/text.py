@@ -37,11 +37,17 @@ def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def int_div(c: Column | str, n: int) -> Column:
+    """Floor division in integers, exact for every 64-bit id."""
+    c = as_col(c)
+    return F.call_function("div", c - F.pmod(c, F.lit(n)), F.lit(n))
+
+
 def count_substring(c: Column | str, needle: str) -> Column:
     """Non-overlapping occurrences of ``needle``, scanning from the left."""
     c = as_col(c)
     removed = F.length(c) - F.length(F.replace(c, F.lit(needle), F.lit("")))
-    return (removed / F.lit(len(needle))).cast("int")
+    return int_div(removed, len(needle)).cast("int")
 
 
 def py_strip(c: Column | str) -> Column:

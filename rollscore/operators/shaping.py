@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import as_col, fill_template, py_split
+from ..functions.text import as_col, fill_template, int_div, py_split
 from .skew import attach_group_stats
 
 MESSAGE = "struct<role:string,content:string>"
@@ -81,7 +81,7 @@ def collect_messages(
     An ordinary conversation is one row (part 0). The part number comes from the turn itself, so the shuffle key
     (conversation, part) bounds every group, whatever the conversation's length.
     """
-    part = F.floor(F.col(turn) / F.lit(rows_per_part)).cast("int")
+    part = int_div(turn, rows_per_part).cast("int")
     packed = F.struct(F.col(turn).alias("t"), F.col(role).alias("role"), F.col(content).alias("content"))
     return (
         turns.groupBy(key, part.alias("part"))
@@ -107,7 +107,7 @@ def render_conversations(
     if not generation_prompt:
         return parts.select(key, "part", text.alias("rendered"))
     last = turns.groupBy(key).agg(F.max(turn).alias("_turn"))
-    last = last.select(key, F.floor(F.col("_turn") / F.lit(rows_per_part)).cast("int").alias("part"), F.lit(True).alias("_last"))
+    last = last.select(key, int_div("_turn", rows_per_part).cast("int").alias("part"), F.lit(True).alias("_last"))
     marker = F.when(F.col("_last"), F.lit("<|assistant|>")).otherwise(F.lit(""))
     return parts.join(last, [key, "part"], "left").select(key, "part", F.concat(text, marker).alias("rendered"))
 
@@ -149,16 +149,15 @@ def request_batches(
     """
     unit_ids = batch_rows * load_batches
     w = Window.partitionBy("load_unit").orderBy(row_id, *order)
-    return df.withColumn("load_unit", F.floor(F.col(row_id) / F.lit(unit_ids))).withColumn(
-        "batch", F.floor((F.row_number().over(w) - 1) / F.lit(batch_rows))
-    )
+    units = df.withColumn("load_unit", int_div(row_id, unit_ids))
+    return units.withColumn("batch", int_div(F.row_number().over(w) - 1, batch_rows))
 
 
 def group_generations(
     df: DataFrame, key: str = "prompt_id", index: str = "gen_idx", text: str = "text", rows_per_part: int = ROWS_PER_PART
 ) -> DataFrame:
     """Generations of a prompt as one ordered array (in parts of ``rows_per_part`` indices)."""
-    part = F.floor(F.col(index) / F.lit(rows_per_part)).cast("int")
+    part = int_div(index, rows_per_part).cast("int")
     packed = F.struct(F.col(index).alias("i"), F.col(text).alias("text"))
     return (
         df.groupBy(key, part.alias("part"))
@@ -201,14 +200,14 @@ def pack_sequences(
     rows, and the slices are grouped by packed row: a group never holds more than ``length`` tokens. The last row of a
     shard may be shorter; nothing is dropped.
     """
-    shard = F.floor(F.col(row_id) / F.lit(shard_ids))
+    shard = int_div(row_id, shard_ids)
     w = Window.partitionBy("shard").orderBy(row_id).rowsBetween(Window.unboundedPreceding, -1)
     sized = (
         df.select(shard.alias("shard"), row_id, F.col(tokens).alias("_t"))
         .withColumn("_n", F.size("_t"))
         .withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0)))
     )
-    first, last = F.floor(F.col("_start") / length), F.floor((F.col("_start") + F.col("_n") - 1) / length)
+    first, last = int_div("_start", length), int_div(F.col("_start") + F.col("_n") - 1, length)
 
     def piece(row: Column) -> Column:
         begin = F.greatest(row * length - F.col("_start"), F.lit(0))

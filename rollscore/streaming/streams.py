@@ -62,7 +62,7 @@ def checkpoint_jobs(saves: DataFrame, benchmarks: Sequence[str], watermark: str,
     """One evaluation job per run, saved step and benchmark, however often the save is announced.
 
     ``saves`` has run, step, ts. A repeat is dropped if it comes within ``watermark`` of the first announcement, which
-    also bounds the state.
+    also bounds the state: one row per recent save, since the benchmarks are unrolled after the repeats are gone.
     """
     known = [(b, s, t) for b, s, t in BENCHMARKS if b in benchmarks]
     missing = set(benchmarks) - {b for b, _, _ in known}
@@ -71,12 +71,13 @@ def checkpoint_jobs(saves: DataFrame, benchmarks: Sequence[str], watermark: str,
     rows = [
         F.struct(F.lit(b).alias("benchmark"), build_task_key(F.lit(s), F.lit(t)).alias("task_key")) for b, s, t in known
     ]
-    jobs = save_step_filter(saves).select("run", "step", "ts", F.explode(F.array(*rows)).alias("b"))
-    jobs = jobs.select("run", "step", "ts", "b.benchmark", "b.task_key", step_revision(F.lit(revision), "step").alias("revision"))
-    keys = ["run", "step", "benchmark"]
-    if not jobs.isStreaming:
-        return jobs.groupBy(*keys).agg(*[F.min(c).alias(c) for c in ("ts", "task_key", "revision")])
-    return jobs.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(keys)
+    steps = save_step_filter(saves).select("run", "step", "ts")
+    if steps.isStreaming:
+        once = steps.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["run", "step"])
+    else:
+        once = steps.groupBy("run", "step").agg(F.min("ts").alias("ts"))
+    jobs = once.select("*", F.inline(F.array(*rows)))
+    return jobs.withColumn("revision", step_revision(F.lit(revision), "step"))
 
 
 def stream_checkpoint_jobs(

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rollscore.functions.answers import (
@@ -147,3 +149,40 @@ def test_task_keys_and_revisions(values):
     ]
     assert values(["main"], step_revision("content", F.lit(50))) == ["main-step-000000050"]
     assert values(["out"], checkpoint_dir("content", F.lit(50))) == ["out/checkpoint-50"]
+
+
+pieces = st.lists(
+    st.sampled_from(["<answer>", "</answer>", "\\boxed{", "{", "}", "}", "x", " ", "\n", "7", "\x1c"]), max_size=14
+).map("".join)
+
+
+def shown(text: str) -> str:
+    if "<answer>" in text and "</answer>" in text:
+        return text.split("</answer>", 1)[0].partition("<answer>")[2].strip()
+    if "\\boxed{" in text:
+        head, brace, _ = text.partition("\\boxed{")[2].partition("}")
+        return (head if brace else head[:-1]).strip()
+    return text.strip().rsplit("\n", 1)[-1]
+
+
+def last_box(text: str) -> str | None:
+    found, at = None, 0
+    while (start := text.find("\\boxed{", at)) >= 0:
+        depth, end = 1, start + len("\\boxed{")
+        while end < len(text) and depth:
+            depth += {"{": 1, "}": -1}.get(text[end], 0)
+            end += 1
+        if depth:
+            at = start + 1
+        else:
+            found, at = text[start + len("\\boxed{") : end - 1], end
+    return found
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(pieces, min_size=300, max_size=400))
+def test_extraction_equals_brute_force(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, content string")
+    rows = df.select("id", extract_answer("content").alias("a"), boxed_answer("content").alias("b")).orderBy("id").collect()
+    assert [r.a for r in rows] == [shown(t) for t in texts]
+    assert [r.b for r in rows] == [last_box(t) for t in texts]
