@@ -258,32 +258,35 @@ def union_suites_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.agg(F.count(F.lit(1)).alias("runs"), rounded(F.avg("score")).alias("score"))
 
 
+GOOD_SCORE = 0.45
+SUITE_MACRO_SQL = f"select suite, exp, step, avg(score) as macro_score from ({RUNS}) group by suite, exp, step"
+
+
 @query(
     "checkpoints_in_both",
-    f"""select exp, step from ({RUNS}) where suite = 'evals' and run_id % 4 <> 1
-    intersect select exp, step from ({RUNS}) where suite = 'overall'""",
+    f"""select exp, step from ({SUITE_MACRO_SQL}) where suite = 'evals' and macro_score >= {GOOD_SCORE}
+    intersect select exp, step from ({SUITE_MACRO_SQL}) where suite = 'overall' and macro_score >= {GOOD_SCORE}""",
 )
 def checkpoints_in_both_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = I.eval_runs(spark, sf_dir)
-    evals = runs.where((F.col("suite") == "evals") & (F.col("run_id") % 4 != 1))
-    return U.checkpoints_in_both(evals, runs.where(F.col("suite") == "overall"))
+    """Checkpoints that reach a score in both suites."""
+    averages = E.macro_average(I.eval_runs(spark, sf_dir), ("suite", "exp", "step"))
+    good = averages.where(F.col("macro_score") >= GOOD_SCORE)
+    return U.checkpoints_in_both(good.where(F.col("suite") == "evals"), good.where(F.col("suite") == "overall"))
 
 
 REQUESTS_SQL = (
-    "select user_id as request_id, case when user_id % 10 = 0 then 'all' else case event_type "
+    "select distinct user_id as request_id, case when user_id % 10 = 0 then 'all' else case event_type "
     + " ".join(f"when '{e}' then '{t}'" for e, t in I.TASK_OF_EVENT.items())
-    + " end end as benchmark from events where user_id % 10 <> 0 or event_type = 'click'"
+    + " end end as benchmark from events"
 )
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users as benchmark requests; every tenth asks for ``all``, some of them more than once."""
+    """Users as benchmark requests: the tasks of their events, or just ``all`` for every tenth."""
     events = read_table(spark, sf_dir, "events", "user_id", "event_type")
-    wants_all = F.col("user_id") % 10 == 0
     task = F.element_at(F.create_map(*[F.lit(x) for kv in I.TASK_OF_EVENT.items() for x in kv]), F.col("event_type"))
-    return events.where(~wants_all | (F.col("event_type") == "click")).select(
-        F.col("user_id").alias("request_id"), F.when(wants_all, "all").otherwise(task).alias("benchmark")
-    )
+    name = F.when(F.col("user_id") % 10 == 0, "all").otherwise(task)
+    return events.select(F.col("user_id").alias("request_id"), name.alias("benchmark")).distinct()
 
 
 KNOWN = [b for b, _, _ in D.BENCHMARKS]
@@ -298,8 +301,7 @@ KNOWN_SQL = "(" + ", ".join(f"'{b}'" for b in KNOWN) + ")"
     where request_id in (select request_id from q group by request_id having count(*) = 1 and max(q.benchmark) = 'all')""",
 )
 def expand_benchmarks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    single = requests(spark, sf_dir)
-    return U.expand_benchmarks(single, KNOWN)
+    return U.expand_benchmarks(requests(spark, sf_dir), KNOWN)
 
 
 @query(

@@ -347,16 +347,28 @@ def ngrams_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PADDED_SQL = "select doc_id, concat(chr(28), ' ', chr(9), text, chr(160), chr(10)) as text from documents"
+
+
+def padded_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", spread=True)
+    return docs.select("doc_id", F.concat(F.lit("\x1c \t"), "text", F.lit("\xa0\n")).alias("text"))
+
+
+@query("py_strip", f"select doc_id, md5(trim(text, {WS_SQL})) as stripped_md5 from ({PADDED_SQL})")
+def py_strip_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return padded_docs(spark, sf_dir).select("doc_id", F.md5(py_strip("text")).alias("stripped_md5"))
+
+
 @query(
-    "py_strip_split",
-    f"""with p as (select doc_id, concat(chr(28), ' ', chr(9), text, chr(160), chr(10)) as text from documents)
-    select doc_id, md5(trim(text, {WS_SQL})) as stripped_md5, len({TOKENS_SQL}) as n_words from p""",
+    "py_split",
+    f"""with w as (select doc_id, {TOKENS_SQL} as words from ({PADDED_SQL}))
+    select doc_id, len(words) as n_words, md5(array_to_string(words, ' ')) as words_md5 from w""",
 )
-def py_strip_split_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", spread=True)
-    padded = docs.select("doc_id", F.concat(F.lit("\x1c \t"), "text", F.lit("\xa0\n")).alias("text"))
-    return padded.select(
-        "doc_id", F.md5(py_strip("text")).alias("stripped_md5"), F.size(py_split("text")).cast("bigint").alias("n_words")
+def py_split_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = padded_docs(spark, sf_dir).select("doc_id", py_split("text").alias("words"))
+    return words.select(
+        "doc_id", F.size("words").cast("bigint").alias("n_words"), F.md5(F.array_join("words", " ")).alias("words_md5")
     )
 
 

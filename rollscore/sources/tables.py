@@ -23,13 +23,22 @@ def read_table(spark: SparkSession, folder: str, name: str, *columns: str, sprea
     return df
 
 
-def scan_split(spark: SparkSession, path: str, split: str) -> DataFrame:
-    """One named split of a dataset stored with ``split`` as partition folder; other folders are not read."""
-    return spark.read.parquet(path).where(F.col("split") == split)
+def scan_split(
+    spark: SparkSession, path: str, split: str, fmt: str = "parquet", schema: str | None = None, **options: str
+) -> DataFrame:
+    """One named split of a dataset stored with ``split`` as partition folder; other folders are not read.
+
+    ``fmt`` is any Spark file format. Give a ``schema`` for text formats, so that no inference job runs.
+    """
+    reader = spark.read.format(fmt).options(**options)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load(path).where(F.col("split") == split)
 
 
-def write_splits(df: DataFrame, path: str, split: Column) -> None:
-    df.withColumn("split", split).write.mode("overwrite").partitionBy("split").parquet(path)
+def write_splits(df: DataFrame, path: str, split: Column, fmt: str = "parquet", **options: str) -> None:
+    writer = df.withColumn("split", split).write.format(fmt).options(**options)
+    writer.mode("overwrite").partitionBy("split").save(path)
 
 
 def sink_generations(

@@ -144,12 +144,29 @@ def test_checkpoint_jobs_once_per_step_and_benchmark(spark, tmp_path):
         checkpoint_jobs(saves, ["nope"], "")
 
 
-def test_split_scan_reads_one_folder(spark):
+@pytest.mark.parametrize("fmt", ["parquet", "json", "csv", "orc"])
+def test_split_scan_reads_one_split(spark, fmt):
     path = fresh_path(spark, "splits")
-    write_splits(spark.range(100), path, F.when(F.col("id") < 10, "test").otherwise("train"))
-    test = scan_split(spark, path, "test")
-    assert test.count() == 10
-    assert len(test.where("id >= 0").inputFiles()) >= 1
+    rows = spark.range(100).select("id", F.concat(F.lit("a, b\\"), F.col("id")).alias("text"))
+    write_splits(rows, path, F.when(F.col("id") < 10, "test").otherwise("train"), fmt)
+    schema = "id bigint, text string, split string" if fmt in ("json", "csv") else None
+    test = scan_split(spark, path, "test", fmt, schema)
+    assert sorted((r.id, r.text) for r in test.collect()) == [(i, f"a, b\\{i}") for i in range(10)]
+
+
+def test_cluster_session_without_shared_folder_is_an_error():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Session())
 
 
 def test_sinks_can_be_repeated(spark):
