@@ -12,7 +12,7 @@ from ..operators import sweeps as W
 from ..sources import dimensions as D
 from ..sources.tables import read_table, sample_counts
 from . import inputs as I
-from .jobs import sweep_report
+from .jobs import evaluate_tasks, sweep_report
 from .registry import query, r, rounded
 
 RUNS = I.RUNS_SQL
@@ -383,3 +383,34 @@ def published_vs_logged_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sweep_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sweep_report(I.eval_runs(spark, sf_dir))
     return out.withColumn("macro_score", rounded("macro_score")).withColumn("micro_score", rounded("micro_score"))
+
+
+@query(
+    "evaluate_tasks",
+    f"""with {I.GRADED_SQL}, letters as (
+      select case when substr('ABCDE', cast(event_id % 5 as integer) + 1, 1) = substr('ABCD', cast(user_id % 4 as integer) + 1, 1)
+        then 1.0::double else 0.0::double end as score from events),
+    s as (select case when prompt_id % 2 = 0 then 'math_500' else 'aime24' end as task,
+        case when is_correct then 1.0::double else 0.0::double end as score from scored
+      union all select 'gpqa:diamond', score from letters)
+    select task, {r('avg(score)')} as score, {r('sqrt(avg(score) * (1 - avg(score)) / nullif(count(*) - 1, 0))')} as stderr,
+      count(*) as n_docs from s group by task""",
+)
+def evaluate_tasks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Math completions from conversations and letter answers from events, each scored by its task's metric."""
+    math = I.completions(spark, sf_dir).select(
+        F.when(F.col("prompt_id") % 2 == 0, "math_500").otherwise("aime24").alias("task"),
+        "content",
+        F.array("solution").alias("choices"),
+        F.lit(0).cast("bigint").alias("gold_index"),
+    )
+    events = read_table(spark, sf_dir, "events", "event_id", "user_id")
+    letter = F.substring(F.lit("ABCDE"), (F.col("event_id") % 5 + 1).cast("int"), F.lit(1))
+    letters = events.select(
+        F.lit("gpqa:diamond").alias("task"),
+        F.concat(F.lit("Thinking.\nAnswer: "), letter).alias("content"),
+        F.array(*[F.lit(x) for x in "ABCD"]).alias("choices"),
+        (F.col("user_id") % 4).alias("gold_index"),
+    )
+    out = evaluate_tasks(math.unionByName(letters), D.dim_tasks(spark))
+    return out.select("task", rounded("score").alias("score"), rounded("stderr").alias("stderr"), "n_docs")

@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.evaluation import macro_average, micro_average
+from ..functions.answers import index_match, with_multi_gold
+from ..operators.evaluation import macro_average, micro_average, task_stderr
 from ..operators.mapping import external_step
 from ..operators.registry import RewardConfig, score_rollouts
 from ..operators.shaping import (
@@ -73,6 +74,22 @@ def generate(
     return group_generations(answered, key)
 
 
+def score_eval_samples(samples: DataFrame, tasks: DataFrame) -> DataFrame:
+    """Add ``score`` to (task, content, choices, gold_index) rows by the metric of their task. No shuffle.
+
+    Letter tasks compare the extracted letter with the gold one; the others compare the boxed answer with every choice.
+    """
+    metrics = F.broadcast(tasks.select("task", "metric"))
+    graded = with_multi_gold(samples.join(metrics, "task"), "content", "choices", "_math")
+    letters = index_match("content", "choices", "gold_index")
+    return graded.withColumn("score", F.when(F.col("metric") == "letters", letters).otherwise(F.col("_math"))).drop("_math")
+
+
+def evaluate_tasks(samples: DataFrame, tasks: DataFrame) -> DataFrame:
+    """Scores and standard errors per task from raw evaluated completions."""
+    return task_stderr(score_eval_samples(samples, tasks))
+
+
 def sweep_report(runs: DataFrame) -> DataFrame:
     """Best checkpoint per suite and experiment with macro and micro average, from task-level run rows."""
     newest = latest_run(runs)
