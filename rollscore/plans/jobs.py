@@ -42,9 +42,18 @@ GROUP_RECIPE = Recipe(("accuracy", "format", "cosine", "reasoning_steps"), (2.0,
 POLICY_RECIPE = Recipe(("format", "tag_count"), (1.0, 1.0), normalize=True)
 
 
-def score_with_recipe(completions: DataFrame, recipe: Recipe, config: RewardConfig | None = None) -> DataFrame:
-    """Rollout scoring: rewards in one projection, then one skew-safe statistics join per prompt."""
-    return score_rollouts(completions, recipe.rewards, recipe.weights, recipe.normalize, config)
+def score_with_recipe(
+    completions: DataFrame, recipe: Recipe, config: RewardConfig | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Rollout scoring: rewards in one projection, then one skew-safe statistics step per prompt.
+
+    The result holds ids, rewards and the columns named in ``keep``. Texts are left out unless named, so that they are
+    scored where they are read and never shuffled.
+    """
+    cfg = config or RewardConfig()
+    scored = score_rollouts(completions, recipe.rewards, recipe.weights, recipe.normalize, cfg)
+    rewards = [f"reward_{n}" for n in recipe.rewards]
+    return scored.select(*cfg.row_id, *cfg.group, *keep, *rewards, "reward", "advantage")
 
 
 def prepare_prompts(

@@ -253,3 +253,14 @@ def foreign_after_decomposition(text: str) -> bool:
 
 def test_non_english(values):
     assert values(SCRIPT_TEXTS, is_non_english("content")) == [foreign_after_decomposition(t) for t in SCRIPT_TEXTS]
+
+
+def test_texts_are_not_shuffled_by_the_recipe(spark):
+    from rollscore.plans.jobs import GROUP_RECIPE, score_with_recipe
+
+    df = spark.createDataFrame([(1, 1, GOOD, "7/18"), (2, 1, BAD, "7/18")],
+                               "completion_id int, prompt_id int, content string, solution string")
+    scored = score_with_recipe(df.repartition(2), GROUP_RECIPE)
+    assert "content" not in scored.columns
+    assert {r.completion_id for r in scored.collect()} == {1, 2}
+    assert "content" in score_with_recipe(df, GROUP_RECIPE, keep=["content"]).columns
