@@ -146,6 +146,7 @@ def request_batches(
     """Number requests into batches inside load units of ``batch_rows * load_batches`` consecutive ids.
 
     The load unit is computed from the id, so every window holds at most that many ids and no global order is needed.
+    Ids should be dense, or batches stay small: number sparse ids with ``seeded_shuffle`` first and batch the positions.
     """
     unit_ids = batch_rows * load_batches
     w = Window.partitionBy("load_unit").orderBy(row_id, *order)
@@ -198,7 +199,7 @@ def pack_sequences(
 
     Only (id, size) pass through the ordered running sum. Each row is then cut into the slices it adds to its packed
     rows, and the slices are grouped by packed row: a group never holds more than ``length`` tokens. The last row of a
-    shard may be shorter; nothing is dropped.
+    shard may be shorter; nothing is dropped. Sparse ids should be numbered densely first, as for ``request_batches``.
     """
     shard = int_div(row_id, shard_ids)
     w = Window.partitionBy("shard").orderBy(row_id).rowsBetween(Window.unboundedPreceding, -1)

@@ -89,9 +89,15 @@ def score_eval_samples(samples: DataFrame, tasks: DataFrame) -> DataFrame:
     Letter tasks compare the extracted letter with the gold one; the others compare the boxed answer with every choice.
     """
     metrics = F.broadcast(tasks.select("task", "metric"))
-    graded = with_multi_gold(samples.join(metrics, "task"), "content", "choices", "_math")
+    by_letter = F.col("metric") == "letters"
+    # Null inputs keep the answer parser off the letter rows.
+    parsed = samples.join(metrics, "task").withColumns(
+        {"_text": F.when(~by_letter, F.col("content")), "_golds_in": F.when(~by_letter, F.col("choices"))}
+    )
+    graded = with_multi_gold(parsed, "_text", "_golds_in", "_math")
     letters = index_match("content", "choices", "gold_index")
-    return graded.withColumn("score", F.when(F.col("metric") == "letters", letters).otherwise(F.col("_math"))).drop("_math")
+    scored = graded.withColumn("score", F.when(by_letter, letters).otherwise(F.col("_math")))
+    return scored.drop("_math", "_text", "_golds_in")
 
 
 def evaluate_tasks(samples: DataFrame, tasks: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from rollscore.operators import shaping as S
 from rollscore.operators.evaldocs import eval_docs, gpqa_docs
 from rollscore.operators.filters import doc_counts, limit_docs, unique_docs
 from rollscore.operators.mapping import external_step
+from rollscore.operators.sweeps import seeded_shuffle
 from rollscore.operators.sets import benchmarks_unsupported, expand_benchmarks
 
 
@@ -95,6 +96,16 @@ def test_batches_fill_up_inside_a_load_unit(spark):
     assert max(sizes.values()) == 8
 
 
+def test_sparse_ids_fill_batches_after_numbering(spark):
+    sparse = spark.range(500).select((F.col("id") * 1_000_003 * 1_000_003).alias("id"))
+    rows = S.request_batches(seeded_shuffle(sparse, "id"), "position", batch_rows=8, load_batches=10).collect()
+    sizes = {}
+    for r in rows:
+        sizes[(r.load_unit, r.batch)] = sizes.get((r.load_unit, r.batch), 0) + 1
+    assert sorted(sizes.values()) == [4] + [8] * 62
+    assert max(u for u, _ in sizes) == 6
+
+
 def test_padding_keeps_tokens(spark):
     df = spark.createDataFrame([(1, 0, [5, 6]), (2, 0, [7]), (3, 1, []), (4, 1, [1, 2, 3])], "id int, b int, ids array<int>")
     rows = {r.id: r for r in S.left_pad_batch(df, "ids", ["b"], ["id"], F.lit(0)).collect()}
