@@ -6,14 +6,12 @@ turns in those forms. Evaluation samples come from the event table, recorded cod
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.evaluation import content_digest
 from ..sources.tables import read_table
 
-NL = "\n"
-
 COMPLETIONS_SQL = r"""
 select a.conv_id*100 + a.turn as completion_id, a.conv_id as prompt_id, a.turn, u.text as problem,
   cast((a.conv_id*13)%50 as varchar) as solution,
@@ -36,40 +34,39 @@ where a.role = 'assistant'
 """
 
 
+COMPLETION_FORMS = r"""
+case (conv_id * 7 + turn) % 6
+  when 0 then concat('<think>\n', text, '\n</think>\n<answer>\n', box, '\n</answer>')
+  when 1 then concat('1. ', text, '\n</think>\n', box)
+  when 2 then concat('<think>\nStep 1: ', text, '\nStep 2: ', text, '\nStep 3: done\n</think>\n', box)
+  when 3 then text
+  when 4 then concat('First, ', text, '\n</think>\n</think>\n</think>\n', box)
+  else concat('<think>\n<think>\n', text, ' ', text, '\n</think>\n', box)
+end
+"""
+
+
 def completions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Assistant turns as scored completions of the user turn before them.
 
     The self-join runs on (conversation, turn), so a very long conversation is spread by its turns.
     """
     turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
-    users = turns.where(F.col("role") == "user").select(
-        "conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("problem")
+    users = turns.where("role = 'user'").selectExpr("conv_id", "turn + 1 as turn", "text as problem")
+    replies = turns.where("role = 'assistant'").selectExpr(
+        "conv_id",
+        "turn",
+        "text",
+        "(conv_id * 13) % 50 as answer",
+        r"concat('\\boxed{', (conv_id * 13) % 50 + if((conv_id + turn) % 3 = 0, 0, 1), '}') as box",
     )
-    replies = turns.where(F.col("role") == "assistant").select("conv_id", "turn", "text")
-    answer = (F.col("conv_id") * 13) % 50
-    off = F.when((F.col("conv_id") + F.col("turn")) % 3 == 0, 0).otherwise(1)
-    box = F.concat(F.lit("\\boxed{"), (answer + off).cast("string"), F.lit("}"))
-    text, end_think = F.col("text"), F.lit("\n</think>\n")
-
-    forms = [
-        F.concat(F.lit("<think>\n"), text, end_think, F.lit("<answer>\n"), box, F.lit("\n</answer>")),
-        F.concat(F.lit("1. "), text, end_think, box),
-        F.concat(F.lit("<think>\nStep 1: "), text, F.lit("\nStep 2: "), text, F.lit("\nStep 3: done"), end_think, box),
-        text,
-        F.concat(F.lit("First, "), text, F.lit("\n</think>\n</think>\n</think>\n"), box),
-        F.concat(F.lit("<think>\n<think>\n"), text, F.lit(" "), text, end_think, box),
-    ]
-    form = (F.col("conv_id") * 7 + F.col("turn")) % 6
-    content: Column = F.lit(None).cast("string")
-    for i, value in reversed(list(enumerate(forms))):
-        content = F.when(form == i, value).otherwise(content)
-    return replies.join(users, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 100 + F.col("turn")).alias("completion_id"),
-        F.col("conv_id").alias("prompt_id"),
+    return replies.join(users, ["conv_id", "turn"]).selectExpr(
+        "conv_id * 100 + turn as completion_id",
+        "conv_id as prompt_id",
         "turn",
         "problem",
-        answer.cast("string").alias("solution"),
-        content.alias("content"),
+        "cast(answer as string) as solution",
+        f"{COMPLETION_FORMS} as content",
     )
 
 
@@ -98,35 +95,31 @@ from (select conv_id*100 + turn as completion_id, conv_id as prompt_id, turn, te
 """
 
 
+CODE_FORMS = r"""
+case completion_id % 7
+  when 0 then concat(think, '<answer>\n', py, '\n</answer>')
+  when 1 then concat(think, '<answer>\n', py, '\n</answer>\nmore')
+  when 2 then concat('Well. ', think, '<answer>\n', py, '\n</answer>')
+  when 3 then concat(think, '<answer>\n', py, '\n```python\nprint("', body, '")\n```\n</answer>')
+  when 4 then concat(think, '<answer>\n', body, '\n</answer>')
+  when 5 then concat(think, py)
+  else concat(think, '<answer>\n', py, ' </answer> trailing')
+end
+"""
+
+
 def code_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Assistant turns as code completions: right and wrong tag orders, two blocks, no block, text in front."""
-    body, nl = F.col("body"), F.lit("\n")
-    py = F.concat(F.lit("```python\nprint("), F.col("turn").cast("string"), F.lit(")\n```"))
-    think = F.concat(F.lit("<think>\n"), body, F.lit("\n</think>\n"))
-
-    def answer(*parts: Column) -> Column:
-        return F.concat(think, F.lit("<answer>\n"), *parts, F.lit("\n</answer>"))
-
-    second = F.concat(F.lit('\n```python\nprint("'), body, F.lit('")\n```'))
-    forms = [
-        answer(py),
-        F.concat(answer(py), F.lit("\nmore")),
-        F.concat(F.lit("Well. "), answer(py)),
-        answer(py, second),
-        answer(body),
-        F.concat(think, py),
-        F.concat(think, F.lit("<answer>"), nl, py, F.lit(" </answer> trailing")),
-    ]
     turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
-    ids = (F.col("conv_id") * 100 + F.col("turn")).alias("completion_id")
-    base = turns.where(F.col("role") == "assistant").select(
-        ids, F.col("conv_id").alias("prompt_id"), "turn", F.col("text").alias("body")
+    parts = turns.where("role = 'assistant'").selectExpr(
+        "conv_id * 100 + turn as completion_id",
+        "conv_id as prompt_id",
+        "turn",
+        "text as body",
+        r"concat('```python\nprint(', turn, ')\n```') as py",
+        r"concat('<think>\n', text, '\n</think>\n') as think",
     )
-    form = F.col("completion_id") % 7
-    content: Column = F.lit(None).cast("string")
-    for i, value in reversed(list(enumerate(forms))):
-        content = F.when(form == i, value).otherwise(content)
-    return base.withColumn("content", content)
+    return parts.selectExpr("completion_id", "prompt_id", "turn", "body", f"{CODE_FORMS} as content")
 
 
 # Which benchmark each event type stands for in the derived evaluation samples.
