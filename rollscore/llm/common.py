@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -62,11 +63,32 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(words: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each word; each different word is hashed once."""
+def word_hashes(words: pa.Array, normal=None) -> np.ndarray:
+    """A 64-bit hash of each word after ``normal``, 0 where nothing is left of it; each different word is hashed once."""
+    if not len(words):
+        return np.empty(0, np.uint64)
     coded = words.dictionary_encode()
-    table = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
-    return table[coded.indices.to_numpy()] if len(words) else np.empty(0, np.uint64)
+    different = coded.dictionary.to_pylist()
+    if normal:
+        different = map(normal, different)
+    table = np.fromiter((xxhash.xxh3_64_intdigest(w) or 1 if w else 0 for w in different), np.uint64, len(coded.dictionary))
+    return table[coded.indices.to_numpy()]
+
+
+OUTER = re.compile(r"\A[\W_]+|[\W_]+\Z")
+
+
+def bare(word: str) -> str:
+    """Lower case, without the signs around it."""
+    return OUTER.sub("", word).lower()
+
+
+def bare_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the bare words of each text in order, and the bounds between the texts."""
+    words, bounds = split_words(texts)
+    hashes = word_hashes(words, bare)
+    left = np.concatenate([[0], np.cumsum(hashes != 0)])
+    return hashes[hashes != 0], left[bounds]
 
 
 def split_words(texts: pa.Array, lists=pc.ascii_split_whitespace) -> tuple[pa.Array, np.ndarray]:

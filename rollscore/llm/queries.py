@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from . import language, quality, toxicity
+from .common import held_out, table
 from .registry import ORACLES, QUERIES, query
 from .secrets import scan_secrets
 from .urls import match_rules
@@ -21,6 +22,14 @@ URL_RULES = (
 )
 
 
+@query("op1_language")
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held = held_out("doc_id", 3, 1)
+    net = language.train(docs.where(language.learnable(held)))
+    return language.predict(docs.select("doc_id", "text", held.alias("held_out")), net).drop("text")
+
+
 @query("op4_secrets")
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -72,3 +81,25 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     return match_rules(table(spark, sf_dir, "pages", "page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+def labelled(spark: SparkSession, sf_dir: str, label: str, divisor: int, remainder: int) -> tuple[DataFrame, DataFrame]:
+    """Documents, and the labels that may be learned from."""
+    labels = table(spark, sf_dir, "labels", "doc_id", label)
+    return table(spark, sf_dir, "documents", "doc_id", "text"), labels.where(
+        language.learnable(held_out("doc_id", divisor, remainder))
+    )
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = labelled(spark, sf_dir, "toxic", 4, 2)
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted")
+
+
+@query("op10_quality")
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = labelled(spark, sf_dir, "quality", 3, 1)
+    scored = quality.score(docs, quality.train(docs, labels))
+    return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted")

@@ -37,10 +37,10 @@ def reversed_host(host: Column) -> Column:
 
 
 def key_of(host: Column, path: Column, width: Column) -> Column:
-    """The sort key of a rule, or of a url probed for rules with paths of ``width`` characters.
+    """The sort key of a rule; a url probed for rules with paths of ``width`` characters has its path as tail besides.
 
     Path length and path come first, then the reversed host, so that one rule covers one interval: the keys which
-    its own key begins.
+    its own key begins. The tail keeps the urls of one host apart, so a host with very many urls can be cut.
     """
     return F.concat(F.lpad(width.cast("string"), 9, "0"), F.substring(path, F.lit(1), width), F.lit("/"), reversed_host(host))
 
@@ -108,7 +108,7 @@ def match_rules(df: DataFrame, rules: DataFrame, url: str = "url", default: str
         named.groupBy("host", "path")
         .agg(F.lit(0).alias("one"))
         .withColumn("width", F.explode(probe))
-        .select(key_of(F.col("host"), F.col("path"), F.col("width")).alias("key"), "host", "path")
+        .select(F.concat(key_of(F.col("host"), F.col("path"), F.col("width")), "path").alias("key"), "host", "path")
     )
     cuts = cut_points(probes, parts)
 
