@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks
+from .common import chunks, written
 
 #: Rows and features of a batch: for each feature of a document its document number and its feature number.
 Features = tuple[np.ndarray, np.ndarray]
@@ -40,40 +40,33 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.bias + linear + pairs / 2, -60, 60)))
 
 
-def choose(rows: int, features: Features, y: np.ndarray, most: int, least_z: float) -> np.ndarray:
-    """The features whose share differs most between the labels, ``most`` at the utmost, by a two-sample z."""
-    doc, feature = features
-    known, place = np.unique(feature, return_inverse=True)
-    ones, all_ = np.bincount(place, y[doc], len(known)), np.bincount(place, minlength=len(known))
-    n1 = y.sum()
-    n0 = rows - n1
-    p = all_ / rows
-    z = (ones / max(n1, 1) - (all_ - ones) / max(n0, 1)) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / max(n1, 1) + 1 / max(n0, 1)))
-    z = np.where(all_ >= 3, np.abs(z), 0)
-    best = np.lexsort((known, -z))[:most]
-    return np.sort(known[best[z[best] >= least_z]])
+def choose(counts: DataFrame, rows: int, ones: int, most: int, least_z: float) -> np.ndarray:
+    """The features whose share differs most between the labels, ``most`` at the utmost, by a two-sample z.
+
+    ``counts``: feature, n (rows that have it), n1 (those with label 1); features of fewer than 3 rows tell too little.
+    """
+    zeros, p = max(rows - ones, 1), F.col("n") / rows
+    gap = F.col("n1") / max(ones, 1) - (F.col("n") - F.col("n1")) / zeros
+    z = F.abs(gap) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)) * (1 / max(ones, 1) + 1 / zeros))
+    best = counts.where("n >= 3 and feature >= 0").select("feature", z.alias("z")).where(F.col("z") >= least_z)
+    return np.sort(np.array([r.feature for r in best.orderBy(F.desc("z"), "feature").limit(most).collect()], np.int64))
 
 
 def fit(
     rows: int,
     features: Features,
+    kept: np.ndarray,
     y: np.ndarray,
     sample_weight: np.ndarray,
-    most: int = 1024,
-    least_z: float = 4.0,
     rank: int = 8,
     epochs: int = 30,
     rate: float = 0.02,
     decay: float = 1e-4,
 ) -> Machine:
-    """Weighted logistic loss by Adam. Features that tell nothing of the label are left out, so that the many words of
-    a long text add no noise."""
-    kept = choose(rows, features, y, most, least_z)
+    """Weighted logistic loss by Adam over the ``kept`` features, all that ``features`` holds."""
     doc, feature = features
     x = np.zeros((rows, len(kept)), np.float32)
-    place = np.searchsorted(kept, feature)
-    known = (place < len(kept)) & (kept[np.minimum(place, len(kept) - 1)] == feature) if len(kept) else np.zeros(len(doc), bool)
-    x[doc[known], place[known]] = 1
+    x[doc, np.searchsorted(kept, feature)] = 1
     rng = np.random.default_rng(3)
     share = np.average(y, weights=sample_weight)
     state = {
@@ -111,13 +104,16 @@ def learn(
     extract: Callable[[pa.RecordBatch], Features],
     sample: int = 8000,
     id_column: str = "doc_id",
+    most: int = 1024,
+    least_z: float = 4.0,
     **options,
 ) -> Machine | None:
     """A machine for ``label`` (0 or 1, other values are ignored), from at most about ``sample`` labelled documents.
 
     Half of the sample is drawn from either label, by a hash of the id; weights restore the true shares. The drawn
-    ids are few by that bound, so they are broadcast onto the scan of the texts; the driver gets their features. None
-    where either label is missing.
+    ids are few by that bound, so they are broadcast onto the scan of the texts. Features that tell nothing of the
+    label are left out (``choose``), so that the many words of a long text add no noise; the driver gets the ``most``
+    chosen ones of each drawn document. None where either label is missing.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col(id_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("y"))
     known = known.groupBy("id").agg(F.max("y").alias("y"))
@@ -129,23 +125,39 @@ def learn(
     drawn = known.where(draw < F.when(F.col("y") == 1, rates[1]).otherwise(rates[0]))
     joined = docs.withColumnRenamed(id_column, "id").join(F.broadcast(drawn), "id")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def all_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The features of every row; feature -1 counts the rows."""
         for part in chunks(batches, "text"):
             doc, feature = extract(part)
-            order = np.argsort(doc, kind="stable")
+            y = part.column("y").to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([feature, np.full(len(y), -1)])), pa.array(np.concatenate([y[doc], y]))], ["feature", "y"]
+            )
+
+    counted = joined.mapInArrow(all_features, "feature long, y int").groupBy("feature")
+    counts = written(counted.agg(F.count("y").alias("n"), F.sum("y").alias("n1")), "feature-counts")
+    whole = counts.where("feature = -1").first()
+    if whole is None or whole.n1 in (0, whole.n):
+        return None
+    kept = choose(counts, whole.n, whole.n1, most, least_z)
+
+    def kept_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, "text"):
+            doc, feature = extract(part)
+            wanted = np.isin(feature, kept)
+            doc, feature = doc[wanted], feature[wanted].astype(np.int64)
+            order = np.lexsort((feature, doc))
             ends = np.searchsorted(doc[order], np.arange(part.num_rows + 1)).astype(np.int32)
             lists = pa.ListArray.from_arrays(ends, pa.array(feature[order], pa.int64()))
             yield pa.RecordBatch.from_arrays([part.column("id").cast(pa.int64()), part.column("y"), lists], ["id", "y", "f"])
 
-    got = joined.mapInArrow(run, "id long, y int, f array<long>").toPandas()
-    if got.y.nunique() < 2:
-        return None
-    got = got.iloc[np.lexsort((got.f.map(len), got.id))]
+    got = joined.mapInArrow(kept_features, "id long, y int, f array<long>").toPandas()
     sizes_of = got.f.map(len).to_numpy()
-    features = (np.repeat(np.arange(len(got)), sizes_of), np.concatenate(got.f.to_list()).astype(np.int64))
+    got = got.iloc[np.lexsort((sizes_of, got.id))]
+    features = (np.repeat(np.arange(len(got)), got.f.map(len)), np.concatenate([*got.f, np.zeros(0)]).astype(np.int64))
     y = got.y.to_numpy().astype(float)
     weight = np.where(y == 1, 1 / rates[1], 1 / rates[0])
-    return fit(len(got), features, y, weight / weight.mean(), **options)
+    return fit(len(got), features, kept, y, weight / weight.mean(), **options)
 
 
 def apply(
