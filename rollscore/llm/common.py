@@ -50,8 +50,11 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
 
 
 def texts_of(batch: pa.RecordBatch, text: str) -> pa.Array:
-    """The texts of a batch, an empty one for null."""
-    return pc.fill_null(batch.column(text).cast(pa.large_string()), "")
+    """The texts of a batch, an empty one for null; its bytes start at 0, as some Arrow functions need."""
+    texts = pc.fill_null(batch.column(text).cast(pa.large_string()), "")
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+    data = (texts.buffers()[2] or pa.py_buffer(b"")).slice(offsets[0], offsets[-1] - offsets[0])
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets - offsets[0]), data)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

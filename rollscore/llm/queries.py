@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import language, quality, toxicity
 from .common import held_out, table
+from .jaccard import near_copies
 from .registry import ORACLES, QUERIES, query
 from .secrets import scan_secrets
 from .urls import match_rules
@@ -83,6 +84,11 @@ def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match_rules(table(spark, sf_dir, "pages", "page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op7_jaccard")
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def labelled(spark: SparkSession, sf_dir: str, label: str, divisor: int, remainder: int) -> tuple[DataFrame, DataFrame]:
     """Documents, and the labels that may be learned from."""
     labels = table(spark, sf_dir, "labels", "doc_id", label)
