@@ -11,6 +11,7 @@ from .jaccard import near_copies
 from .registry import ORACLES, QUERIES, query
 from .secrets import scan_secrets
 from .urls import match_rules
+from .vectors import near_vectors
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -31,6 +32,11 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "text", held.alias("held_out")), net).drop("text")
 
 
+@query("op3_vectors")
+def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 @query("op4_secrets")
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents", "doc_id", "text"))
