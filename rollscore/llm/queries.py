@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from . import language, quality, toxicity
 from .common import held_out, table
+from .contamination import find_leaks
 from .jaccard import near_copies
+from .pii import replace_entities
 from .registry import ORACLES, QUERIES, query
 from .secrets import scan_secrets
 from .urls import match_rules
@@ -23,6 +25,9 @@ URL_RULES = (
     ("com", "/de/", "block"),
 )
 
+#: Of the registered query; a job brings its own.
+PII_KEY = "surrogate-key"
+
 
 @query("op1_language")
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +37,12 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "text", held.alias("held_out")), net).drop("text")
 
 
+@query("op2_surrogates")
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return replace_entities(docs, PII_KEY).select("doc_id", "n_entities", "text")
+
+
 @query("op3_vectors")
 def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
@@ -109,9 +120,19 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs, toxicity.train(docs, labels))
     return scored.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted")
 
+#: Of the registered query; a job brings its own.
+PII_KEY = "surrogate-key"
+
 
 @query("op10_quality")
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = labelled(spark, sf_dir, "quality", 3, 1)
     scored = quality.score(docs, quality.train(docs, labels))
     return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted")
+
+
+@query("op9_leaks")
+def op9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = find_leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select("doc_id", (F.size("leaked_items") > 0).alias("contaminated"), F.col("leaked_items").alias("items"))
