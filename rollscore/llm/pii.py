@@ -70,7 +70,7 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
             value = value.lower()
         elif kind in ("card", "phone", "ssn"):
             value = re.sub(r"\D", "", value)
-            if kind == "card" and luhn(value[:-1]) != int(value[-1]) and not (len(value) in (15, 16) and value[0] in "3456"):
+            if kind == "card" and (value[0] not in "23456" or luhn(value[:-1]) != int(value[-1])):
                 continue
             if kind == "phone" and not 7 <= len(value) <= 15:
                 continue
@@ -143,11 +143,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
             moved = permuted(key, tweak, moved, [256] * 4)
         return ".".join(map(str, moved))
     if kind == "card":
-        valid = luhn(value[:-1]) == int(value[-1])
-        if valid:
-            body = value[0] + reformat(key, f"{tweak}/{value[0]}", value[1:-1])
-            return body + str(luhn(body))
-        return value[0] + reformat(key, f"{tweak}/{value[0]}", value[1:], lambda s: luhn(value[0] + s[:-1]) != int(s[-1]))
+        body = value[0] + reformat(key, f"{tweak}/{value[0]}", value[1:-1])
+        return body + str(luhn(body))
     if kind == "ssn":
         sound = lambda s: s[:3] not in ("000", "666") and s[0] != "9" and s[3:5] != "00" and s[5:] != "0000"
         return reformat(key, tweak, value, (lambda s: sound(s)) if sound(value) else (lambda s: not sound(s)))
@@ -240,7 +237,7 @@ def replace_entities(df: DataFrame, key: str, text: str = "text", count: str | N
     """All columns of ``df`` with the entities of the text replaced, and the number of them as ``count`` (None: left out).
 
     E-mail and IP addresses, phone, card, social-security and bank account numbers and names after a form of address
-    get surrogates of their type: digits, letters and separators stay in place, check digits stay right or wrong,
+    get surrogates of their type: digits, letters and separators stay in place, cards and accounts get right check digits,
     private addresses private, names keep gender, script and number of words. With one ``key`` an entity has the same
     surrogate in all texts, and different entities of a type have different ones.
 
