@@ -9,6 +9,7 @@ from . import language, quality, toxicity
 from .common import held_out, table
 from .contamination import find_leaks
 from .jaccard import near_copies
+from .pieces import Vocabulary, encode
 from .pii import replace_entities
 from .registry import ORACLES, QUERIES, query
 from .secrets import scan_secrets
@@ -25,6 +26,8 @@ URL_RULES = (
     ("com", "/de/", "block"),
 )
 
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 #: Of the registered query; a job brings its own.
 PII_KEY = "surrogate-key"
 
@@ -120,6 +123,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs, toxicity.train(docs, labels))
     return scored.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted")
 
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 #: Of the registered query; a job brings its own.
 PII_KEY = "surrogate-key"
 
@@ -136,3 +141,8 @@ def op9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     found = find_leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
     return found.select("doc_id", (F.size("leaked_items") > 0).alias("contaminated"), F.col("leaked_items").alias("items"))
+
+
+@query("op5_pieces")
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(table(spark, sf_dir, "documents", "doc_id", "text"), Vocabulary.load(PIECE_MODEL))
