@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import chunks, components, shingles, split_words, texts_of, word_hashes, written
@@ -84,11 +84,20 @@ def common_columns(df: DataFrame, width: int) -> np.ndarray:
 
 def needed(n, percent: int):
     """The least overlap with any set that reaches the similarity."""
-    return (percent * n + 99) // 100
+    return F.floor((percent * n + 99) / 100) if isinstance(n, Column) else (percent * n + 99) // 100
+
+
+def reachable(n: Column, m: Column, shared: Column, percent: int) -> Column:
+    """Whether two sets of ``n`` and ``m`` columns that share so many prefix columns can be similar enough.
+
+    Of the set whose prefix ends first, each shared column is in both prefixes or behind its own prefix.
+    """
+    rest = F.greatest(needed(n, percent), needed(m, percent), F.lit(1)).cast("long") - 1
+    return shared + rest >= F.ceil(percent * (n + m) / F.lit(100 + percent))
 
 
 def prefixes(df: DataFrame, width: int, percent: int, common: np.ndarray) -> DataFrame:
-    """The columns of each row that may be the first one shared with a similar row: (token, class, n, place).
+    """The columns of each row that may be the first one shared with a similar row: (token, class, n).
 
     Columns are ordered rare ones first. Two sets that are similar enough share one of their first n - needed + 1.
     """
@@ -96,7 +105,7 @@ def prefixes(df: DataFrame, width: int, percent: int, common: np.ndarray) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for part in chunks(batches, "text"):
-            tokens, classes, sizes, places = [], [], [], []
+            tokens, classes, sizes = [], [], []
             if len(seen) > 1_000_000:
                 seen.clear()
             for row in sets_of(part, width):
@@ -110,14 +119,13 @@ def prefixes(df: DataFrame, width: int, percent: int, common: np.ndarray) -> Dat
                 tokens.append(first)
                 classes.append(np.full(len(first), own, np.int64))
                 sizes.append(np.full(len(first), n, np.int32))
-                places.append(np.arange(len(first), dtype=np.int32))
             if tokens:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(np.concatenate(tokens))), *[pa.array(np.concatenate(x)) for x in (classes, sizes, places)]],
-                    ["token", "class", "n", "place"],
+                    [pa.array(signed(np.concatenate(tokens))), *[pa.array(np.concatenate(x)) for x in (classes, sizes)]],
+                    ["token", "class", "n"],
                 )
 
-    return df.mapInArrow(run, "token long, class long, n int, place int")
+    return df.mapInArrow(run, "token long, class long, n int")
 
 
 def overlaps(df: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
@@ -185,10 +193,12 @@ def similar_classes(df: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, component) of the linked classes. Every two similar classes get one component.
 
     1. Prefix columns of all rows are brought together by column; columns of one class only drop out.
-    2. In each column and size band, all classes are multiplied with the smallest. Near copies, however many, become
-       one component by a number of products in proportion to their columns.
-    3. In columns that still join several components, all pairs of different components are multiplied that the size
-       bounds and the places of the shared column leave possible. Pairs within a component need no product.
+    2. In each column and size band, all classes meet the smallest one of the band and of the band below. Each class
+       is multiplied with the one of either that it shares most columns with, if these are enough. So near copies,
+       however many, become one component by two products each.
+    3. In columns that still join several components, all pairs of different components within the size bounds meet.
+       Their shared prefix columns are counted, and pairs whose count cannot reach the needed overlap are discarded;
+       the others are multiplied. Pairs within a component need no product.
     """
     common = common_columns(df, width)
     column = Window.partitionBy("token")
@@ -203,10 +213,16 @@ def similar_classes(df: DataFrame, width: int, percent: int) -> DataFrame:
     index = written(index, "prefix-index")
     banded = index.withColumn("band", F.floor(F.log(F.col("n")) / math.log(100 / percent)).cast("int"))
     least = banded.groupBy("token", "band").agg(F.min(F.struct("n", "class")).alias("lead"))
+    offered = least.withColumn("step", F.lit(0)).union(least.withColumn("band", F.col("band") + 1).withColumn("step", F.lit(1)))
     star = (
-        banded.join(least, ["token", "band"])
+        banded.join(offered, ["token", "band"])
         .where(F.col("class") != F.col("lead.class"))
-        .select(F.col("lead.class").alias("a"), F.col("class").alias("b"))
+        .groupBy(F.col("lead.class").alias("a"), F.col("class").alias("b"), F.col("lead.n").alias("n"), F.col("n").alias("m"), "step")
+        .agg(F.count(F.lit(1)).alias("shared"))
+        .where(reachable(F.col("n"), F.col("m"), F.col("shared"), percent))
+        .groupBy("b", "step")
+        .agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
+        .select("a", "b")
         .distinct()
     )
     star = written(star, "star")
@@ -224,15 +240,15 @@ def similar_classes(df: DataFrame, width: int, percent: int) -> DataFrame:
         .drop("low", "high")
     )
     x, y = mixed.alias("x"), mixed.alias("y")
-    n, m, i, j = F.col("x.n"), F.col("y.n"), F.col("x.place"), F.col("y.place")
-    overlap = F.ceil(percent * (n + m) / F.lit(100 + percent))
+    n, m = F.col("x.n"), F.col("y.n")
     pairs = (
         x.join(y, F.col("x.token") == F.col("y.token"))
         .where((n < m) | ((n == m) & (F.col("x.class") < F.col("y.class"))))
         .where((100 * n >= percent * m) & (F.col("x.component") != F.col("y.component")))
-        .where(1 + F.least(n - i - 1, m - j - 1) >= overlap)
-        .select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
-        .distinct()
+        .groupBy(F.col("x.class").alias("a"), F.col("y.class").alias("b"), n.alias("n"), m.alias("m"))
+        .agg(F.count(F.lit(1)).alias("shared"))
+        .where(reachable(F.col("n"), F.col("m"), F.col("shared"), percent))
+        .select("a", "b")
         .join(star, ["a", "b"], "left_anti")
     )
     pairs = written(pairs, "cross-pairs")
