@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -11,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,9 +23,9 @@ from .common import written
 
 SPACE = "▁"
 #: Text bytes of a block; documents of a block share one list of words.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 12 << 20
 #: The words in most blocks, at most so many, are sent to all tasks with their cuts; the others are joined.
-FREQUENT = 200_000
+FREQUENT = 100_000
 #: Stands for the word that is a NUL character; no other word has these two characters.
 NUL_WORD = "\x01\x02"
 #: Bits of a mask in which cuts between characters are kept.
@@ -199,10 +201,11 @@ def word_table(blocks: DataFrame) -> DataFrame:
     return blocks.select("words").mapInArrow(run, "word string").groupBy("word").agg(F.count(F.lit(1)).alias("blocks"))
 
 
-def rare_words(blocks: DataFrame, frequent: dict[str, list[int]]) -> DataFrame:
+def rare_words(blocks: DataFrame, sent: Broadcast) -> DataFrame:
     """(block, number, word) of the words that are not among the frequent ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = sent.value
         for batch in batches:
             for block, data in zip(batch.column("block").to_pylist(), batch.column("words").to_pylist(), strict=True):
                 rare = [(i, w) for i, w in enumerate(words_of(data)) if len(w) > 1 and w not in frequent]
@@ -230,11 +233,12 @@ class Speller:
         self.ends = np.cumsum([len(x) for x in spelled])
         self.sizes = np.array([len(x) for x in spelled])
 
-    def spell(self, word: str, cuts: list[int] | None) -> list[int]:
+    def spell(self, word: str, cuts: int | list[int] | None) -> list[int]:
+        """``cuts``: one mask of a short word, the masks of a long one, or None where every character stands alone."""
         if cuts is None:
             parts = word
-        elif len(cuts) == 1:
-            at = [i for i in range(len(word) + 1) if cuts[0] >> i & 1]
+        elif isinstance(cuts, int):
+            at = [i for i in range(len(word) + 1) if cuts >> i & 1]
             parts = [word[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
         else:
             at = [i for i in range(len(word) + 1) if cuts[i // BITS] >> i % BITS & 1]
@@ -282,10 +286,10 @@ def encode(
     own = df.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     blocks = bucketed(blocks_of(own, vocabulary))
     found = written(cut(word_table(blocks), vocabulary), "lexicon")
-    top = found.where("blocks > 1").orderBy(F.desc("blocks"), "word").limit(frequent).select("word", "cuts").collect()
-    known = {r.word: r.cuts for r in top}
-    sent = spark.sparkContext.broadcast(known)
-    rare = rare_words(blocks, known).join(found.select("word", "cuts"), "word").groupBy("block").agg(F.collect_list(F.struct("number", "cuts")).alias("rare"))
+    short = found.where((F.col("blocks") > 1) & (F.length("word") < BITS))
+    top = short.orderBy(F.desc("blocks"), "word").limit(frequent).select("word", F.col("cuts")[0].alias("cut")).toPandas()
+    sent = spark.sparkContext.broadcast(dict(zip(top.word, top.cut.tolist(), strict=True)))
+    rare = rare_words(blocks, sent).join(found.select("word", "cuts"), "word").groupBy("block").agg(F.collect_list(F.struct("number", "cuts")).alias("rare"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         speller, common = Speller(vocabulary), sent.value
@@ -297,7 +301,7 @@ def encode(
                 if row["rare"].is_valid:
                     numbers, lists = row["rare"].values.flatten()
                     for n, c in zip(numbers.to_pylist(), lists.to_pylist(), strict=True):
-                        cuts[n] = c
+                        cuts[n] = c[0] if len(c) == 1 else c
                 yield from spelled_block(row, words, cuts, speller)
 
     return blocks.join(rare, "block", "left").mapInArrow(run, "id long, ids array<int>, n_tokens int, round_trip boolean").withColumnRenamed("id", id_column)
@@ -305,9 +309,12 @@ def encode(
 
 def spelled_block(row: dict, words: list[str], cuts: list, speller: Speller) -> Iterator[pa.RecordBatch]:
     """The documents of one block with the ids of their texts, some at a time."""
-    spelled = [speller.spell(w, c) for w, c in zip(words, cuts, strict=True)]
-    sizes = np.array([len(x) for x in spelled], np.int64)
-    flat = np.fromiter((i for x in spelled for i in x), np.int32, int(sizes.sum()))
+    spelled, sizes = array("i"), np.zeros(len(words), np.int64)
+    for i, (word, c) in enumerate(zip(words, cuts, strict=True)):
+        own = speller.spell(word, c)
+        spelled.extend(own)
+        sizes[i] = len(own)
+    flat = np.frombuffer(spelled, np.int32) if spelled else np.zeros(0, np.int32)
     starts = np.cumsum(sizes) - sizes
     codes = unpacked(row["codes"].as_py())
     ids, ends, digests = (row[n].as_py() for n in ("ids", "ends", "digests"))
