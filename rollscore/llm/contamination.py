@@ -24,7 +24,7 @@ def multipliers() -> np.ndarray:
 
 def key_of(size: int, number, value: np.ndarray) -> np.ndarray:
     """One number for (size partition, hash function, least value)."""
-    return mix(value + np.uint64(size) * np.uint64(0x9E3779B97F4A7C15) + np.asarray(number, np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    return mix(value + np.uint64(size * 0x9E3779B97F4A7C15 % (1 << 64)) + np.atleast_1d(np.asarray(number, np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def partition_of(n: int) -> int:
