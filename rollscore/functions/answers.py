@@ -92,7 +92,7 @@ def numeric_value(norm: Column | str) -> Column:
     """Value of a plain number, a percentage or a fraction in normalised text; null otherwise."""
     num = r"[+-]?(?:\d+(?:\.\d+)?|\.\d+)"
     fraction = rf"\A([+-]?)\\frac\{{({num})\}}\{{({num})\}}\z"
-    flat = F.replace(F.regexp_replace(as_col(norm), fraction, "$1$2/$3"), F.lit("--"), F.lit(""))
+    flat = F.regexp_replace(F.regexp_replace(as_col(norm), fraction, "$1$2/$3"), r"\A--", "")
     number = rf"\A({num})(?:/({num})|(\\?%))?\z"
     top, under, percent = (F.regexp_extract(flat, number, i) for i in (1, 2, 3))
     divisor = F.when(percent != "", F.lit(100.0)).when(under != "", under.try_cast("double")).otherwise(F.lit(1.0))
@@ -141,7 +141,8 @@ def gold_letter(index: Column | str) -> Column:
 
 
 def index_match(c: Column | str, choices: Column | str, gold_index: Column | str) -> Column:
-    """1.0 if the extracted choice letter is the gold one."""
-    letter = F.regexp_extract(as_col(c), r"Answer:\s*\$?([A-D])", 1)
+    """1.0 if the last choice letter that stands alone after ``Answer:`` is the gold one."""
+    found = F.regexp_extract_all(as_col(c), F.lit(r"Answer:\s*\$?([A-D])(?![A-Za-z])"), F.lit(1))
+    letter = F.try_element_at(found, F.lit(-1))
     gold = F.element_at(as_col(choices), as_col(gold_index).cast("int") + 1)
     return F.coalesce((letter == gold).cast("double"), F.lit(0.0))

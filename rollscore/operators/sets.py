@@ -32,6 +32,6 @@ def expand_benchmarks(requested: DataFrame, known: Sequence[str], by: str = "req
     return names.where(~wants_all).select(by, "benchmark").unionByName(alone.select(by, every.alias("benchmark")))
 
 
-def benchmarks_unsupported(requested: DataFrame, known: Sequence[str]) -> DataFrame:
-    """Requested names that are not registered; a caller treats any row as an error."""
-    return requested.where(~F.coalesce(F.col("benchmark").isin(list(known)), F.lit(False)))
+def benchmarks_unsupported(requested: DataFrame, known: Sequence[str], by: str = "request_id") -> DataFrame:
+    """Requested names that are not registered, once a lone ``all`` is expanded; a caller treats any row as an error."""
+    return expand_benchmarks(requested, known, by).where(~F.coalesce(F.col("benchmark").isin(list(known)), F.lit(False)))

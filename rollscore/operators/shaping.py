@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -130,7 +131,9 @@ def generation_requests(
         params["temperature"] = F.lit(float(temperature))
     if top_p is not None:
         params["top_p"] = F.lit(float(top_p))
-    filled = fill_template(template.replace("{{ instruction }}", "{instruction}"), instruction=F.col(prompt_column))
+    pieces = re.split(r"\{\{\s*instruction\s*\}\}", template)
+    slots = [x for p in pieces for x in (F.lit(p), F.col(prompt_column))][:-1]
+    filled = F.concat(*slots)
     return df.withColumn("instruction", filled).withColumn(
         "params", F.struct(*[c.alias(name) for name, c in params.items()])
     )

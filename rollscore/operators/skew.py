@@ -134,21 +134,24 @@ def unit_dense_rank(
 ) -> DataFrame:
     """Dense rank of ``value`` (within 0..1, highest first) per key, without sorting a key's rows in one task.
 
-    Distinct values are ranked inside equal-width buckets; a bucket starts after the distinct values of all higher
+    Null keys and null values are values too; a null value ranks last. Distinct values are ranked inside equal-width buckets; a bucket starts after the distinct values of all higher
     buckets of its key. At most ``buckets`` + 1 counts per key pass through the running sum.
     """
-    keys = list(keys)
-    distinct = df.select(*keys, value).distinct().withColumn("_b", F.floor(F.col(value) * buckets).cast("int"))
+    names, keys = list(keys), ["_keys"]
+    df = df.withColumn("_keys", F.struct(*names, F.lit(0).alias("_one"))).withColumn("_value", F.struct(value))
+    distinct = df.select(*keys, value, "_value").distinct().withColumn("_b", F.floor(F.col(value) * buckets).cast("int"))
     inside = Window.partitionBy(*keys, "_b").orderBy(F.desc(value))
     above = Window.partitionBy(*keys).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        distinct.groupBy(*keys, "_b")
+        distinct.withColumn("_b", F.coalesce("_b", F.lit(-1)))
+        .groupBy(*keys, "_b")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(*keys, "_b", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_start"))
     )
     ranked = (
-        distinct.withColumn("_in", F.dense_rank().over(inside))
+        distinct.withColumn("_b", F.coalesce("_b", F.lit(-1)))
+        .withColumn("_in", F.dense_rank().over(inside))
         .join(starts, [*keys, "_b"])
-        .select(*keys, value, (F.col("_start") + F.col("_in")).cast("int").alias(out))
+        .select(*keys, "_value", (F.col("_start") + F.col("_in")).cast("int").alias(out))
     )
-    return attach_by_key(df, ranked, [*keys, value], spread_on).drop("_matched")
+    return attach_by_key(df, ranked, [*keys, "_value"], spread_on).drop("_matched", "_keys", "_value")

@@ -306,7 +306,9 @@ def expand_benchmarks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "benchmarks_unsupported",
-    f"select distinct request_id, benchmark from ({REQUESTS_SQL}) where benchmark not in {KNOWN_SQL}",
+    f"""with q as ({REQUESTS_SQL}), lone as (select request_id from q group by request_id having count(*) = 1)
+    select distinct request_id, benchmark from q where benchmark not in {KNOWN_SQL}
+    and not (benchmark = 'all' and request_id in (select request_id from lone))""",
 )
 def benchmarks_unsupported_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.benchmarks_unsupported(requests(spark, sf_dir), KNOWN).distinct()

@@ -84,19 +84,20 @@ def generate(
 
 
 def score_eval_samples(samples: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Add ``score`` to (task, content, choices, gold_index) rows by the metric of their task. No shuffle.
+    """Add ``score`` to (task, content, choices, gold_index) rows by the metric of their task. A task that is not in ``tasks`` has a null score.
 
     Letter tasks compare the extracted letter with the gold one; the others compare the boxed answer with every choice.
     """
-    metrics = F.broadcast(tasks.select("task", "metric"))
+    metrics = tasks.select("task", "metric")
     by_letter = F.col("metric") == "letters"
     # Null inputs keep the answer parser off the letter rows.
-    parsed = samples.join(metrics, "task").withColumns(
+    parsed = samples.join(metrics, "task", "left").withColumns(
         {"_text": F.when(~by_letter, F.col("content")), "_golds_in": F.when(~by_letter, F.col("choices"))}
     )
     graded = with_multi_gold(parsed, "_text", "_golds_in", "_math")
     letters = index_match("content", "choices", "gold_index")
-    scored = graded.withColumn("score", F.when(by_letter, letters).otherwise(F.col("_math")))
+    by_metric = F.when(by_letter, letters).otherwise(F.col("_math"))
+    scored = graded.withColumn("score", F.when(F.col("metric").isNotNull(), by_metric))
     return scored.drop("_math", "_text", "_golds_in")
 
 

@@ -189,7 +189,7 @@ def boxed_answer_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """with a as (
       select event_id, concat(props, chr(10), 'Answer: ', case when user_id % 2 = 0 then '$' else '' end,
         substr('ABCDE', cast(event_id % 5 as integer) + 1, 1)) as content, user_id % 4 as gold_index from events)
-    select event_id, case when regexp_extract(content, 'Answer:\\s*\\$?([A-D])', 1) = substr('ABCD', cast(gold_index as integer) + 1, 1)
+    select event_id, case when regexp_extract_all(content, 'Answer:\\s*\\$?([A-D])(?:[^A-Za-z]|$)', 1)[-1] = substr('ABCD', cast(gold_index as integer) + 1, 1)
       then 1.0::double else 0.0::double end as score from a""".replace("\\\\", "\\"),
 )
 def index_match_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -133,7 +133,7 @@ def stream_checkpoint_jobs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.explode(F.sequence(F.lit(1), F.lit(2))).alias("announcement"),
     ).drop("announcement")
     out = fresh_path(spark, "jobs")
-    stream = stream_checkpoint_jobs(saves, ["math_500", "gpqa"], out, fresh_path(spark, "jobs-state"), "60 days")
+    stream = stream_checkpoint_jobs(saves, ["math_500", "gpqa"], out, fresh_path(spark, "jobs-state"))
     stream.awaitTermination()
     jobs = spark.read.parquet(out)
     return jobs.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))

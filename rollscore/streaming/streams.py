@@ -58,11 +58,12 @@ def read_leaderboard(spark: SparkSession, out: str) -> DataFrame:
     return versions.join(F.broadcast(newest), F.col("version") == F.col("newest")).drop("version", "newest")
 
 
-def checkpoint_jobs(saves: DataFrame, benchmarks: Sequence[str], watermark: str, revision: str = "main") -> DataFrame:
+def checkpoint_jobs(saves: DataFrame, benchmarks: Sequence[str], watermark: str | None = None, revision: str = "main") -> DataFrame:
     """One evaluation job per run, saved step and benchmark, however often the save is announced.
 
-    ``saves`` has run, step, ts. A repeat is dropped if it comes within ``watermark`` of the first announcement, which
-    also bounds the state: one row per recent save, since the benchmarks are unrolled after the repeats are gone.
+    ``saves`` has run, step, ts. Without a ``watermark`` every save counts, however late, and the state holds one narrow
+    row per save, since the benchmarks are unrolled after the repeats are gone. With one the state holds recent saves
+    alone, but saves older than it are lost and repeats after it count again.
     """
     known = [(b, s, t) for b, s, t in BENCHMARKS if b in benchmarks]
     missing = set(benchmarks) - {b for b, _, _ in known}
@@ -72,7 +73,9 @@ def checkpoint_jobs(saves: DataFrame, benchmarks: Sequence[str], watermark: str,
         F.struct(F.lit(b).alias("benchmark"), build_task_key(F.lit(s), F.lit(t)).alias("task_key")) for b, s, t in known
     ]
     steps = save_step_filter(saves).select("run", "step", "ts")
-    if steps.isStreaming:
+    if steps.isStreaming and watermark is None:
+        once = steps.dropDuplicates(["run", "step"])
+    elif steps.isStreaming:
         once = steps.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["run", "step"])
     else:
         once = steps.groupBy("run", "step").agg(F.min("ts").alias("ts"))
@@ -81,7 +84,7 @@ def checkpoint_jobs(saves: DataFrame, benchmarks: Sequence[str], watermark: str,
 
 
 def stream_checkpoint_jobs(
-    saves: DataFrame, benchmarks: Sequence[str], out: str, checkpoint: str, watermark: str = "7 days"
+    saves: DataFrame, benchmarks: Sequence[str], out: str, checkpoint: str, watermark: str | None = None
 ) -> StreamingQuery:
     """Append the job table to ``out`` (parquet, exactly once through the sink's own commit log)."""
     jobs = checkpoint_jobs(saves, benchmarks, watermark)

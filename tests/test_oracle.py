@@ -6,9 +6,7 @@ import math
 
 import pytest
 
-import __spark_entry__ as entry_module
-
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+from rollscore.plans.catalog import ORACLES, QUERIES
 
 
 def cell(x):
