@@ -43,22 +43,43 @@ def extract_answer(c: Column | str) -> Column:
     )
 
 
-def _box_pattern(depth: int) -> str:
-    """Balanced box with up to ``depth`` nested brace levels.
+def boxed_answer(c: Column | str) -> Column:
+    """Content of the last balanced box, braces nested to any depth; null without one.
 
-    All quantifiers are possessive: the matcher loops instead of recursing, so a very long box cannot exhaust the stack
-    of the executor thread.
+    One pass over braces and the text between them keeps the depth and the boxes that are still open. Of nested boxes
+    the outermost one closes last, so the box closed last is the answer.
     """
-    inner = "[^{}]*+"
-    for _ in range(depth):
-        inner = f"(?:[^{{}}]++|\\{{{inner}\\}})*+"
-    return f"\\\\boxed\\{{({inner})\\}}"
-
+    c = as_col(c)
+    tail = F.substring(c, F.instr(c, BOX), F.length(c))
+    tokens = F.regexp_extract_all(tail, F.lit(r"\\boxed\{|[{}]|[^{}\\]++|\\"), F.lit(0))
+    opened = "array<struct<start:int,depth:int>>"
+    state = F.struct(
+        F.lit(1).alias("at"),
+        F.lit(0).alias("depth"),
+        F.array().cast(opened).alias("open"),
+        F.lit(0).alias("start"),
+        F.lit(0).alias("size"),
+    )
 
-def boxed_answer(c: Column | str, depth: int = 8) -> Column:
-    """Content of the last balanced box; null without one."""
-    boxes = F.regexp_extract_all(as_col(c), F.lit(_box_pattern(depth)), F.lit(1))
-    return F.try_element_at(boxes, F.lit(-1))
+    def step(s: Column, t: Column) -> Column:
+        closes, opens = t == "}", (t == "{") | (t == BOX)
+        deeper = s["depth"] + F.when(opens, 1).when(closes & (s["depth"] > 0), -1).otherwise(0)
+        top = F.try_element_at(s["open"], F.lit(-1))
+        done = F.coalesce(closes & (top["depth"] == s["depth"]), F.lit(False))
+        box = F.array(F.struct((s["at"] + len(BOX)).alias("start"), deeper.alias("depth")))
+        return F.struct(
+            (s["at"] + F.length(t)).alias("at"),
+            deeper.alias("depth"),
+            F.when(t == BOX, F.concat(s["open"], box))
+            .when(done, F.slice(s["open"], 1, F.greatest(F.size(s["open"]) - 1, F.lit(0))))
+            .otherwise(s["open"])
+            .alias("open"),
+            F.when(done, top["start"]).otherwise(s["start"]).alias("start"),
+            F.when(done, s["at"] - top["start"]).otherwise(s["size"]).alias("size"),
+        )
+
+    found = F.aggregate(tokens, state, step, lambda s: F.when(s["start"] > 0, F.substring(tail, s["start"], s["size"])))
+    return F.when(F.instr(c, BOX) > 0, found)
 
 
 def normalize_answer(c: Column | str) -> Column:

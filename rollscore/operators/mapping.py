@@ -23,18 +23,22 @@ def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema:
 def external_step(
     requests: DataFrame,
     make_client: Callable[[], Callable[[list[str]], Sequence[str]]],
-    replicas: int = 1,
+    replicas: int | None = None,
     batch_rows: int = 64,
     retries: int = 0,
     pause: float = 1.0,
     prompt: str = "instruction",
+    batch: Sequence[str] = (),
 ) -> DataFrame:
     """Send requests to a user-supplied client in batches and add ``text`` and ``error``.
 
-    ``replicas`` partitions call at the same time; each makes its own client once (the client brings its own timeout).
-    A batch that still fails after the retries keeps its rows, with a null text and the error message. The functions
-    sent to the executors are closures, so nothing but pandas has to be installed there.
+    ``replicas`` partitions (by default as many as a shuffle has) call at the same time; each makes its own client once
+    (the client brings its own timeout). The columns in ``batch`` number the batches, one call each; without them a call
+    takes up to ``batch_rows`` rows as they come. A batch that still fails after the retries keeps its rows, with a null
+    text and the error message. The functions sent to the executors are closures, so nothing but pandas has to be
+    installed there.
     """
+    numbers = list(batch)
 
     def ask(client: Callable[[list[str]], Sequence[str]], prompts: list[str]) -> tuple[list, str | None]:
         failure = None
@@ -47,16 +51,34 @@ def external_step(
                     time.sleep(pause * 2**attempt)
         return [None] * len(prompts), failure
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def by_size(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for at in range(0, len(frame), batch_rows):
+                yield frame.iloc[at : at + batch_rows]
+
+    def by_number(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for frame in frames:
+            parts = [p for _, p in frame.groupby(numbers, sort=False, dropna=False)]
+            if held is not None and parts and held[numbers].iloc[0].equals(parts[0][numbers].iloc[0]):
+                parts[0] = pd.concat([held, parts[0]])
+            elif held is not None:
+                yield held
+            held = parts.pop() if parts else None
+            yield from parts
+        if held is not None:
+            yield held
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = None
-        for batch in batches:
+        for part in by_number(frames) if numbers else by_size(frames):
             client = client or make_client()
-            for at in range(0, len(batch), batch_rows):
-                part = batch.iloc[at : at + batch_rows]
-                texts, failure = ask(client, part[prompt].tolist())
-                yield part.assign(text=texts, error=failure)
+            texts, failure = ask(client, part[prompt].tolist())
+            yield part.assign(text=texts, error=failure)
 
     schema = T.StructType(
         [*requests.schema.fields, T.StructField("text", T.StringType()), T.StructField("error", T.StringType())]
     )
-    return requests.repartition(replicas).mapInPandas(run, schema)
+    parts = replicas or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = requests.repartition(parts, *numbers)
+    return (dealt.sortWithinPartitions(*numbers) if numbers else dealt).mapInPandas(run, schema)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import as_col, fill_template, int_div, py_split
-from .skew import attach_group_stats
+from .skew import running_total
 
 MESSAGE = "struct<role:string,content:string>"
 
@@ -36,10 +36,6 @@ LOAD_BATCHES = 1000
 MAX_NEW_TOKENS = 8192
 PACKED_LENGTH = 4096
 
-# Messages of one conversation, or generations of one prompt, kept in one output row. Longer ones continue in further
-# rows (``part`` 1, 2, ...), so no task has to hold an unbounded group.
-ROWS_PER_PART = 10_000
-
 
 def message(role: str, content: Column | str) -> Column:
     return F.struct(F.lit(role).alias("role"), as_col(content).alias("content"))
@@ -67,43 +63,52 @@ def render_message(role: Column, content: Column, eos: str) -> Column:
 
 
 def chat_render(messages: Column | str, eos: str = "</s>", generation_prompt: bool = False) -> Column:
-    """Text of an array of messages; unknown roles are left out, the generation marker ends without a newline."""
+    """Text of an array of messages; unknown roles are left out, the generation marker ends without a newline.
+
+    The marker follows the last message, so an empty conversation has an empty text.
+    """
     known = F.filter(as_col(messages), lambda m: m["role"].isin(CHAT_ROLES))
     text = F.array_join(F.transform(known, lambda m: render_message(m["role"], m["content"], eos)), "")
-    return F.concat(text, F.lit("<|assistant|>")) if generation_prompt else text
+    marker = F.when(F.size(as_col(messages)) > 0, F.lit("<|assistant|>")).otherwise(F.lit(""))
+    return F.concat(text, marker) if generation_prompt else text
+
+
+def _parts(index: str, rows_per_part: int | None) -> list[Column]:
+    return [] if rows_per_part is None else [int_div(index, rows_per_part).cast("int").alias("part")]
 
 
 def collect_messages(
     turns: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", content: str = "text",
-    rows_per_part: int = ROWS_PER_PART,
+    rows_per_part: int | None = None,
 ) -> DataFrame:
-    """Turn rows to ordered message arrays, in parts of at most ``rows_per_part`` consecutive turn numbers.
+    """Turn rows to one ordered message array per conversation.
 
-    An ordinary conversation is one row (part 0). The part number comes from the turn itself, so the shuffle key
-    (conversation, part) bounds every group, whatever the conversation's length.
+    With ``rows_per_part``, a conversation continues in a further row (``part``) after so many turn numbers, so that
+    the shuffle key (conversation, part) bounds every group.
     """
-    part = int_div(turn, rows_per_part).cast("int")
     packed = F.struct(F.col(turn).alias("t"), F.col(role).alias("role"), F.col(content).alias("content"))
-    return (
-        turns.groupBy(key, part.alias("part"))
-        .agg(F.sort_array(F.collect_list(packed)).alias("_m"))
-        .select(
-            key,
-            "part",
-            F.transform("_m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages"),
-        )
-    )
+    grouped = turns.groupBy(key, *_parts(turn, rows_per_part)).agg(F.sort_array(F.collect_list(packed)).alias("_m"))
+    messages = F.transform("_m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+    return grouped.withColumn("messages", messages).drop("_m")
+
+
+def render_turns(turns: DataFrame, role: str = "role", content: str = "text", eos: str = "</s>") -> DataFrame:
+    """Add ``rendered``, the chat text of each turn: the long form, for conversations too large for one row."""
+    text = render_message(F.col(role), F.col(content), eos)
+    return turns.withColumn("rendered", F.when(F.col(role).isin(CHAT_ROLES), text).otherwise(F.lit("")))
 
 
 def render_conversations(
     turns: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", content: str = "text",
-    eos: str = "</s>", generation_prompt: bool = False, rows_per_part: int = ROWS_PER_PART,
+    eos: str = "</s>", generation_prompt: bool = False, rows_per_part: int | None = None,
 ) -> DataFrame:
-    """Chat text of every conversation; the parts of a long one concatenate to its text.
+    """Chat text of every conversation, in one scan. With ``rows_per_part`` the parts concatenate to the text.
 
     The generation marker belongs to the last part only, found from the largest turn number of each conversation.
     """
     parts = collect_messages(turns, key, turn, role, content, rows_per_part)
+    if rows_per_part is None:
+        return parts.select(key, chat_render("messages", eos, generation_prompt).alias("rendered"))
     text = chat_render("messages", eos)
     if not generation_prompt:
         return parts.select(key, "part", text.alias("rendered"))
@@ -146,28 +151,33 @@ def replicate_generations(df: DataFrame, n: int) -> DataFrame:
 def request_batches(
     df: DataFrame, row_id: str, order: Sequence[str] = (), batch_rows: int = BATCH_ROWS, load_batches: int = LOAD_BATCHES
 ) -> DataFrame:
-    """Number requests into batches inside load units of ``batch_rows * load_batches`` consecutive ids.
+    """Number requests in the order of an integer id into load units of ``load_batches`` batches of ``batch_rows`` rows.
 
-    The load unit is computed from the id, so every window holds at most that many ids and no global order is needed.
-    Ids should be dense, or batches stay small: number sparse ids with ``seeded_shuffle`` first and batch the positions.
+    Rows are counted, not ids, so every batch but the last is full whatever the gaps between ids.
     """
-    unit_ids = batch_rows * load_batches
-    w = Window.partitionBy("load_unit").orderBy(row_id, *order)
-    units = df.withColumn("load_unit", int_div(row_id, unit_ids))
-    return units.withColumn("batch", int_div(F.row_number().over(w) - 1, batch_rows))
+    unit_rows = batch_rows * load_batches
+    numbered = running_total(df, row_id, order, F.lit(1), "_row")
+    return (
+        numbered.withColumn("load_unit", int_div("_row", unit_rows))
+        .withColumn("batch", int_div(F.col("_row") % unit_rows, batch_rows))
+        .drop("_row")
+    )
 
 
 def group_generations(
-    df: DataFrame, key: str = "prompt_id", index: str = "gen_idx", text: str = "text", rows_per_part: int = ROWS_PER_PART
+    df: DataFrame, key: str = "prompt_id", index: str = "gen_idx", text: str = "text", error: str | None = None,
+    rows_per_part: int | None = None,
 ) -> DataFrame:
-    """Generations of a prompt as one ordered array (in parts of ``rows_per_part`` indices)."""
-    part = int_div(index, rows_per_part).cast("int")
-    packed = F.struct(F.col(index).alias("i"), F.col(text).alias("text"))
-    return (
-        df.groupBy(key, part.alias("part"))
-        .agg(F.sort_array(F.collect_list(packed)).alias("_g"))
-        .select(key, "part", F.transform("_g", lambda g: g["text"]).alias("generations"))
-    )
+    """Generations of a prompt as one ordered array, and ``errors`` beside it if ``error`` names their column.
+
+    With ``rows_per_part``, a prompt continues in a further row (``part``) after so many indices.
+    """
+    packed = F.struct(F.col(index).alias("i"), F.col(text).alias("text"), (F.col(error) if error else F.lit(None)).alias("error"))
+    grouped = df.groupBy(key, *_parts(index, rows_per_part)).agg(F.sort_array(F.collect_list(packed)).alias("_g"))
+    grouped = grouped.withColumn("generations", F.transform("_g", lambda g: g["text"]))
+    if error:
+        grouped = grouped.withColumn("errors", F.transform("_g", lambda g: g["error"]))
+    return grouped.drop("_g")
 
 
 def whitespace_tokens(text: Column | str) -> Column:
@@ -182,11 +192,14 @@ def truncate_prompt(df: DataFrame, tokens: str = "tokens", k: int = MAX_PROMPT_L
 
 
 def left_pad_batch(
-    df: DataFrame, ids: str, batch: Sequence[str], row_id: Sequence[str], pad: Column, **bounds: int
+    df: DataFrame, ids: str, batch: Sequence[str], pad: Column
 ) -> DataFrame:
-    """Pad token arrays on the left to the longest of their batch; adds ``padded`` and ``pad_mask``."""
+    """Pad token arrays on the left to the longest of their batch; adds ``padded`` and ``pad_mask``.
+
+    A padding batch is small by definition (it becomes one tensor), so one window on it is enough.
+    """
     sized = df.withColumn("_n", F.size(ids))
-    joined = attach_group_stats(sized, batch, row_id, {"_max": F.max("_n")}, **bounds)
+    joined = sized.withColumn("_max", F.max("_n").over(Window.partitionBy(*batch)))
     gap = F.col("_max") - F.col("_n")
     return (
         joined.withColumn("padded", F.concat(F.array_repeat(pad, gap), F.col(ids)))
@@ -196,21 +209,16 @@ def left_pad_batch(
 
 
 def pack_sequences(
-    df: DataFrame, row_id: str, tokens: str = "tokens", length: int = PACKED_LENGTH, shard_ids: int = 1_000
+    df: DataFrame, row_id: str, tokens: str = "tokens", length: int = PACKED_LENGTH
 ) -> DataFrame:
-    """Concatenate token arrays in id order and cut them into rows of ``length`` tokens, per shard of consecutive ids.
+    """Concatenate token arrays in the order of an integer id, as one stream, and cut it into rows of ``length`` tokens.
 
-    Only (id, size) pass through the ordered running sum. Each row is then cut into the slices it adds to its packed
-    rows, and the slices are grouped by packed row: a group never holds more than ``length`` tokens. The last row of a
-    shard may be shorter; nothing is dropped. Sparse ids should be numbered densely first, as for ``request_batches``.
+    Each row is cut into the slices it adds to its packed rows, and the slices are grouped by packed row: a group never
+    holds more than ``length`` tokens. Only the last row may be shorter; nothing is dropped. Gaps between ids and null
+    or empty arrays change nothing.
     """
-    shard = int_div(row_id, shard_ids)
-    w = Window.partitionBy("shard").orderBy(row_id).rowsBetween(Window.unboundedPreceding, -1)
-    sized = (
-        df.select(shard.alias("shard"), row_id, F.col(tokens).alias("_t"))
-        .withColumn("_n", F.size("_t"))
-        .withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    )
+    counted = df.select(row_id, F.col(tokens).alias("_t")).where(F.col("_t").isNotNull()).withColumn("_n", F.size("_t"))
+    sized = running_total(counted, row_id, (), F.col("_n"), "_start")
     first, last = int_div("_start", length), int_div(F.col("_start") + F.col("_n") - 1, length)
 
     def piece(row: Column) -> Column:
@@ -221,11 +229,11 @@ def pack_sequences(
 
     # Empty rows add no piece. A filter on the size would be pushed down and compute the tokens a second time.
     rows = F.when(F.col("_n") > 0, F.sequence(first, F.greatest(first, last)))
-    pieces = sized.select("shard", F.explode(F.transform(rows, piece)).alias("p"))
+    pieces = sized.select(F.explode(F.transform(rows, piece)).alias("p"))
     return (
-        pieces.groupBy("shard", F.col("p.row").alias("packed_row"))
+        pieces.groupBy(F.col("p.row").alias("packed_row"))
         .agg(F.sort_array(F.collect_list(F.struct("p.at", "p.tokens"))).alias("_pieces"))
-        .select("shard", "packed_row", F.flatten(F.col("_pieces.tokens")).alias("tokens"))
+        .select("packed_row", F.flatten(F.col("_pieces.tokens")).alias("tokens"))
     )
 
 

@@ -129,6 +129,34 @@ def hash_ordinal(df: DataFrame, digest: Column, tie: Sequence[str], out: str, pr
     )
 
 
+def running_total(df: DataFrame, row_id: str, order: Sequence[str], amount: Column, out: str) -> DataFrame:
+    """Sum of ``amount`` over all rows before each row in the order (``row_id``, ``order``), without a global sort.
+
+    ``row_id`` is an integer, of any size and with any gaps; null ids come first. Rows are summed inside ranges of 4,096
+    ids. The start of a range comes from the totals of the ranges before it, summed in a tree: a node has at most 8,192
+    children, and four levels hold every 64-bit id. So no window is larger than a range or a node.
+    """
+    cut = df.withColumn("_range", F.struct(F.shiftright(F.col(row_id).cast("bigint"), 12).alias("id"))).withColumn("_amount", amount)
+    totals = [cut.groupBy(F.col("_range.id").alias("_k")).agg(F.sum("_amount").alias("_sum"))]
+    for _ in range(3):
+        totals.append(totals[-1].groupBy(F.shiftright("_k", 13).alias("_k")).agg(F.sum("_sum").alias("_sum")))
+    before = Window.partitionBy("_up").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    starts = None
+    for level in reversed(totals):
+        up = F.lit(0) if starts is None else F.shiftright("_k", 13)
+        inside = level.withColumn("_up", up).withColumn("_in", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
+        if starts is not None:
+            above = starts.select(F.col("_k").alias("_parent"), F.col("_start").alias("_above"))
+            inside = inside.join(above, F.col("_up").eqNullSafe(F.col("_parent")))
+        start = F.col("_in") + (F.lit(0) if starts is None else F.col("_above"))
+        starts = inside.select("_k", start.alias("_start"))
+    starts = starts.select(F.struct(F.col("_k").alias("id")).alias("_range"), F.col("_start").alias("_base"))
+    rows = Window.partitionBy("_range").orderBy(row_id, *order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = cut.withColumn("_in", F.coalesce(F.sum("_amount").over(rows), F.lit(0)))
+    total = (F.col("_base") + F.col("_in")).cast("bigint")
+    return summed.join(starts, "_range").withColumn(out, total).drop("_range", "_amount", "_in", "_base")
+
+
 def unit_dense_rank(
     df: DataFrame, keys: Sequence[str], value: str, out: str, spread_on: Sequence[str], buckets: int = 100_000
 ) -> DataFrame:

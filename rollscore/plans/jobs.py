@@ -72,15 +72,18 @@ def generate(
     prompt_column: str,
     make_client: Callable[[], Callable[[list[str]], Sequence[str]]],
     generations: int = 1,
-    replicas: int = 1,
+    replicas: int | None = None,
     retries: int = 0,
     **request: object,
 ) -> DataFrame:
-    """Synthetic generation around a user-supplied client: one row per prompt with its ordered generations."""
+    """Synthetic generation around a user-supplied client: one row per prompt with its ordered generations and errors.
+
+    The client is called once for each numbered batch.
+    """
     requests = replicate_generations(generation_requests(prompts, prompt_column, **request), generations)
     batched = request_batches(requests, key, ("gen_idx",))
-    answered = external_step(batched, make_client, replicas, retries=retries)
-    return group_generations(answered, key)
+    answered = external_step(batched, make_client, replicas, retries=retries, batch=("load_unit", "batch"))
+    return group_generations(answered, key, error="error")
 
 
 def score_eval_samples(samples: DataFrame, tasks: DataFrame) -> DataFrame:

@@ -85,11 +85,8 @@ def prune_for_tokens_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "chat_render",
-    """with t as (select *, cast(turn // 10000 as integer) as part,
-      cast(max(turn) over (partition by conv_id) // 10000 as integer) as last_part from conversations)
-    select conv_id, part, concat(string_agg(concat('<|', role, '|>', chr(10), text, '</s>', chr(10)), '' order by turn),
-      case when part = last_part then '<|assistant|>' else '' end) as rendered
-    from t where role in ('user', 'system', 'assistant') group by conv_id, part, last_part""",
+    """select conv_id, concat(coalesce(string_agg(concat('<|', role, '|>', chr(10), text, '</s>', chr(10)), '' order by turn)
+      filter (where role in ('user', 'system', 'assistant')), ''), '<|assistant|>') as rendered from conversations group by conv_id""",
 )
 def chat_render_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
@@ -185,25 +182,24 @@ def replicate_generations_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "request_batches",
-    """with g as (select o_orderkey, cast(g as integer) as gen_idx, o_orderkey // 64000 as load_unit from orders, (select unnest(range(2)) as g))
-    select o_orderkey, gen_idx, load_unit,
-      (row_number() over (partition by load_unit order by o_orderkey, gen_idx) - 1) // 64 as batch from g""",
+    """with g as (select o_orderkey * 1000003 as request_id, cast(g as integer) as gen_idx from orders, (select unnest(range(2)) as g)),
+    n as (select *, row_number() over (order by request_id, gen_idx) - 1 as pos from g)
+    select request_id, gen_idx, pos // 64000 as load_unit, (pos % 64000) // 64 as batch from n""",
 )
 def request_batches_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    requests = S.replicate_generations(read_table(spark, sf_dir, "orders", "o_orderkey"), 2)
-    return S.request_batches(requests, "o_orderkey", ("gen_idx",))
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey").select((F.col("o_orderkey") * 1000003).alias("request_id"))
+    return S.request_batches(S.replicate_generations(orders, 2), "request_id", ("gen_idx",))
 
 
 @query(
     "group_generations",
-    f"""select prompt_id, cast(turn // 10000 as integer) as part, count(*) as n, string_agg(content, '|' order by turn) as joined
-    from ({I.COMPLETIONS_SQL}) group by prompt_id, turn // 10000""",
+    f"""select prompt_id, count(*) as n, string_agg(content, '|' order by turn) as joined
+    from ({I.COMPLETIONS_SQL}) group by prompt_id""",
 )
 def group_generations_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = S.group_generations(I.completions(spark, sf_dir), "prompt_id", "turn", "content")
     return grouped.select(
         "prompt_id",
-        "part",
         F.size("generations").cast("bigint").alias("n"),
         F.array_join("generations", "|").alias("joined"),
     )
@@ -242,7 +238,7 @@ def left_pad_batch_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = S.truncate_prompt(tokens).select(
         "doc_id", "batch_id", F.transform("input_ids", lambda w: F.length(w)).alias("ids")
     )
-    padded = S.left_pad_batch(ids, "ids", ["batch_id"], ["doc_id"], F.lit(0))
+    padded = S.left_pad_batch(ids, "ids", ["batch_id"], F.lit(0))
     return padded.select(
         "doc_id",
         F.size("padded").cast("bigint").alias("n_padded"),
@@ -253,17 +249,16 @@ def left_pad_batch_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "pack_sequences",
-    f"""with t as (select doc_id, doc_id // 1000 as shard, unnest({TOKENS_SQL}) as tok, generate_subscripts({TOKENS_SQL}, 1) as i
-      from documents),
-    n as (select *, row_number() over (partition by shard order by doc_id, i) - 1 as pos from t)
-    select shard, pos // 4096 as packed_row, count(*) as n_tokens, md5(string_agg(tok, ' ' order by pos)) as tokens_md5
-    from n group by shard, pos // 4096""",
+    f"""with t as (select doc_id, unnest({TOKENS_SQL}) as tok, generate_subscripts({TOKENS_SQL}, 1) as i from documents),
+    n as (select *, row_number() over (order by doc_id, i) - 1 as pos from t)
+    select pos // 4096 as packed_row, count(*) as n_tokens, md5(string_agg(tok, ' ' order by pos)) as tokens_md5
+    from n group by pos // 4096""",
 )
 def pack_sequences_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", spread=True)
-    packed = S.pack_sequences(docs.select("doc_id", S.whitespace_tokens("text").alias("tokens")), "doc_id")
+    rows = docs.select((F.col("doc_id") * 1000003).alias("row_id"), S.whitespace_tokens("text").alias("tokens"))
+    packed = S.pack_sequences(rows, "row_id")
     return packed.select(
-        "shard",
         "packed_row",
         F.size("tokens").cast("bigint").alias("n_tokens"),
         F.md5(F.array_join("tokens", " ")).alias("tokens_md5"),
@@ -510,7 +505,7 @@ def external_step_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "generate",
-    f"""select row_id, cast(0 as integer) as part, 3::bigint as n, concat_ws('|', concat(length(problem), ' characters'),
+    f"""select row_id, 3::bigint as n, 0::bigint as n_errors, concat_ws('|', concat(length(problem), ' characters'),
       concat(length(problem), ' characters'), concat(length(problem), ' characters')) as joined from ({PROBLEMS_SQL})""",
 )
 def generate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -518,7 +513,7 @@ def generate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = generate(prompts, "row_id", "problem", echo_server(), generations=3, replicas=4, temperature=0.6)
     return out.select(
         "row_id",
-        "part",
         F.size("generations").cast("bigint").alias("n"),
+        F.size(F.filter("errors", lambda e: e.isNotNull())).cast("bigint").alias("n_errors"),
         F.array_join("generations", "|").alias("joined"),
     )

@@ -74,7 +74,7 @@ def explode_results_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "sink_generations",
-    """with g as (select o_orderkey, cast(g as integer) as gen_idx, cast(o_orderkey // 64000 as integer) as load_unit
+    """with g as (select o_orderkey, cast((row_number() over (order by o_orderkey, g) - 1) // 64000 as integer) as load_unit
       from orders, (select unnest(range(2)) as g))
     select load_unit, count(*) as n, count(distinct o_orderkey) as prompts, true as private from g group by load_unit""",
 )

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rollscore.functions.answers import index_match, numeric_value
+from rollscore.functions.answers import boxed_answer, index_match, numeric_value
+from rollscore.operators.mapping import external_step
 from rollscore.operators.sets import benchmarks_unsupported
-from rollscore.operators.shaping import generation_requests
+from rollscore.operators.shaping import chat_render, generation_requests, group_generations, render_conversations, request_batches
 from rollscore.operators.skew import unit_dense_rank
 from rollscore.plans.jobs import score_eval_samples
 from rollscore.streaming.streams import stream_checkpoint_jobs
@@ -59,3 +60,32 @@ def test_late_saves_are_kept(spark, tmp_path):
     saves = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
     stream_checkpoint_jobs(saves, ["math_500"], f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
     assert sorted(r.step for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [50, 100, 150]
+
+
+def test_boxes_nest_to_any_depth(values):
+    deep = "{" * 40 + "x" + "}" * 40
+    texts = ["\\boxed{" + deep + "} and \\boxed{never", "a \\boxed{1} b \\boxed{\\boxed{2}}", "\\boxed{ {3", "none", None]
+    assert values(texts, boxed_answer("content")) == [deep, "\\boxed{2}", None, None, None]
+
+
+def test_turns_above_ten_thousand_stay_in_one_text(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "a"), (1, 10_000, "user", "b")], "conv_id int, turn int, role string, text string")
+    rows = render_conversations(turns, eos="", generation_prompt=True).collect()
+    assert [r.rendered for r in rows] == ["<|user|>\na\n<|user|>\nb\n<|assistant|>"]
+    empty = spark.createDataFrame([([],)], "m array<struct<role:string,content:string>>")
+    assert empty.select(chat_render("m", generation_prompt=True).alias("t")).first().t == ""
+    many = spark.createDataFrame([(1, 10_000, "b", "e"), (1, 3, "a", None)], "prompt_id int, gen_idx int, text string, error string")
+    assert [tuple(r) for r in group_generations(many, error="error").collect()] == [(1, ["a", "b"], [None, "e"])]
+
+
+def test_one_call_for_each_numbered_batch(spark):
+    def server():
+        def make_client():
+            return lambda prompts: [str(len(prompts))] * len(prompts)
+
+        return make_client
+
+    asked = spark.range(69).select((F.col("id") * 1_000_003).alias("id"), F.lit("p").alias("instruction"))
+    batched = request_batches(asked, "id", batch_rows=32)
+    got = external_step(batched, server(), replicas=2, batch=("load_unit", "batch")).collect()
+    assert {(r.batch, r.text) for r in got} == {(0, "32"), (1, "32"), (2, "5")}
