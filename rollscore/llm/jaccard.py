@@ -19,6 +19,10 @@ COMMON_FROM = 24
 COMMON_MOST = 200_000
 #: Members that are compared with one leader in one block.
 BLOCK = 256
+#: Leaders that a column offers in each size band.
+LEADERS = 16
+#: Partners from other components with which a class is multiplied before the rest of its pairs.
+NEAREST = 4
 #: Bits of the filter that keeps sets without a candidate out of the shuffle.
 FILTER_BITS = 1 << 23
 
@@ -193,12 +197,14 @@ def similar_classes(df: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, component) of the linked classes. Every two similar classes get one component.
 
     1. Prefix columns of all rows are brought together by column; columns of one class only drop out.
-    2. In each column and size band, all classes meet the smallest one of the band and of the band below. Each class
-       is multiplied with the one of either that it shares most columns with, if these are enough. So near copies,
-       however many, become one component by two products each.
+    2. Each column offers ``LEADERS`` classes of each size band (the smallest of each hash slot) to the larger ones of
+       the band and of the band above. Each class is multiplied with the one of either band that it shares most prefix
+       columns with, if these are enough: of many leaders that one is most likely similar. So near copies, however
+       many, become few components by two products each, and those merge through the leaders.
     3. In columns that still join several components, all pairs of different components within the size bounds meet.
-       Their shared prefix columns are counted, and pairs whose count cannot reach the needed overlap are discarded;
-       the others are multiplied. Pairs within a component need no product.
+       Their shared prefix columns are counted, and pairs whose count cannot reach the needed overlap are discarded.
+    4. Each class is multiplied with the ``NEAREST`` partners that it shares most with; this merges most components.
+       Then all pairs that still lie in different components are multiplied. Pairs within one need no product.
     """
     common = common_columns(df, width)
     column = Window.partitionBy("token")
@@ -212,11 +218,12 @@ def similar_classes(df: DataFrame, width: int, percent: int) -> DataFrame:
     )
     index = written(index, "prefix-index")
     banded = index.withColumn("band", F.floor(F.log(F.col("n")) / math.log(100 / percent)).cast("int"))
-    least = banded.groupBy("token", "band").agg(F.min(F.struct("n", "class")).alias("lead"))
+    slot = F.pmod(F.xxhash64("class"), F.lit(LEADERS)).alias("slot")
+    least = banded.groupBy("token", "band", slot).agg(F.min(F.struct("n", "class")).alias("lead")).drop("slot")
     offered = least.withColumn("step", F.lit(0)).union(least.withColumn("band", F.col("band") + 1).withColumn("step", F.lit(1)))
     star = (
         banded.join(offered, ["token", "band"])
-        .where(F.col("class") != F.col("lead.class"))
+        .where(F.col("lead") < F.struct("n", "class"))
         .groupBy(F.col("lead.class").alias("a"), F.col("class").alias("b"), F.col("lead.n").alias("n"), F.col("n").alias("m"), "step")
         .agg(F.count(F.lit(1)).alias("shared"))
         .where(reachable(F.col("n"), F.col("m"), F.col("shared"), percent))
@@ -248,12 +255,19 @@ def similar_classes(df: DataFrame, width: int, percent: int) -> DataFrame:
         .groupBy(F.col("x.class").alias("a"), F.col("y.class").alias("b"), n.alias("n"), m.alias("m"))
         .agg(F.count(F.lit(1)).alias("shared"))
         .where(reachable(F.col("n"), F.col("m"), F.col("shared"), percent))
-        .select("a", "b")
+        .select("a", "b", "shared")
         .join(star, ["a", "b"], "left_anti")
     )
-    pairs = written(pairs, "cross-pairs")
-    links = first.union(written(links_of(df, pairs, width, percent), "cross-links"))
-    return components(links)
+    near_a, near_b = (Window.partitionBy(x).orderBy(F.desc("shared"), y) for x, y in ("ab", "ba"))
+    near = F.least(F.row_number().over(near_a), F.row_number().over(near_b)) <= NEAREST
+    pairs = written(pairs.withColumn("near", near).select("a", "b", "near"), "cross-pairs")
+    second = written(links_of(df, pairs.where("near").select("a", "b"), width, percent), "near-links")
+    found = written(components(first.union(second)), "near-components")
+    of_a, of_b = (found.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
+    rest = pairs.where("NOT near").join(of_a, "a", "left").join(of_b, "b", "left")
+    apart = F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
+    third = written(links_of(df, written(rest.where(apart).select("a", "b"), "rest-pairs"), width, percent), "rest-links")
+    return components(first.union(second).union(third))
 
 
 def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
