@@ -262,12 +262,12 @@ def similar_classes(df: DataFrame, width: int, percent: int) -> DataFrame:
     near = F.least(F.row_number().over(near_a), F.row_number().over(near_b)) <= NEAREST
     pairs = written(pairs.withColumn("near", near).select("a", "b", "near"), "cross-pairs")
     second = written(links_of(df, pairs.where("near").select("a", "b"), width, percent), "near-links")
-    found = written(components(first.union(second)), "near-components")
-    of_a, of_b = (found.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
+    merged = written(components(second.union(found.select("component", "node"))), "near-components")
+    of_a, of_b = (merged.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
     rest = pairs.where("NOT near").join(of_a, "a", "left").join(of_b, "b", "left")
     apart = F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
     third = written(links_of(df, written(rest.where(apart).select("a", "b"), "rest-pairs"), width, percent), "rest-links")
-    return components(first.union(second).union(third))
+    return components(third.union(merged.select("component", "node")))
 
 
 def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
