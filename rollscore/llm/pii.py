@@ -33,15 +33,19 @@ SYLLABLES = {
 }
 
 TITLE = "|".join(sorted((t for v in TITLES.values() for t in v), key=len, reverse=True))
-ENTITY = re.compile(
-    r"(?P<email>[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
-    r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)(?!\w))"
-    r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
-    r"|(?P<card>(?<![\w+-])\d(?:[ -]?\d){12,18}(?![\w-]))"
-    r"|(?P<phone>(?<!\w)(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4})(?!\w))"
-    r"|(?P<name>(?<!\w)(?P<title>" + TITLE + r")\.?[ ]+(?P<who>[^\W\d_][^\W\d_'’-]+(?:[ ][^\W\d_][^\W\d_'’-]+){0,2}))"
-)
+# The kinds in the order in which they are tried at a place. Cards in unusual groups come after phone numbers.
+PATTERNS = {
+    "email": r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)(?!\w)",
+    "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
+    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
+    "card": r"(?<![\w+-])\d(?:[ -]?\d){12,18}(?![\w-])",
+    "phone": r"(?<!\w)(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4})(?!\w)",
+    "name": r"(?<!\w)(?P<title>" + TITLE + r")\.?[ ]+(?P<who>[^\W\d_][^\W\d_'’-]+(?:[ ][^\W\d_][^\W\d_'’-]+){0,2})",
+}
+ENTITY = re.compile("|".join(f"(?P<{k}>{v})" for k, v in PATTERNS.items()))
+KINDS = {k: re.compile(PATTERNS[k]) for k in ("email", "ip", "ssn", "iban", "card", "phone")}
+KINDS |= {"other card": KINDS["card"], "name": re.compile(PATTERNS["name"])}
 MAYBE = re.compile(r"@|\d{2}|\b(?:" + TITLE + r")\b")
 
 
@@ -58,37 +62,83 @@ def script_of(word: str) -> str:
     return "cyrillic" if any("Ѐ" <= c <= "ӿ" for c in word) else "latin"
 
 
+def groups_in(shown: str) -> list[tuple[int, int]]:
+    """(start, end) of the runs of digits."""
+    return [m.span() for m in re.finditer(r"\d+", shown)]
+
+
+def card_end(text: str, start: int, end: int, usual: bool) -> int | None:
+    """Where the longest right card number ends that starts at ``start`` and takes whole groups of digits up to ``end``.
+
+    ``usual``: only numbers without a gap, or in 4-4-4-4, 4-4-4-4-3, 4-6-5 or 4-6-4. All others must not end before a hyphen.
+    """
+    if text[start] not in "23456":
+        return None
+    runs = groups_in(text[start:end])
+    for n in range(len(runs), 0, -1):
+        digits = "".join(text[start + a : start + b] for a, b in runs[:n])
+        if not 13 <= len(digits) <= 19:
+            continue
+        sizes, at = [b - a for a, b in runs[:n]], start + runs[n - 1][1]
+        fits = n == 1 or sizes in ([4, 4, 4, 4], [4, 4, 4, 4, 3], [4, 6, 5], [4, 6, 4])
+        if (fits if usual else text[at : at + 1] != "-") and luhn(digits[:-1]) == int(digits[-1]):
+            return at
+    return None
+
+
+def checked(kind: str, m: re.Match) -> tuple[int, int, str] | None:
+    """(start, end, canonical form) of what the match holds of its kind from its start on, None if that is nothing.
+
+    Of digits only whole groups are taken: a card or phone number may end before digits that follow it.
+    """
+    text, (start, end) = m.string, m.span()
+    if kind == "card":
+        end = card_end(text, start, end, usual=True)
+    elif kind == "other card":
+        inner = [start + a for a, _ in groups_in(m[0])[1:] if text[start + a - 1] != "-"]
+        end = card_end(text, start, end, usual=False)
+        if end and any((n := KINDS["card"].match(text, a)) and card_end(text, a, n.end(), usual=True) for a in inner):
+            return None
+    elif kind == "phone":
+        runs = groups_in(m[0])
+        end = next((start + b for n, (_, b) in reversed([*enumerate(runs, 1)]) if 7 <= sum(y - x for x, y in runs[:n]) <= 15), None)
+    elif kind == "name":
+        words, titles = m["who"].split(" "), {t for v in TITLES.values() for t in v} - {"Don"}
+        many = next((i for i, w in enumerate(words) if not w[0].isupper() or (i and w in titles)), len(words))
+        start = m.start("who")
+        end = start + len(" ".join(words[:many])) if many else None
+    if end is None:
+        return None
+    value = text[start:end]
+    if kind == "email":
+        value = value.lower()
+    elif kind in ("card", "other card", "phone", "ssn"):
+        value = ("+" if kind == "phone" and value[0] == "+" else "") + re.sub(r"\D", "", value)
+    elif kind == "iban":
+        value = value.replace(" ", "")
+    elif kind == "name":
+        value = f"{MALE if m['title'] in TITLES[MALE] else FEMALE}:{value}"
+    return start, end, value
+
+
 def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
-    """(start, end, type, canonical form) of the entities of a text, from the left. Equal forms are one entity."""
+    """(start, end, type, canonical form) of the entities of a text, from the left. Equal forms are one entity.
+
+    Where a match fails its check the kinds after it are tried at the same place, then the search goes on at the next
+    character; after an entity it goes on at its end. So no text is passed over with a match.
+    """
     if not MAYBE.search(text):
         return
-    for m in ENTITY.finditer(text):
-        kind, value = m.lastgroup, m[0]
-        kind = next(k for k in ("email", "ip", "ssn", "iban", "card", "phone", "name") if m[k] is not None)
-        start, end = m.span()
-        if kind == "email":
-            value = value.lower()
-        elif kind in ("card", "phone", "ssn"):
-            value = re.sub(r"\D", "", value)
-            if kind == "card" and (value[0] not in "23456" or luhn(value[:-1]) != int(value[-1])):
-                continue
-            if kind == "phone" and not 7 <= len(value) <= 15:
-                continue
-            if kind == "phone" and m[0].startswith("+"):
-                value = "+" + value
-        elif kind == "iban":
-            value = value.replace(" ", "")
-        elif kind == "name":
-            words = m["who"].split(" ")
-            many = next((i for i, w in enumerate(words) if not w[0].isupper()), len(words))
-            if not many:
-                continue
-            start = m.start("who")
-            value = " ".join(words[:many])
-            end = start + len(value)
-            gender = MALE if m["title"] in TITLES[MALE] else FEMALE
-            value = f"{gender}:{value}"
-        yield start, end, kind, value
+    at, order = 0, list(KINDS)
+    while m := ENTITY.search(text, at):
+        at = m.start() + 1
+        first = next(k for k in order if m.groupdict().get(k) is not None)
+        for kind in order[order.index(first) :]:
+            one = m if kind == first else KINDS[kind].match(text, m.start())
+            if one and (found := checked(kind, one)):
+                at = found[1]
+                yield *found[:2], "card" if kind == "other card" else kind, found[2]
+                break
 
 
 def stream(key: bytes, *parts: str) -> bytes:
