@@ -46,7 +46,8 @@ PATTERNS = {
 ENTITY = re.compile("|".join(f"(?P<{k}>{v})" for k, v in PATTERNS.items()))
 KINDS = {k: re.compile(PATTERNS[k]) for k in ("email", "ip", "ssn", "iban", "card", "phone")}
 KINDS |= {"other card": KINDS["card"], "name": re.compile(PATTERNS["name"])}
-MAYBE = re.compile(r"@|\d{2}|\b(?:" + TITLE + r")\b")
+# What every text with an entity holds: without two digits in a row an address has single digits, a card a gap after each.
+MAYBE = re.compile(r"@|\d(?:\d|(?:\.\d){3}|(?:[ -]\d){12})|\b(?:" + TITLE + r")\b")
 
 
 def luhn(digits: str) -> int:

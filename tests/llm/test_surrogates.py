@@ -1,4 +1,4 @@
-"""What the surrogate operator finds: neighbours of rejected matches."""
+"""What the surrogate operator finds: neighbours of rejected matches, texts that the filter lets through."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from rollscore.llm.pii import entities, luhn
+from rollscore.llm.pii import ENTITY, MAYBE, TITLES, entities, luhn
 
 CARD = "4111111111111111"
 SPACED = "4111 1111 1111 1111"
@@ -43,3 +43,23 @@ def test_cards_and_phones_between_numbers():
         found = [(k, v) for _, _, k, v in entities(text)]
         assert ("phone", phone.replace("-", "")) in found, text
         assert found[0] == ("card", card), text
+
+
+def test_filter_passes_every_text_with_an_entity():
+    for text in ("resolver 8.8.8.8 or 1.1.1.1 is used", " ".join(CARD), "-".join(CARD), f"x {' '.join(CARD)} y"):
+        assert ENTITY.search(text) and MAYBE.search(text) and list(entities(text)), text
+    rng = random.Random(5)
+    titles = [t for v in TITLES.values() for t in v]
+    pieces = ["1", "4", "8", "0", "8.8", "1-1", "4 1", "12", ".", "-", " ", "+", "(", ")", "@", "a.b", "DE", "Xy", "é", "_", *titles]
+    met = 0
+    for _ in range(100_000):
+        text = "".join(rng.choices(pieces, k=rng.randrange(1, 14)))
+        if ENTITY.search(text):
+            met += 1
+            assert MAYBE.search(text), text
+    for _ in range(20_000):
+        text = "".join(rng.choice("0123456789") + rng.choice([" ", "-", ".", ". ", ""]) for _ in range(rng.randrange(4, 20)))
+        if ENTITY.search(text):
+            met += 1
+            assert MAYBE.search(text), text
+    assert met > 1000
