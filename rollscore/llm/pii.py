@@ -33,6 +33,9 @@ SYLLABLES = {
 }
 
 TITLE = "|".join(sorted((t for v in TITLES.values() for t in v), key=len, reverse=True))
+# A name word goes on over apostrophes and hyphens, but not into a possessive s; letters with a full stop are initials.
+WORD = r"[^\W\d_]+(?:(?:['’](?!s(?!\w))|-)[^\W\d_]+)*"
+INITIALS = r"(?:[^\W\d_]\.[ ]?)"
 # The kinds in the order in which they are tried at a place. Cards in unusual groups come after phone numbers.
 PATTERNS = {
     "email": r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
@@ -41,7 +44,7 @@ PATTERNS = {
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "card": r"(?<![\w+-])\d(?:[ -]?\d){12,18}(?![\w-])",
     "phone": r"(?<!\w)(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4})(?!\w)",
-    "name": r"(?<!\w)(?P<title>" + TITLE + r")\.?[ ]+(?P<who>[^\W\d_][^\W\d_'’-]+(?:[ ][^\W\d_][^\W\d_'’-]+){0,2})",
+    "name": r"(?<!\w)(?P<title>" + TITLE + r")\.?[ ]+(?P<who>" + INITIALS + "{0,3}" + WORD + "(?:[ ]" + INITIALS + "{0,3}" + WORD + "){0,2})",
 }
 ENTITY = re.compile("|".join(f"(?P<{k}>{v})" for k, v in PATTERNS.items()))
 KINDS = {k: re.compile(PATTERNS[k]) for k in ("email", "ip", "ssn", "iban", "card", "phone")}
@@ -105,7 +108,7 @@ def checked(kind: str, m: re.Match) -> tuple[int, int, str] | None:
         end = next((start + b for n, (_, b) in reversed([*enumerate(runs, 1)]) if 7 <= sum(y - x for x, y in runs[:n]) <= 15), None)
     elif kind == "name":
         words, titles = m["who"].split(" "), {t for v in TITLES.values() for t in v} - {"Don"}
-        many = next((i for i, w in enumerate(words) if not w[0].isupper() or (i and w in titles)), len(words))
+        many = next((i for i, w in enumerate(words) if not any(p[:1].isupper() for p in re.split("['’-]", w)) or (i and w in titles)), len(words))
         start = m.start("who")
         end = start + len(" ".join(words[:many])) if many else None
     if end is None:
@@ -180,7 +183,11 @@ def reformat(key: bytes, tweak: str, text: str, allowed=lambda s: True) -> str:
 
 
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
-    """The canonical form of an entity's surrogate. For each type and attempt but names a permutation of its format."""
+    """The canonical form of an entity's surrogate. For each type and attempt but names a permutation of its format.
+
+    Of names each part has its own: ``given`` ones are put together from the list of their gender and script, ``surname``
+    ones from syllables, both the longer the more attempts there were.
+    """
     tweak = f"{kind}/{attempt}"
     if kind == "email":
         local, domain = value.split("@")
@@ -208,43 +215,82 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         body = reformat(key, tweak, value[4:])
         rest = int("".join(str(int(c, 36)) for c in body + value[:2] + "00")) % 97
         return f"{value[:2]}{98 - rest:02d}{body}"
-    gender, _, name = value.partition(":")
-    words, script = name.split(" "), script_of(name)
+    gender, _, word = value.rpartition(":")
+    script = script_of(word)
     draw = stream(key, tweak, value)
-    given, parts = GIVEN[script, gender], SYLLABLES[script]
-    picked = [given[draw[i] % len(given)] for i in range(len(words) - 1)]
-    last = "".join(parts[int.from_bytes(draw[8 + 2 * i : 10 + 2 * i], "big") % len(parts)] for i in range(min(3 + attempt, 20)))
-    return f"{gender}:{' '.join([*picked, last.capitalize()])}"
+    if kind == "given":
+        names = GIVEN[script, gender]
+        return f"{gender}:{''.join(names[draw[i] % len(names)] for i in range(min(attempt, 20) + 1)).capitalize()}"
+    parts = SYLLABLES[script]
+    return "".join(parts[int.from_bytes(draw[8 + 2 * i : 10 + 2 * i], "big") % len(parts)] for i in range(min(3 + attempt, 20))).capitalize()
+
+
+def name_parts(value: str) -> list[tuple[int, int, str, str]]:
+    """(start, end, kind, canonical form) of the runs of letters of a name after its gender.
+
+    Those of the last word are ``surname``, those of the words before it ``given``, single letters ``initial``.
+    """
+    gender, _, shown = value.partition(":")
+    last = max(shown.rfind(" "), shown.rfind(".", 0, -1)) + 1
+    out = []
+    for m in re.finditer(r"[^\W\d_]+", shown):
+        kind = "initial" if len(m[0]) == 1 else "surname" if m.start() >= last else "given"
+        out.append((*m.span(), kind, f"{gender}:{m[0].capitalize()}" if kind == "given" else m[0].capitalize()))
+    return out
+
+
+def units(kind: str, value: str) -> list[tuple[str, str]]:
+    """(kind, canonical form) of what gets surrogates of its own in an entity: itself, or the parts of a name."""
+    return [p[2:] for p in name_parts(value) if p[2] != "initial"] if kind == "name" else [(kind, value)]
+
+
+def initial(key: bytes, letter: str) -> str:
+    """Another letter of the script. There are too few for all to differ."""
+    letters = "АБВГДЕЖЗИКЛМНОПРСТУФХЭЮЯ" if script_of(letter) == "cyrillic" else "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    others = letters.replace(letter.upper(), "")
+    return others[int.from_bytes(stream(key, "initial", letter.upper())[:8], "big") % len(others)]
 
 
 def styled(kind: str, shown: str, new: str) -> str:
     """The surrogate written as the entity was: separators and capital letters stay in place."""
-    if kind == "name":
-        return new.partition(":")[2]
     if kind == "email":
         return "".join(n.upper() if s.isupper() else n for s, n in zip(shown, new, strict=True))
     if kind in ("card", "phone", "ssn", "iban"):
         symbols = iter(new.lstrip("+"))
         return "".join(next(symbols) if c.isalnum() else c for c in shown)
+    if kind in ("given", "surname", "initial"):
+        new = new.rpartition(":")[2]
+        return new.lower() if shown[0].islower() else new.upper() if shown.isupper() else new
     return new
 
 
+def renamed(value: str, key: bytes, later: dict[tuple[str, str], int]) -> str:
+    """A name with its parts replaced."""
+    shown = value.partition(":")[2]
+    out, at = [], 0
+    for start, end, kind, part in name_parts(value):
+        new = initial(key, part) if kind == "initial" else surrogate(key, kind, part, later.get((kind, part), 0))
+        out += [shown[at:start], styled(kind, shown[start:end], new)]
+        at = end
+    return "".join([*out, shown[at:]])
+
+
 def replaced(text: str, key: bytes, later: dict[tuple[str, str], int], cache: dict) -> tuple[str, int]:
     out, at, n = [], 0, 0
     for start, end, kind, value in entities(text):
         if (kind, value) not in cache:
-            cache[kind, value] = surrogate(key, kind, value, later.get((kind, value), 0))
-        out += [text[at:start], styled(kind, text[start:end], cache[kind, value])]
+            cache[kind, value] = renamed(value, key, later) if kind == "name" else surrogate(key, kind, value, later.get((kind, value), 0))
+        out += [text[at:start], cache[kind, value] if kind == "name" else styled(kind, text[start:end], cache[kind, value])]
         at, n = end, n + 1
     return "".join([*out, text[at:]]), n
 
 
 def entity_table(df: DataFrame, text: str) -> DataFrame:
-    """(kind, value) of all different entities of all texts."""
+    """(kind, value) of all different entities of all texts, of names their parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text"):
-            met = {(kind, value) for t in part.column("text").to_pylist() if t for _, _, kind, value in entities(t)}
+            met = {u for t in part.column("text").to_pylist() if t for _, _, kind, value in entities(t) for u in units(kind, value)}
             if met:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*sorted(met), strict=True)], ["kind", "value"])
 
@@ -289,8 +335,12 @@ def replace_entities(df: DataFrame, key: str, text: str = "text", count: str | N
 
     E-mail and IP addresses, phone, card, social-security and bank account numbers and names after a form of address
     get surrogates of their type: digits, letters and separators stay in place, cards and accounts get right check digits,
-    private addresses private, names keep gender, script and number of words. With one ``key`` an entity has the same
-    surrogate in all texts, and different entities of a type have different ones.
+    private addresses private, names keep gender, script, number of words, apostrophes, hyphens and capitals. With one
+    ``key`` an entity has the same surrogate in all texts, and different entities of a type have different ones. Names
+    are replaced word by word, the last word as surname: a surname has one surrogate alone and after given names, for
+    either gender, and different surnames (or given names of a gender) have different ones. Initials become other
+    initials, which several may share. A name ends after three words, at a lower-case word or before another form of
+    address.
 
     All else in a text stays as it is. Null texts stay null with count 0, empty ones empty; repeated rows get equal
     results. Surrogates are computed in place; only entities that had a collision need a lookup, which is sent to all
@@ -314,7 +364,7 @@ def replace_entities(df: DataFrame, key: str, text: str = "text", count: str | N
                 rows = [
                     (d, kind, value)
                     for d, t in zip(part.column("__digest").to_pylist(), part.column("text").to_pylist(), strict=True)
-                    for kind, value in {e[2:] for e in entities(t)}
+                    for kind, value in {u for e in entities(t) for u in units(*e[2:])}
                 ]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["__digest", "kind", "value"])

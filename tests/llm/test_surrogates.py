@@ -1,12 +1,13 @@
-"""What the surrogate operator finds: neighbours of rejected matches, texts that the filter lets through."""
+"""What the surrogate operator finds: neighbours of rejected matches, texts that the filter lets through, names."""
 
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 
-from rollscore.llm.pii import ENTITY, MAYBE, TITLES, entities, luhn
+from rollscore.llm.pii import ENTITY, MAYBE, TITLES, entities, luhn, replace_entities
 
 CARD = "4111111111111111"
 SPACED = "4111 1111 1111 1111"
@@ -63,3 +64,32 @@ def test_filter_passes_every_text_with_an_entity():
             met += 1
             assert MAYBE.search(text), text
     assert met > 1000
+
+
+@pytest.mark.parametrize(
+    "name", ["O'Brien", "D’Angelo", "d'Angelo", "Smith-Jones", "Anne-Marie Jones", "J. R. Smith", "J Smith", "John F. Smith", "SMITH", "Анна-Мария Иванова"]
+)
+def test_names_are_found_whole(name):
+    for text in (f"to Ms {name}, now", f"to Mr. {name}'s house", f"to Mrs {name} went"):
+        assert [(k, text[a:b]) for a, b, k, _ in entities(text)] == [("name", name)]
+
+
+def test_short_and_full_names_agree(spark):
+    texts = [
+        "Mr John Smith|Mr Smith|Mrs Smith-Jones|Ms Anne-Marie Jones|Mr J. Smith|Mr SMITH|Ms Jones|Mrs Anne Smith|Mr Smith's",
+        "Mr O'Brien|Mr O’Brien|Mr Pat O'Brien|Mr Brien",
+        "|".join(f"Mr {a}{b} Name{c}" for a in "BCDFGH" for b in ("en", "al", "or", "im", "um") for c in "abcd"),
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    for few in (20_000, -1):
+        rows = {r.doc_id: r for r in replace_entities(df, "k", few=few).collect()}
+        assert [rows[i].n_entities for i in range(3)] == [9, 4, 120]
+        got = [x.split(" ", 1)[1] for x in rows[0].text.split("|")]
+        smith, jones = got[1], got[6]
+        given, surname = got[0].split(" ")
+        assert surname == smith != jones and given not in (smith, "John") and got[2] == f"{smith}-{jones}"
+        assert re.fullmatch(rf"[A-Z][a-z]+-[A-Z][a-z]+ {jones}", got[3]) and got[7] == f"{got[3].split('-')[0]} {smith}"
+        assert re.fullmatch(rf"[A-IK-Z]\. {smith}", got[4]) and got[5] == smith.upper() and got[8] == f"{smith}'s"
+        plain, curly, full, bare = (x.split(" ", 1)[1] for x in rows[1].text.split("|"))
+        assert curly == plain.replace("'", "’") and full.endswith(" " + plain) and plain.endswith("'" + bare) and "Brien" not in plain
+        assert len(set(rows[2].text.split("|"))) == 120
