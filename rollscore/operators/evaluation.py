@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.dimensions import BASE_COST, BASE_GENERATIONS, BASE_SAMPLES, BASELINE_COSTS
+from .skew import group_median
 
 
 def task_score(samples: DataFrame, by: Sequence[str] = ("task",), score: str = "score") -> DataFrame:
@@ -85,20 +86,20 @@ def truncation_stats(runs: DataFrame, by: Sequence[str] = ("task",)) -> DataFram
 
 
 def eval_throughput(runs: DataFrame, by: Sequence[str] = ("task",)) -> DataFrame:
-    """Seconds per document: mean, extremes and total-time based."""
+    """Seconds per document: mean, extremes, exact lower median and total-time based."""
+    by = list(by)
     per_doc = F.try_divide(F.col("seconds"), F.col("n_docs"))
-    return (
-        runs.withColumn("_per_doc", per_doc)
-        .groupBy(*by)
-        .agg(
-            F.count(F.lit(1)).alias("runs"),
-            F.avg("_per_doc").alias("mean_sec_per_doc"),
-            F.min("_per_doc").alias("min_sec_per_doc"),
-            F.max("_per_doc").alias("max_sec_per_doc"),
-            F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY _per_doc)").alias("median_sec_per_doc"),
-            F.try_divide(F.sum("seconds"), F.sum("n_docs")).alias("total_sec_per_doc"),
-        )
+    timed = runs.select(*by, "seconds", "n_docs").withColumn("_per_doc", per_doc)
+    summed = timed.groupBy(F.struct(*by, F.lit(0).alias("_one")).alias("_keys")).agg(
+        F.count(F.lit(1)).alias("runs"),
+        F.avg("_per_doc").alias("mean_sec_per_doc"),
+        F.min("_per_doc").alias("min_sec_per_doc"),
+        F.max("_per_doc").alias("max_sec_per_doc"),
+        F.try_divide(F.sum("seconds"), F.sum("n_docs")).alias("total_sec_per_doc"),
     )
+    medians = group_median(timed, by, "_per_doc", "median_sec_per_doc")
+    measures = [f"{m}_sec_per_doc" for m in ("mean", "min", "max", "median", "total")]
+    return summed.join(medians, "_keys", "left").select(*[F.col("_keys")[c].alias(c) for c in by], "runs", *measures)
 
 
 def cost_table(samples: DataFrame, generations: int = BASE_GENERATIONS) -> DataFrame:

@@ -183,3 +183,37 @@ def unit_dense_rank(
         .select(*keys, "_value", (F.col("_start") + F.col("_in")).cast("int").alias(out))
     )
     return attach_by_key(df, ranked, [*keys, "_value"], spread_on).drop("_matched", "_keys", "_value")
+
+
+def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str, per_e: int = 64, steps: int = 65_536) -> DataFrame:
+    """One row per key with values: ``_keys`` (a struct of the keys) and the lower median of ``value``, exact.
+
+    Rows are counted per value with map-side combine, so no buffer or task holds the values of a key. The running sum of
+    a key's logarithmic buckets (``per_e`` for a factor e, at most about 190,000 in all) names the bucket of the median.
+    That bucket alone is cut into ``steps`` equal parts between its ends, and the values of one part are ordered. Null
+    keys are keys, null values are left out, NaN comes last.
+    """
+
+    def holding(rows: DataFrame, order: str) -> DataFrame:
+        """The row of each key that holds the rank, which then counts from the row's start."""
+        before = Window.partitionBy("_keys").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        start = F.coalesce(F.sum("_n").over(before), F.lit(0))
+        found = rows.withColumn("_start", start).where("_start < _rank and _rank <= _start + _n")
+        return found.withColumn("_rank", F.col("_rank") - F.col("_start")).drop("_n", "_start")
+
+    v = F.col("_v")
+    bucket = F.floor(F.least(F.log(F.abs(v)), F.lit(1000.0)) * per_e) + 1000 * per_e
+    bucket = F.when(F.isnan(v), 2001 * per_e).when(v == 0, 0).otherwise(F.when(v < 0, -bucket).otherwise(bucket))
+    counts = (
+        df.where(F.col(value).isNotNull())
+        .groupBy(F.struct(*keys, F.lit(0).alias("_one")).alias("_keys"), F.col(value).cast("double").alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_b", bucket)
+    )
+    buckets = counts.groupBy("_keys", "_b").agg(F.sum("_n").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    middle = F.floor((F.sum("_n").over(Window.partitionBy("_keys")) + 1) / 2)
+    step = F.when(F.col("_hi") > F.col("_lo"), F.floor((v - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * (steps - 1))).otherwise(0)
+    inside = counts.join(holding(buckets.withColumn("_rank", middle), "_b"), ["_keys", "_b"]).withColumn("_s", step)
+    parts = inside.groupBy("_keys", "_s").agg(F.sum("_n").alias("_n"), F.first("_rank").alias("_rank"))
+    last = inside.drop("_rank").join(holding(parts, "_s"), ["_keys", "_s"])
+    return holding(last, "_v").select("_keys", v.alias(out))
