@@ -33,16 +33,19 @@ def partition_of(n: int) -> int:
 
 
 def items_of(items: DataFrame, width: int) -> DataFrame:
-    """(item, size, shingles, keys) of every item with a word."""
+    """(item, size, shingles, keys) of every item with a word. The size of an item of k < ``width`` words is -k."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = multipliers()
         for part in chunks(batches, "text"):
-            runs, edges = shingles(*bare_words(texts_of(part, "text")), width)
+            words, bounds = bare_words(texts_of(part, "text"))
+            runs, edges = shingles(words, bounds, width)
             out = []
-            for item, x, y in zip(part.column("item").to_pylist(), edges[:-1], edges[1:], strict=True):
+            for item, n, x, y in zip(part.column("item").to_pylist(), np.diff(bounds).tolist(), edges[:-1], edges[1:], strict=True):
                 own = np.unique(runs[x:y])
-                if len(own) and item is not None:
+                if 0 < n < width and item is not None:
+                    out.append((item, -n, own.view(np.int64).tolist(), key_of(0, n, own).view(np.int64).tolist()))
+                elif len(own) and item is not None:
                     least = (own[:, None] * a).min(axis=0)
                     size = partition_of(len(own))
                     out.append((item, size, own.view(np.int64).tolist(), key_of(size, np.arange(HASHES), least).view(np.int64).tolist()))
@@ -107,24 +110,41 @@ def window_keys(runs: np.ndarray, edges: np.ndarray, sizes: list[int], there: np
     return np.concatenate(rows), np.concatenate(keys)
 
 
+def short_keys(words: np.ndarray, bounds: np.ndarray, lengths: list[int], there: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, key, run) of the runs of as many words as short items have, those whose key passes the filter."""
+    rows, keys, held = [np.zeros(0, int)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    for k in lengths:
+        runs, edges = shingles(words, bounds, k)
+        key = key_of(0, k, runs)
+        hit = passes(there, key)
+        rows.append(np.repeat(np.arange(len(edges) - 1), np.diff(edges))[hit])
+        keys.append(key[hit])
+        held.append(runs[hit])
+    return np.concatenate(rows), np.concatenate(keys), np.concatenate(held)
+
+
 def leaks(docs: DataFrame, items: DataFrame, containment: float, width: int) -> DataFrame:
     """(digest, items): texts, by a hash, that hold at least ``containment`` of an item's different shingles."""
     known = written(items_of(items, width), "items")
-    sizes = sorted(r[0] for r in known.select("size").distinct().collect())
+    met_sizes = sorted(r[0] for r in known.select("size").distinct().collect())
+    sizes, lengths = [n for n in met_sizes if n > 0], [-n for n in met_sizes if n < 0]
     keyed = known.select("item", F.explode("keys").alias("key"))
     key_bits = bit_filter(keyed.select("key"))
     shingle_bits = bit_filter(known.select(F.explode("shingles").alias("s")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text"):
-            if not sizes:
+            if not met_sizes:
                 continue
-            runs, edges = shingles(*bare_words(texts_of(part, "text")), width)
-            text, key = window_keys(runs, edges, sizes, key_bits)
+            words, bounds = bare_words(texts_of(part, "text"))
+            runs, edges = shingles(words, bounds, width)
+            text, key, short = short_keys(words, bounds, lengths, key_bits)
+            whole = [(text, key)] + ([window_keys(runs, edges, sizes, key_bits)] if sizes else [])
+            short_text, (text, key) = text, (np.concatenate(c) for c in zip(*whole, strict=True))
             digest = part.column("digest").to_pylist()
             out = []
             for t in np.unique(text):
-                own = np.unique(runs[edges[t] : edges[t + 1]])
+                own = np.unique(np.concatenate([runs[edges[t] : edges[t + 1]], short[short_text == t]]))
                 held = own[passes(shingle_bits, own)]
                 out.append((digest[t], np.unique(key[text == t]).view(np.int64).tolist(), held.view(np.int64).tolist()))
             if out:
@@ -155,7 +175,7 @@ def find_leaks(
     An item counts as held if at least ``containment`` of its different ``width``-word shingles are anywhere in the
     whole text; words are compared without case and outer signs. Items are partitioned by size, texts are searched
     in overlapping windows of each partition's size by MinHash values, and what meets is verified exactly. An item
-    with fewer words is one shingle and is only held by a text of just these words.
+    with fewer words is one shingle, held by every text with these words in a row.
 
     Null and empty texts hold nothing, null and empty items are held by nothing, and an item without an id is left
     out. Items that share an id are found under it. Equal texts are verified once, found by a 64-bit hash; repeated
