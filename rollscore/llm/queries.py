@@ -9,6 +9,7 @@ from . import language, quality, toxicity
 from .common import held_out, table
 from .contamination import find_leaks
 from .jaccard import near_copies
+from .middle import fill_in_middle, restored
 from .pieces import Vocabulary, encode
 from .pii import replace_entities
 from .registry import ORACLES, QUERIES, query
@@ -123,11 +124,6 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs, toxicity.train(docs, labels))
     return scored.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted")
 
-PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-
-#: Of the registered query; a job brings its own.
-PII_KEY = "surrogate-key"
-
 
 @query("op10_quality")
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,3 +142,52 @@ def op9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_pieces")
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents", "doc_id", "text"), Vocabulary.load(PIECE_MODEL))
+
+
+@query(
+    "op13_middle",
+    """
+    WITH own AS (
+      SELECT row_number() OVER () AS nr, doc_id, coalesce(text, '') AS text,
+             regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+             sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+      FROM documents),
+    drawn AS (
+      SELECT nr, doc_id, text, units, len(units) AS n,
+             CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(units) + 1) AS r1,
+             CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(units) + 1) AS r2,
+             CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS r3,
+             CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS r4
+      FROM own),
+    cut AS (
+      SELECT nr, doc_id, text, n,
+             CASE WHEN text = '' OR text LIKE '%<P>%' OR text LIKE '%<S>%' OR text LIKE '%<M>%' OR r3 >= 90 THEN 'plain'
+                  WHEN r4 < 20 THEN 'spm' ELSE 'psm' END AS form,
+             array_to_string(units[1:least(r1, r2)], '') AS prefix,
+             array_to_string(units[least(r1, r2) + 1:greatest(r1, r2)], '') AS middle,
+             array_to_string(units[greatest(r1, r2) + 1:], '') AS suffix
+      FROM drawn)
+    SELECT doc_id, n, form,
+           CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM cut
+    """,
+)
+def op13_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+    def digest(text):
+        return F.sha2(text.cast("binary"), 256)
+
+    return cut.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        digest(F.col("fim_text")).alias("output_sha256"),
+        digest(restored("fim_text", "form")).alias("restored_sha256"),
+    )
