@@ -10,6 +10,7 @@ from .common import held_out, table
 from .contamination import find_leaks
 from .jaccard import near_copies
 from .middle import fill_in_middle, restored
+from .mixing import mix_sources
 from .pieces import Vocabulary, encode
 from .pii import replace_entities
 from .registry import ORACLES, QUERIES, query
@@ -191,3 +192,76 @@ def op13_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
         digest(F.col("fim_text")).alias("output_sha256"),
         digest(restored("fim_text", "form")).alias("restored_sha256"),
     )
+
+
+@query(
+    "op12_mix",
+    r"""
+    WITH items AS (
+      SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, count(*) AS copies
+      FROM documents GROUP BY ALL),
+    src AS (
+      SELECT source, sum(size * copies)::HUGEINT AS source_size, sum(copies) AS rows,
+             row_number() OVER (ORDER BY source NULLS LAST) AS number
+      FROM items GROUP BY source),
+    weighed AS (
+      SELECT *, source_size * 200 AS cap, ([5, 2, 1])[(number - 1) % 3 + 1] AS weight FROM src),
+    filled AS (
+      SELECT *, sum(source_size) OVER () * 150 AS wish, sum(cap) OVER () AS caps, row_number() OVER o AS nth,
+             coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+             sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+      FROM weighed WINDOW o AS (ORDER BY source_size * 10 // weight, number)),
+    level AS (
+      SELECT min(nth) AS nth, arg_min(wish - before, nth) AS words, arg_min(weights, nth) AS weights
+      FROM filled WHERE (wish - before) * weight < cap * weights),
+    aimed AS (
+      SELECT f.*, CASE WHEN l.nth IS NULL OR f.nth < l.nth THEN cap::DOUBLE / 100
+                       ELSE (l.words * weight)::DOUBLE / (l.weights * 100)::DOUBLE END AS target
+      FROM filled f CROSS JOIN level l),
+    blocked AS (
+      SELECT *, greatest(1, least(1024, floor(coalesce(min(CASE WHEN target > 0 THEN target END) OVER () / 256, 1))))::BIGINT AS block
+      FROM aimed),
+    seated AS (SELECT *, ((2 * least(wish, caps) + 100 * block) // (200 * block))::BIGINT AS seats FROM blocked),
+    source_places AS (
+      SELECT number, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, number, k) <= seats AS won
+      FROM (SELECT *, unnest(range(1, (2 * source_size // block + 3)::BIGINT)) AS k FROM seated WHERE target > 0)),
+    quota AS (SELECT number, count(*) FILTER (won) AS blocks FROM source_places GROUP BY number),
+    parts AS (
+      SELECT *, least(4096, copies - part * 4096) AS n,
+             ('0x' || substr(md5('1:' || coalesce(doc_id::VARCHAR, '') || ':' || part), 1, 15))::BIGINT AS place
+      FROM (SELECT *, unnest(range(0, (copies - 1) // 4096 + 1)) AS part FROM items)),
+    lined AS (
+      SELECT p.*, s.number, s.source_size, s.target, s.block, p.place % ceil(s.rows / 100000)::BIGINT AS shard
+      FROM parts p JOIN seated s ON p.source IS NOT DISTINCT FROM s.source),
+    shards AS (
+      SELECT number, shard, sum(size * n)::BIGINT AS words,
+             CASE WHEN sum(size * n) = 0 THEN 0 ELSE greatest(1, (2 * sum(size * n) + block) // (2 * block)) END::BIGINT AS m
+      FROM lined GROUP BY number, shard, block),
+    shard_places AS (
+      SELECT number, shard, row_number() OVER (PARTITION BY number ORDER BY m / (2 * k - 1) DESC, shard, k) <= least(blocks, capacity) AS won
+      FROM (SELECT s.*, q.blocks, sum(m) OVER (PARTITION BY s.number) * 2 AS capacity, unnest(range(1, 2 * m + 2)) AS k
+            FROM shards s JOIN quota q ON s.number = q.number)),
+    shard_quota AS (SELECT number, shard, count(*) FILTER (won) AS quota FROM shard_places GROUP BY number, shard),
+    runs AS (
+      SELECT s.number, s.shard, words, m, coalesce(quota, 0) AS quota,
+             ('0x' || substr(md5('1:run:' || s.number || ':' || s.shard), 1, 15))::BIGINT % greatest(m, 1) AS first
+      FROM shards s LEFT JOIN shard_quota q ON s.number = q.number AND s.shard = q.shard),
+    bounds AS (
+      SELECT number, shard, words, CASE WHEN m = 0 THEN 0 ELSE quota // m END AS passes,
+             CASE WHEN m = 0 THEN 0 ELSE first * words // m END AS a,
+             CASE WHEN m = 0 THEN 0 WHEN first + quota % m <= m THEN (first + quota % m) * words // m
+                  ELSE words + (first + quota % m - m) * words // m END AS b
+      FROM runs),
+    laid AS (
+      SELECT *, sum(size * n) OVER (PARTITION BY number, shard ORDER BY place, doc_id NULLS FIRST, part, size
+                                    ROWS UNBOUNDED PRECEDING) - size * n AS base FROM lined),
+    each AS (SELECT *, base + copy * size AS pos FROM (SELECT *, unnest(range(0, n)) AS copy FROM laid))
+    SELECT doc_id, size, source_size::BIGINT AS source_size, target,
+           (passes * size + greatest(0, least(b, pos + size) - greatest(a, pos))
+            + greatest(0, least(b, pos + words + size) - greatest(a, pos + words)))::BIGINT AS taken
+    FROM each JOIN bounds ON each.number = bounds.number AND each.shard = bounds.shard
+    """,
+)
+def op12_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
