@@ -15,6 +15,7 @@ from .pieces import Vocabulary, encode
 from .pii import replace_entities
 from .registry import ORACLES, QUERIES, query
 from .secrets import scan_secrets
+from .spelling import group_variants
 from .urls import match_rules
 from .vectors import near_vectors
 
@@ -265,3 +266,8 @@ def op13_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op11_spelling")
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_variants(table(spark, sf_dir, "documents", "doc_id", "text"), damage=199)
