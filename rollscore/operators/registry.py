@@ -30,6 +30,7 @@ class RewardConfig:
     code_language: str = "python"
     content: str = "content"
     gold: str = "solution"
+    equivalence: bool = True
     group: Sequence[str] = ("prompt_id",)
     row_id: Sequence[str] = ("completion_id",)
     bounds: dict[str, int] = field(default_factory=dict)
@@ -99,7 +100,7 @@ def add_rewards(
     cfg = config or RewardConfig()
     chosen = {n: REGISTRY[n] for n in names}
     if GRADED & set(names) and "is_correct" not in df.columns:
-        df = with_grading(df, cfg.content, cfg.gold)
+        df = with_grading(df, cfg.content, cfg.gold, cfg.equivalence)
     # Row-local rewards first: whatever reads the text is done before the group shuffle, which then need not carry it.
     tables = sorted(((n, r) for n, r in chosen.items() if isinstance(r, ByTable)), key=lambda nr: nr[1].grouped)
     local = [(n, r) for n, r in tables if not r.grouped]

@@ -262,3 +262,49 @@ def code_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(value, F.lit("\n"), line).alias("expected"),
         stdout.alias("stdout"),
     )
+
+
+ALGEBRA_SQL = """
+select l_orderkey * 8 + l_linenumber as row_id, l_partkey % 59 + 2 as a, l_suppkey % 47 + 3 as b,
+  l_quantity::bigint % 45 + 2 as c, (l_linenumber % 3 = 0)::int as d from lineitem
+"""
+
+#: Gold answer and answer by form, from whole numbers a, b and c; they are equal where d is 0.
+ALGEBRA_FORMS = [
+    (r"concat('\\frac{', a, '}{', b, '}+x')", r"concat('(', a + d, '+', b, 'x)/', b)"),
+    ("concat('(x+', a, ')(x-', b, ')')", "concat('x^2+(', a - b + d, ')x-', a * b)"),
+    (r"concat('\\sqrt{', a * a * c, '}')", r"concat(a + d, '\\sqrt{', c, '}')"),
+    (r"concat('\\dfrac{', a, '}{', b, '}')", "concat('(', a * c + d, ')(', b * c, ')^{-1}')"),
+    ("concat('2^{x+', a, '}')", r"concat('2^{', a + d, '}\\cdot 2^x')"),
+    (r"concat('\\frac{', a, '}{100}x')", r"concat(a + d, '\\%x')"),
+    ("concat(a, '-(', b, '-x)')", "concat('x-', b, '+', a + d)"),
+    (r"concat('\\sqrt[3]{', a * a * a * c, '}')", r"concat(a + d, '\\sqrt[3]{', c, '}')"),
+    (r"'$(x+y)^3$'", "concat('x^3+3x^2y+', 3 + d, 'xy^2+y^{3}')"),
+    (r"concat('\\frac{', a, r'}{\pi}')", r"concat(a, '\\pi^{', d - 1, '}')"),
+]
+STRUCTURED_FORMS = [
+    (r"concat('\\{', a, ',', b, ',', c, '\\}')", r"concat('\\{', c, ',', a, ',', b + d, '\\}')"),
+    ("concat('[', a, ',', a + b, ']')", "concat(if(d = 1, '(', '['), a, ', ', 2 * a + 2 * b, '/2]')"),
+    ("concat('(', a, ',', b, ')')", r"if(d = 1, concat('(', b, ',', a, ')'), concat('\\left(\\frac{', 2 * a, '}{2},', b, '\\right)'))"),
+    (
+        r"concat(r'\begin{pmatrix}', a, '&', b, r'\\', c, r'&1\end{pmatrix}')",
+        r"concat(r'\begin{bmatrix}', a, ' & ', b + d, r' \\ ', c, r' & 1\end{bmatrix}')",
+    ),
+    (r"concat(r'(-\infty,', a, r')\cup[', a + b, r',\infty)')", r"concat('[', a + b + d, r',+\infty)\cup(-\infty,', a, ')')"),
+    ("concat(a, ',', b)", r"concat('\\{', b + d, ', ', a, '\\}')"),
+    ("cast(a as string)", "concat('x=', a + d)"),
+    (r"concat(r'\{(', a, ',', b, '),(', c, r',1)\}')", r"concat(r'\{(', c, ',1),(', a, ',', b + d, r')\}')"),
+]
+
+
+def answer_pairs(spark: SparkSession, sf_dir: str, forms: list[tuple[str, str]]) -> DataFrame:
+    """Line items as gold answers and completions whose boxed answer says the same in another form, or nearly the same."""
+    rows = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", spread=True).selectExpr(
+        "l_orderkey * 8 + l_linenumber as row_id",
+        "l_partkey % 59 + 2 as a",
+        "l_suppkey % 47 + 3 as b",
+        "cast(l_quantity as bigint) % 45 + 2 as c",
+        "if(l_linenumber % 3 = 0, 1, 0) as d",
+    ).withColumn("form", (F.col("row_id") % len(forms)).cast("int"))
+    solution, answer = (F.element_at(F.array(*[F.expr(f[i]) for f in forms]), F.col("form") + 1) for i in (0, 1))
+    return rows.select("row_id", "form", solution.alias("solution"), F.concat(F.lit("So it is \\boxed{"), answer, F.lit("}")).alias("content"))

@@ -86,7 +86,7 @@ def generate(
     return group_generations(answered, key, error="error")
 
 
-def score_eval_samples(samples: DataFrame, tasks: DataFrame) -> DataFrame:
+def score_eval_samples(samples: DataFrame, tasks: DataFrame, equivalence: bool = True) -> DataFrame:
     """Add ``score`` to (task, content, choices, gold_index) rows by the metric of their task. A task that is not in ``tasks`` has a null score.
 
     Letter tasks compare the extracted letter with the gold one; the others compare the boxed answer with every choice.
@@ -97,16 +97,16 @@ def score_eval_samples(samples: DataFrame, tasks: DataFrame) -> DataFrame:
     parsed = samples.join(metrics, "task", "left").withColumns(
         {"_text": F.when(~by_letter, F.col("content")), "_golds_in": F.when(~by_letter, F.col("choices"))}
     )
-    graded = with_multi_gold(parsed, "_text", "_golds_in", "_math")
+    graded = with_multi_gold(parsed, "_text", "_golds_in", "_math", equivalence)
     letters = index_match("content", "choices", "gold_index")
     by_metric = F.when(by_letter, letters).otherwise(F.col("_math"))
     scored = graded.withColumn("score", F.when(F.col("metric").isNotNull(), by_metric))
     return scored.drop("_math", "_text", "_golds_in")
 
 
-def evaluate_tasks(samples: DataFrame, tasks: DataFrame) -> DataFrame:
+def evaluate_tasks(samples: DataFrame, tasks: DataFrame, equivalence: bool = True) -> DataFrame:
     """Scores and standard errors per task from raw evaluated completions."""
-    return task_stderr(score_eval_samples(samples, tasks))
+    return task_stderr(score_eval_samples(samples, tasks, equivalence))
 
 
 def sweep_report(runs: DataFrame) -> DataFrame:

@@ -128,6 +128,28 @@ def accuracy_reward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graded.select("completion_id", "pred_norm", "gold_norm", R.accuracy_reward().alias("accuracy_reward"))
 
 
+@query(
+    "accuracy_equivalent",
+    f"select row_id, (row_id % 10)::int as form, case when d = 0 then 1.0::double else 0.0::double end as accuracy_reward from ({I.ALGEBRA_SQL})",
+)
+def accuracy_equivalent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    graded = with_grading(I.answer_pairs(spark, sf_dir, I.ALGEBRA_FORMS))
+    return graded.select("row_id", "form", R.accuracy_reward().alias("accuracy_reward"))
+
+
+@query(
+    "answers_structured",
+    f"""select row_id, form, case form
+        when 0 then list_sort(list_distinct([a, b, c])) = list_sort(list_distinct([c, a, b + d]))
+        when 2 then d = 0 or a = b
+        when 5 then list_sort(list_distinct([a, b])) = list_sort(list_distinct([b + d, a]))
+        else d = 0 end as is_correct
+      from (select *, (row_id % 8)::int as form from ({I.ALGEBRA_SQL}))""",
+)
+def answers_structured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_grading(I.answer_pairs(spark, sf_dir, I.STRUCTURED_FORMS)).select("row_id", "form", "is_correct")
+
+
 @query(
     "skip_unparseable_gold",
     f"""with {I.GRADED_SQL}, blanked as (
@@ -309,7 +331,8 @@ rewarded as (
 
 @query("len_reward", f"{LEN_SQL} select completion_id, prompt_id, {r('len_reward')} as len_reward from rewarded")
 def len_reward_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    graded = with_grading(I.completions(spark, sf_dir))
+    # The answers are whole numbers: there is nothing for equivalence to decide.
+    graded = with_grading(I.completions(spark, sf_dir), equivalence=False)
     return with_len_reward(graded).select("completion_id", "prompt_id", rounded("len_reward").alias("len_reward"))
 
 
@@ -397,7 +420,7 @@ select completion_id, prompt_id, a as reward_accuracy, f as reward_format, {r("c
 @query("score_rollouts_group", GROUP_SQL)
 def score_rollouts_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: the group recipe end to end."""
-    scored = score_with_recipe(I.completions(spark, sf_dir), GROUP_RECIPE, RewardConfig())
+    scored = score_with_recipe(I.completions(spark, sf_dir), GROUP_RECIPE, RewardConfig(equivalence=False))
     return scored.select(
         "completion_id",
         "prompt_id",
