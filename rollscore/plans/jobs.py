@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.answers import index_match, with_multi_gold
 from ..operators.evaluation import macro_average, micro_average, task_stderr
-from ..operators.mapping import external_step
+from ..operators.mapping import external_step, resumable_step
 from ..operators.registry import RewardConfig, score_rollouts
 from ..operators.shaping import (
     MAX_PROMPT_LENGTH,
@@ -74,15 +74,25 @@ def generate(
     generations: int = 1,
     replicas: int | None = None,
     retries: int = 0,
+    timeout: float | None = None,
+    ledger: str | None = None,
     **request: object,
 ) -> DataFrame:
     """Synthetic generation around a user-supplied client: one row per prompt with its ordered generations and errors.
 
-    The client is called once for each numbered batch.
+    The client is called once for each numbered batch. With a ``ledger`` folder a repeated or resumed run asks only for the
+    requests, by key, generation and all request columns, that have no answer there.
     """
     requests = replicate_generations(generation_requests(prompts, prompt_column, **request), generations)
     batched = request_batches(requests, key, ("gen_idx",))
-    answered = external_step(batched, make_client, replicas, retries=retries, batch=("load_unit", "batch"))
+    numbers = ("load_unit", "batch")
+    if ledger is None:
+        answered = external_step(batched, make_client, replicas, retries=retries, batch=numbers, timeout=timeout)
+    else:
+        own = [c for c in requests.columns if c not in numbers]
+        answered = resumable_step(
+            batched, make_client, ledger, own, replicas, batch=numbers, retries=retries, timeout=timeout
+        ).drop("run")
     return group_generations(answered, key, error="error")
 
 

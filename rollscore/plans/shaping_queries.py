@@ -12,9 +12,10 @@ from ..functions.text import count_substring, ngrams, py_split, py_strip
 from ..operators import shaping as S
 from ..operators.evaldocs import GPQA_PROMPT, TASK_COLUMNS, eval_docs_union, gpqa_docs
 from ..operators.filters import doc_counts, limit_docs, save_step_filter, unique_docs
-from ..operators.mapping import external_step, map_rows
+from ..operators.mapping import external_step, map_rows, resumable_step
 from ..operators.registry import add_rewards, register
 from ..operators.sweeps import seeded_shuffle
+from ..session import fresh_path
 from ..sources.tables import read_table
 from . import inputs as I
 from .jobs import generate, prepare_prompts
@@ -503,6 +504,20 @@ def external_step_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answered
 
 
+@query(
+    "external_step_resumed",
+    f"""select row_id, concat(length(problem), ' characters') as text, cast(null as varchar) as error,
+      case when row_id % 3 = 0 then '1' else '2' end as run
+    from ({PROBLEMS_SQL})""",
+)
+def external_step_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the requests are answered by a first run; the second run sends all and asks for the others."""
+    requests = S.generation_requests(problems(spark, sf_dir).select("row_id", "problem"), "problem").select("row_id", "instruction")
+    ledger = fresh_path(spark, "ledger")
+    resumable_step(requests.where("row_id % 3 = 0"), echo_server(), ledger, replicas=4, run="1")
+    return resumable_step(requests, echo_server(), ledger, replicas=4, run="2").drop("instruction")
+
+
 @query(
     "generate",
     f"""select row_id, 3::bigint as n, 0::bigint as n_errors, concat_ws('|', concat(length(problem), ' characters'),

@@ -9,6 +9,7 @@ from ..operators.evaluation import macro_average
 from ..operators.shaping import replicate_generations, request_batches
 from ..session import fresh_path
 from ..sources.eval_logs import explode_results, scan_eval_logs, write_eval_logs
+from ..sources.commits import commit_generations, commit_metrics, notes, read_committed
 from ..sources.tables import read_table, scan_split, sink_generations, sink_metrics, write_splits
 from ..streaming.streams import read_leaderboard, stream_checkpoint_jobs, stream_leaderboard
 from . import inputs as I
@@ -101,6 +102,41 @@ def sink_metrics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("run string, train_samples bigint, mean_chars double").json(path)
 
 
+@query(
+    "sink_metrics_committed",
+    f"""select 'all' as run, count(*) as train_samples, {r('avg(n_chars)', 6)} as mean_chars from documents
+    union all select 'long', count(*), {r('avg(n_chars)', 6)} from documents where n_chars > 300""",
+)
+def sink_metrics_committed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run over all documents is made twice, and first of all over other rows: its last row counts."""
+    path = fresh_path(spark, "metrics")
+    docs = read_table(spark, sf_dir, "documents", "n_chars")
+    mean = {"mean_chars": rounded(F.avg("n_chars"), 6)}
+    for run, rows in (("all", docs.where("n_chars < 100")), ("long", docs.where("n_chars > 300")), ("all", docs), ("all", docs)):
+        commit_metrics(rows, path, run, mean)
+    return read_committed(spark, path)
+
+
+@query(
+    "sink_generations_committed",
+    """with g as (select o_orderkey, cast((row_number() over (order by o_orderkey, g) - 1) // 64000 as bigint) as load_unit
+      from orders, (select unnest(range(2)) as g))
+    select load_unit, count(*) as n, count(distinct o_orderkey) as prompts, load_unit % 2 = 0 as second_load, true as private
+    from g group by load_unit""",
+)
+def sink_generations_committed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All load units are committed, then the even ones again with a mark."""
+    path = fresh_path(spark, "generations")
+    requests = replicate_generations(read_table(spark, sf_dir, "orders", "o_orderkey"), 2)
+    units = request_batches(requests, "o_orderkey", ("gen_idx",)).withColumn("second_load", F.lit(False))
+    commit_generations(units, path, private=False)
+    commit_generations(read_committed(spark, path).where("load_unit % 2 = 0").withColumn("second_load", F.lit(True)), path)
+    stored = read_committed(spark, path).groupBy("load_unit").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("o_orderkey").alias("prompts"), F.bool_and("second_load").alias("second_load")
+    )
+    return stored.withColumn("private", F.lit(notes(spark, path)["private"]))
+
+
 @query(
     "stream_leaderboard",
     f"""select task, {r('score')} as best_score, exp, step, results from (

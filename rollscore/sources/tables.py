@@ -58,6 +58,10 @@ def sample_counts(df: DataFrame, split: str = "split") -> DataFrame:
 
 
 def sink_metrics(df: DataFrame, path: str, run: str, metrics: dict[str, Column]) -> None:
-    """Append one JSON row of run metrics, with ``train_samples`` as the row count."""
+    """One JSON row of run metrics, with ``train_samples`` as the row count, in the folder of its run.
+
+    A repeated run replaces its row. ``commits.commit_metrics`` also does so in one step.
+    """
     row = df.agg(F.count(F.lit(1)).alias("train_samples"), *[c.alias(n) for n, c in metrics.items()])
-    row.withColumn("run", F.lit(run)).write.mode("append").json(path)
+    writer = row.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run").json(path)
