@@ -11,6 +11,7 @@ from ..session import fresh_path
 from ..sources.eval_logs import explode_results, scan_eval_logs, write_eval_logs
 from ..sources.commits import commit_generations, commit_metrics, notes, read_committed
 from ..sources.tables import read_table, scan_split, sink_generations, sink_metrics, write_splits
+from ..streaming.keyed import read_live_leaderboard, stream_live_leaderboard, stream_save_jobs
 from ..streaming.streams import read_leaderboard, stream_checkpoint_jobs, stream_leaderboard
 from . import inputs as I
 from .registry import query, r, rounded
@@ -150,6 +151,48 @@ def stream_leaderboard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_leaderboard(spark, out).withColumn("best_score", rounded("best_score"))
 
 
+def announced_saves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Save events as a stream of the event table itself, each announced twice."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    # Written as a pattern because a stream takes a single file only that way; a folder of files matches as well.
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
+    return events.select(
+        F.col("user_id").alias("run"),
+        F.col("event_id").alias("step"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.explode(F.sequence(F.lit(1), F.lit(2))).alias("announcement"),
+    ).drop("announcement")
+
+
+@query(
+    "stream_live_leaderboard",
+    f"""select task, {r('score')} as best_score, exp, step, results from (
+      select *, row_number() over (partition by task order by score desc nulls last, exp, step) as rn, count(*) over (partition by task) as results
+      from (select *, row_number() over (partition by suite, exp, step, task order by run_ts desc, score desc) as newest from ({I.RUNS_SQL}))
+      where newest = 1) where rn = 1""",
+)
+def stream_live_leaderboard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logs come in several batches; of a checkpoint's runs only the newest counts, whichever batch holds it."""
+    root, out = written_logs(spark, sf_dir), fresh_path(spark, "live")
+    state = fresh_path(spark, "live-state")
+    stream_live_leaderboard(spark, root, out, state, files_per_trigger=4, compacted=True).awaitTermination()
+    return read_live_leaderboard(spark, out).withColumn("best_score", rounded("best_score"))
+
+
+@query(
+    "stream_save_jobs",
+    """select user_id as run, event_id as step, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts, b.benchmark, b.task_key,
+      concat('main-step-', lpad(cast(event_id as varchar), 9, '0')) as revision
+    from events, (values ('math_500', 'custom|math_500|0|0'), ('gpqa', 'custom|gpqa:diamond|0|0')) as b(benchmark, task_key)
+    where event_id % 50 = 0""",
+)
+def stream_save_jobs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The saves of ``stream_checkpoint_jobs``, each announced twice, with one bitmap per run as state."""
+    out = fresh_path(spark, "jobs")
+    stream_save_jobs(announced_saves(spark, sf_dir), ["math_500", "gpqa"], out, fresh_path(spark, "jobs-state")).awaitTermination()
+    return spark.read.parquet(out).withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
 @query(
     "stream_checkpoint_jobs",
     """select user_id as run, event_id as step, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts, b.benchmark, b.task_key,
@@ -159,15 +202,7 @@ def stream_leaderboard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_checkpoint_jobs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Save events read as a stream of the event table itself, each announced twice."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    # Written as a pattern because a stream takes a single file only that way; a folder of files matches as well.
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
-    saves = events.select(
-        F.col("user_id").alias("run"),
-        F.col("event_id").alias("step"),
-        F.col("ts").cast("timestamp").alias("ts"),
-        F.explode(F.sequence(F.lit(1), F.lit(2))).alias("announcement"),
-    ).drop("announcement")
+    saves = announced_saves(spark, sf_dir)
     out = fresh_path(spark, "jobs")
     stream = stream_checkpoint_jobs(saves, ["math_500", "gpqa"], out, fresh_path(spark, "jobs-state"))
     stream.awaitTermination()

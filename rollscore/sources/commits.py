@@ -78,11 +78,13 @@ def _manifest(spark: SparkSession, path: str, state: dict | None, keys: Sequence
     return spark.read.schema(schema).parquet(f"{path}/{MANIFESTS}/{state['manifest']}") if state else spark.createDataFrame([], schema)
 
 
-def commit(df: DataFrame, path: str, keys: Sequence[str], attempts: int = 10, **notes: object) -> int:
+def commit(
+    df: DataFrame, path: str, keys: Sequence[str], attempts: int = 10, folders: bool = True, **notes: object
+) -> int:
     """Replace the rows of every key in ``df`` by those in ``df``, all at once, and return the number of the new state.
 
-    ``keys`` are the columns that a load replaces as a whole, and become folders. Other keys keep their rows. A repeated
-    run replaces what it wrote. ``notes`` are kept with the pointer. The rows are written once; if another writer was
+    ``keys`` are the columns that a load replaces as a whole, and become folders, or without ``folders`` (for many small
+    keys) only entries of the manifest. Other keys keep their rows. A repeated run replaces what it wrote. ``notes`` are kept with the pointer. The rows are written once; if another writer was
     faster, only the manifest is made again, from that writer's state. All commits of a table have one schema.
     """
     spark, keys = df.sparkSession, list(keys)
@@ -90,9 +92,9 @@ def commit(df: DataFrame, path: str, keys: Sequence[str], attempts: int = 10, **
     rest = [f for f in df.schema.fields if f.name not in keys]
     fields = [*rest, *[df.schema[k] for k in keys]]
     # Keys as text in folder names would come back as another type or without their nulls, so they stay in the rows too.
-    stored = df.select(*[F.col(f"`{f.name}`") for f in fields], *[F.col(f"`{k}`").alias(f"_by_{k}") for k in keys])
+    by = [F.col(f"`{k}`").alias(f"_by_{k}") for k in keys] if folders else []
     written = f"{path}/{DATA}/commit={name}"
-    stored.write.partitionBy(*[f"_by_{k}" for k in keys]).parquet(written)
+    df.select(*[F.col(f"`{f.name}`") for f in fields], *by).write.partitionBy(*[f"_by_{k}" for k in keys if folders]).parquet(written)
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
     brought = spark.read.schema(T.StructType([schema[k] for k in keys])).parquet(written).select(*keys).distinct()
     for attempt in range(attempts):
@@ -134,6 +136,38 @@ def read_committed(spark: SparkSession, path: str, number: int | None = None) ->
     return stored.where(F.col("commit").isin(live)).join(named, (F.col("commit") == F.col("_m_commit")) & _same(keys, "_m_"), "left_semi").select(*schema.names)
 
 
+def vacuum(spark: SparkSession, path: str, keep: int = 10) -> int:
+    """Delete pointers and manifests older than the newest ``keep``, and commits that none of the kept ones names.
+
+    Commits younger than the newest pointer may belong to a writer that is still at work and stay. Readers of a state
+    that is given up fail; the number of deleted commits is returned.
+    """
+    files, to_path = _files(spark, path)
+    newest, state = current_state(spark, path)
+    if state is None:
+        return 0
+    util = files.util()
+    pointers = {int(s.getPath().getName()[:-5]): s for s in util.listStatus(to_path(f"{path}/{CURRENT}")) if s.getPath().getName().endswith(".json")}
+    kept = [spark.read.text(pointers[n].getPath().toString(), wholetext=True).first()[0] for n in pointers if n > newest - keep]
+    manifests = {json.loads(t)["manifest"] for t in kept}
+    fields = T.StructType.fromJson(state["schema"])
+    named = [_manifest(spark, path, {"manifest": m}, [fields[k] for k in state["keys"]]).select("commit") for m in manifests]
+    live = {r[0] for r in reduce(DataFrame.union, named).distinct().collect()}
+    last = pointers[newest].getModificationTime()
+    for status in util.listStatus(to_path(f"{path}/{MANIFESTS}")):
+        if status.getPath().getName() not in manifests and status.getModificationTime() < last:
+            files.delete(status.getPath(), True)
+    for n in pointers:
+        if n <= newest - keep:
+            files.delete(pointers[n].getPath(), False)
+    gone = 0
+    for status in util.listStatus(to_path(f"{path}/{DATA}")):
+        name = status.getPath().getName().removeprefix("commit=")
+        if name not in live and status.getModificationTime() < last:
+            gone += files.delete(status.getPath(), True)
+    return gone
+
+
 def notes(spark: SparkSession, path: str) -> dict:
     """What the last commit said beside its rows."""
     return (current_state(spark, path)[1] or {}).get("notes", {})

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from rollscore.session import fresh_path
 from rollscore.sources import commits
-from rollscore.sources.commits import CommitConflict, commit, commit_generations, commit_metrics, current_state, notes, read_committed
+from rollscore.sources.commits import CommitConflict, commit, commit_generations, commit_metrics, current_state, notes, read_committed, vacuum
 
 
 def rows(df):
@@ -92,4 +94,16 @@ def test_replaced_commits_are_not_read(spark):
     for k in (0, 1, 1):
         commit(spark.range(100).withColumn("load_unit", F.lit(k)), path, ["load_unit"])
     plan = read_committed(spark, path)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [commit" in plan and plan.split("PartitionFilters: [", 1)[1].split("]")[0].count(",") == 1
+    assert "PartitionFilters: [commit" in plan and len(set(re.findall(r"\b[0-9a-f]{32}\b", re.search(r"commit#\d+ IN \(([^)]*)\)", plan)[1]))) == 2
+
+
+def test_vacuum_keeps_what_is_named(spark):
+    path = fresh_path(spark, "vacuum")
+    for k in (0, 1, 1, 1, 2):
+        commit(units(spark, (k, k), (k + 10, k)), path, ["load_unit"], folders=False)
+    before = rows(read_committed(spark, path))
+    assert vacuum(spark, path, keep=10) == 0 and vacuum(spark, path, keep=1) == 2
+    assert rows(read_committed(spark, path)) == before and len(before) == 6
+    with pytest.raises(Exception, match="(?i)not.exist|not.found"):
+        read_committed(spark, path, 2).collect()
+    assert commit(units(spark, (7, 1)), path, ["load_unit"]) == 6
