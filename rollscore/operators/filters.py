@@ -13,14 +13,19 @@ def save_step_filter(df: DataFrame, step: str = "step", save_steps: int = SAVE_S
 
 
 def unique_docs(df: DataFrame, text: str, row_id: str, by: list[str] | None = None) -> DataFrame:
-    """First row (smallest id) of every distinct text, per ``by`` columns.
+    """One row of every distinct text, per ``by`` columns: the one with the smallest id, rows without an id last.
 
-    Texts meet as fixed-size digests with map-side partial aggregation: copies collapse before the shuffle and no text
-    travels. The kept ids then select the full rows.
+    Copies meet as fixed-size digests with map-side partial aggregation, so they collapse before the shuffle. Of rows that
+    share id and text the one with the smallest hash of its columns stays. Null texts are one text.
     """
     by = by or []
-    firsts = df.groupBy(*by, F.sha2(F.col(text), 256).alias("_digest")).agg(F.min(row_id).alias(row_id))
-    return df.join(firsts.select(row_id), row_id, "left_semi")
+    # Maps have no hash.
+    hashed = [F.to_json(f"`{f.name}`") if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in df.schema.fields]
+    mark = F.xxhash64(*hashed)
+    order = F.struct(F.col(row_id).isNull(), F.col(row_id), mark)
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    kept = df.groupBy(*by, F.sha2(F.col(text), 256).alias("_digest")).agg(F.min_by(row, order).alias("_row"))
+    return kept.select("_row.*")
 
 
 def limit_docs(df: DataFrame, by: list[str], row_id: str, max_samples: int | None) -> DataFrame:

@@ -52,7 +52,8 @@ def external_step(
     """
     numbers = list(batch)
 
-    def call(client: Callable[[list[str]], Sequence[str]], prompts: list[str]) -> list:
+    def call(client: Callable[[list[str]], Sequence[str]], prompts: list[str]) -> list | None:
+        """The answers, or None if they take too long."""
         if timeout is None:
             return list(client(prompts))
         done: queue.Queue = queue.Queue(1)
@@ -67,7 +68,7 @@ def external_step(
         try:
             texts, error = done.get(timeout=timeout)
         except queue.Empty:
-            raise TimeoutError(f"no answer in {timeout} seconds") from None
+            return None
         if error is not None:
             raise error
         return texts
@@ -80,13 +81,14 @@ def external_step(
                 if not clients:
                     clients.append(make_client())
                 texts = call(clients[0], prompts)
+                if texts is None:
+                    clients.clear()
+                    raise TimeoutError(f"no answer in {timeout} seconds")
                 if len(texts) != len(prompts):
                     raise ValueError(f"{len(texts)} answers to {len(prompts)} prompts")
                 return texts, None
             except Exception as error:
                 failure = f"{type(error).__name__}: {error}"
-                if isinstance(error, TimeoutError):
-                    clients.clear()
                 if attempt < retries:
                     time.sleep(pause * 2**attempt)
         return [None] * len(prompts), failure

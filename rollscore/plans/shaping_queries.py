@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,10 @@ from ..operators import shaping as S
 from ..operators.evaldocs import GPQA_PROMPT, TASK_COLUMNS, eval_docs_union, gpqa_docs
 from ..operators.filters import doc_counts, limit_docs, save_step_filter, unique_docs
 from ..operators.mapping import external_step, map_rows, resumable_step
+from ..operators.packing import pack_whole
+from ..operators.permutation import epoch_ordinal, epoch_position
 from ..operators.registry import add_rewards, register
+from ..operators.skew import running_total
 from ..operators.sweeps import seeded_shuffle
 from ..session import fresh_path
 from ..sources.tables import read_table
@@ -266,6 +271,48 @@ def pack_sequences_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "pack_whole",
+    f"""select doc_id, n as n_tokens, (n + 255) // 256 as n_pieces, n <= 256 as whole
+    from (select doc_id, len({TOKENS_SQL}) as n from documents) where n > 0""",
+)
+def pack_whole_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In how many packed rows each document lies: one, unless it is longer than a row."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", spread=True)
+    packed = pack_whole(docs.select("doc_id", S.whitespace_tokens("text").alias("tokens")), "doc_id", length=256)
+    places = packed.select("packed_row", F.explode("documents").alias("d"))
+    n = F.sum("d.size")
+    return places.groupBy(F.col("d.id").alias("doc_id")).agg(
+        n.alias("n_tokens"),
+        F.count_distinct("packed_row").alias("n_pieces"),
+        ((n <= 256) & (F.count(F.lit(1)) == 1)).alias("whole"),
+    )
+
+
+@query(
+    "epoch_order",
+    """select e as epoch, count(*) as n, 0::bigint as smallest, count(*) - 1 as largest, count(*) as n_places, count(*) as n_back,
+      true as moved from documents, (select unnest(range(3)) as e) group by e""",
+)
+def epoch_order_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order of three epochs from one numbering of the documents: every place is taken once, and can be looked up."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id")
+    numbered = running_total(docs, "doc_id", (), F.lit(1), "ordinal")
+    n = docs.count()
+    epochs = [
+        numbered.select(F.lit(e).cast("bigint").alias("epoch"), "ordinal", epoch_position("ordinal", n, epoch=e).alias("place"))
+        .withColumn("back", epoch_ordinal("place", n, epoch=e)) for e in range(3)
+    ]
+    return reduce(DataFrame.unionAll, epochs).groupBy("epoch").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("place").alias("smallest"),
+        F.max("place").alias("largest"),
+        F.count_distinct("place").alias("n_places"),
+        F.count_if(F.col("back") == F.col("ordinal")).alias("n_back"),
+        (F.count_if(F.col("place") != F.col("ordinal")) > 0).alias("moved"),
+    )
+
+
 @query("completion_text", f"select completion_id, content as first_text, problem as last_text from ({I.COMPLETIONS_SQL})")
 def completion_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = I.completions(spark, sf_dir).withColumn(

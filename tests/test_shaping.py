@@ -148,6 +148,15 @@ def test_benchmark_requests(spark):
     assert bad == [(2, "amc23"), (3, "all"), (4, "all")]
 
 
+def test_unique_docs_keeps_one_row_per_text(spark):
+    rows = [(1, "a", "x"), (1, "a", "y"), (1, "a", "y"), (None, "b", "z"), (None, "b", "z"), (None, "a", "u"), (2, None, "v"), (3, None, "w")]
+    df = spark.createDataFrame(rows, "id long, text string, note string")
+    for parts in (1, 4):
+        got = unique_docs(df.repartition(parts), "text", "id").collect()
+        assert sorted((str(r.id), str(r.text)) for r in got) == [("1", "a"), ("2", "None"), ("None", "b")]
+    assert unique_docs(df.where("id > 9"), "text", "id").count() == 0
+
+
 def test_external_step_retries_and_keeps_failed_rows(spark):
     class Flaky:
         """Fails on the first call of every batch, and always for a batch with a poisoned prompt."""
