@@ -178,8 +178,8 @@ def near_vectors(
     share. A pair is counted in its first common band alone.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and those with a null label or id, link
-    with nothing; vectors of different lengths neither. Rows that share an id are vectors of their own with one
-    component. A row with a null id has a null component and is not kept. Other columns are not read.
+    with nothing; vectors of different lengths neither. Rows that share an id are vectors of their own, each with its own
+    links, in one component. A row with a null id has a null component and is not kept. Other columns are not read.
     """
     v = F.col(f"`{vector}`")
     rows = df.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{label}`").cast("string").alias("label"), v.cast("array<double>").alias("vec"))
@@ -194,7 +194,8 @@ def near_vectors(
     classes = written(classes.withColumn("dim", F.size("vec")), "vector-classes")
     largest = classes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
     bits, bands = bands_for(largest, threshold, recall)
-    dealt = written(coded(classes, bits, bands), "vector-codes")
+    # The id of a class is its hash from here on: vectors that share an id are classes of their own.
+    dealt = written(coded(classes.drop("id").withColumnRenamed("h1", "id"), bits, bands), "vector-codes")
     sizes = dealt.groupBy("bucket").count().where("count > 1")
     tiles = F.ceil(F.col("count") / TILE).cast("int")
     tiled = (
@@ -211,14 +212,19 @@ def near_vectors(
         .mapInArrow(lambda b: joined(b, threshold), "id long, gained long, other long")
     )
     found = written(found, "vector-links")
-    gained = found.groupBy("id").agg(F.sum("gained").alias("gained"))
-    reached = components(found.where("other is not null"), "id", "other")
-    named = (
+    gained = found.groupBy(F.col("id").alias("h1")).agg(F.sum("gained").alias("gained"))
+    owners = rows.where("ok").select("id", F.col("h1").alias("node")).distinct()
+    shared = owners.groupBy("id").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
+    links = found.where("other is not null").select("id", "other").union(owners.join(shared, "id").select("node", "first"))
+    reached = components(links, "id", "other").withColumnRenamed("node", "h1")
+    judged = (
         classes.select("h1", "h2", "id", "copies")
-        .join(gained, "id", "left")
-        .join(reached.withColumnRenamed("node", "id"), "id", "left")
-        .select("h1", "h2", (F.coalesce("gained", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("own"))
+        .join(gained, "h1", "left")
+        .join(reached, "h1", "left")
+        .select("h1", "h2", "id", (F.coalesce("gained", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "h1").alias("component"))
     )
+    least = judged.groupBy("component").agg(F.min("id").alias("own"))
+    named = judged.join(least, "component").select("h1", "h2", "n_links", "own")
     out = rows.select("id", "h1", "h2").join(named, ["h1", "h2"], "left")
     component = F.coalesce("own", "id")
     return out.select(
