@@ -14,8 +14,8 @@ from .common import bare_words, chunks, mix, shingles, texts_of, written
 #: Hash functions of a signature. A window holds at most four times an item's shingles, so at 0.8 containment each
 #: function agrees with a chance of 0.19 at least, and all of them miss with a chance below 0.000002.
 HASHES = 64
-#: The bit filters of item keys and item shingles have at most so many bits.
-MOST_BITS = 1 << 24
+#: The bit filters of item keys and item shingles have so many bits for each value, and at most so many.
+VALUE_BITS, MOST_BITS = 256, 1 << 24
 
 
 def multipliers() -> np.ndarray:
@@ -62,7 +62,7 @@ def bit_filter(values: DataFrame) -> np.ndarray:
     column = values.columns[0]
     n = values.count()
     bits = 1 << 16
-    while bits < 16 * n and bits < MOST_BITS:
+    while bits < VALUE_BITS * n and bits < MOST_BITS:
         bits *= 2
     there = np.zeros(bits, bool)
     at = values.select(F.pmod(column, F.lit(bits)).cast("int").alias("bit")).distinct().toPandas().bit
@@ -110,6 +110,32 @@ def window_keys(runs: np.ndarray, edges: np.ndarray, sizes: list[int], there: np
     return np.concatenate(rows), np.concatenate(keys)
 
 
+def near_hits(runs: np.ndarray, edges: np.ndarray, size: int, there: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(runs, edges, text numbers) of the stretches around shingles that may be an item's.
+
+    Texts are cut into blocks of the largest partition's size. Blocks without such a shingle whose neighbours have none
+    either are left out: no window with a shingle of an item reaches into them, so none is lost. Stretches begin where
+    smaller blocks do too.
+    """
+    lengths = np.diff(edges)
+    count = -(-lengths // size)
+    text = np.repeat(np.arange(len(lengths)), count)
+    if not len(text):
+        return runs, np.zeros(1, int), text
+    place = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+    starts = edges[:-1][text] + place * size
+    own = np.logical_or.reduceat(passes(there, runs), starts)
+    follows = text[1:] == text[:-1]
+    kept = own.copy()
+    kept[1:] |= own[:-1] & follows
+    kept[:-1] |= own[1:] & follows
+    sizes = np.minimum(size, edges[1:][text] - starts)
+    begins = kept & ~np.insert(kept[:-1] & follows, 0, False)
+    stretch = np.cumsum(begins)[kept] - 1
+    held = np.bincount(stretch, sizes[kept], minlength=int(begins.sum())).astype(int)
+    return runs[np.repeat(kept, sizes)], np.concatenate([[0], np.cumsum(held)]), text[begins]
+
+
 def short_keys(words: np.ndarray, bounds: np.ndarray, lengths: list[int], there: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, key, run) of the runs of as many words as short items have, those whose key passes the filter."""
     rows, keys, held = [np.zeros(0, int)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
@@ -139,7 +165,11 @@ def leaks(docs: DataFrame, items: DataFrame, containment: float, width: int) ->
             words, bounds = bare_words(texts_of(part, "text"))
             runs, edges = shingles(words, bounds, width)
             text, key, short = short_keys(words, bounds, lengths, key_bits)
-            whole = [(text, key)] + ([window_keys(runs, edges, sizes, key_bits)] if sizes else [])
+            whole = [(text, key)]
+            if sizes:
+                some, bounds_of, owner = near_hits(runs, edges, sizes[-1], shingle_bits)
+                stretch, found = window_keys(some, bounds_of, sizes, key_bits)
+                whole.append((owner[stretch], found))
             short_text, (text, key) = text, (np.concatenate(c) for c in zip(*whole, strict=True))
             digest = part.column("digest").to_pylist()
             out = []
