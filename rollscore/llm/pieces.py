@@ -24,8 +24,10 @@ from .common import written
 SPACE = "▁"
 #: Text bytes of a block; documents of a block share one list of words.
 BLOCK_BYTES = 12 << 20
-#: The words in most blocks, at most so many, are sent to all tasks with their cuts; the others are joined.
-FREQUENT = 100_000
+#: The words in most blocks, at most so many, are sent to all tasks as hash and cuts, 16 bytes each; the others are joined.
+FREQUENT = 1_000_000
+#: The seed of Spark's own 64-bit hash.
+SEED = 42
 #: Stands for the word that is a NUL character; no other word has these two characters.
 NUL_WORD = "\x01\x02"
 #: Bits of a mask in which cuts between characters are kept.
@@ -201,19 +203,47 @@ def word_table(blocks: DataFrame) -> DataFrame:
     return blocks.select("words").mapInArrow(run, "word string").groupBy("word").agg(F.count(F.lit(1)).alias("blocks"))
 
 
+def frequent_words(found: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes in order, cuts) of the short words in most blocks, ``most`` at most.
+
+    Words are counted by steps of block numbers, an eighth of a doubling wide. As many steps from the top as hold ``most``
+    words are taken whole, so no words are sorted and only what is sent comes to the driver.
+    """
+    step = F.floor(F.log2("blocks") * 8).cast("int")
+    short = found.where((F.col("blocks") > 1) & (F.length("word") < BITS)).withColumn("step", step)
+    taken, least = 0, None
+    for r in sorted(short.groupBy("step").agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+        taken += r["n"]
+        if taken > most:
+            break
+        least = r["step"]
+    if least is None:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    top = short.where(F.col("step") >= least).select(F.xxhash64("word").alias("h"), F.col("cuts")[0].alias("cut")).toArrow()
+    hashes, cuts = top["h"].to_numpy(), top["cut"].to_numpy()
+    order = np.argsort(hashes, kind="stable")
+    return hashes[order], cuts[order]
+
+
+def looked_up(words: list[str], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word stands among the frequent ones, and whether it does."""
+    own = np.fromiter((xxhash.xxh64_intdigest(w.encode(), SEED) for w in words), np.uint64, len(words)).view(np.int64)
+    at = np.searchsorted(hashes, own)
+    return at, np.append(hashes, 0)[at] == own if len(hashes) else np.zeros(len(words), bool)
+
+
 def rare_words(blocks: DataFrame, sent: Broadcast) -> DataFrame:
     """(block, number, word) of the words that are not among the frequent ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = sent.value
         for batch in batches:
             for block, data in zip(batch.column("block").to_pylist(), batch.column("words").to_pylist(), strict=True):
-                rare = [(i, w) for i, w in enumerate(words_of(data)) if len(w) > 1 and w not in frequent]
+                words = words_of(data)
+                known = looked_up(words, sent.value[0])[1]
+                rare = [i for i in np.flatnonzero(~known).tolist() if len(words[i]) > 1]
                 if rare:
-                    numbers, words = zip(*rare, strict=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([block] * len(rare)), pa.array(numbers, pa.int32()), pa.array(words, pa.string())], ["block", "number", "word"]
-                    )
+                    arrays = [pa.array([block] * len(rare)), pa.array(rare, pa.int32()), pa.array([words[i] for i in rare], pa.string())]
+                    yield pa.RecordBatch.from_arrays(arrays, ["block", "number", "word"])
 
     return blocks.select("block", "words").mapInArrow(run, "block string, number int, word string")
 
@@ -274,8 +304,9 @@ def encode(
     """(id_column, ids, n_tokens, round_trip) for every row: the ids of the whole text, and whether they decode to it.
 
     Texts are cut into words that no piece reaches across. The different words of the corpus, not the texts, go
-    through the lattice. Texts travel as blocks of word numbers beside the words of the block; the ``frequent`` words
-    that most blocks hold are sent to all tasks (that bound is the size of what is sent), the others are joined.
+    through the lattice. Texts travel as blocks of word numbers beside the words of the block; the words that most blocks
+    hold, ``frequent`` at most, are sent to all tasks by their 64-bit hash (that bound is the size of what is sent), the
+    others are joined.
 
     A null text has null ids, 0 tokens and a null round trip, an empty text no ids. Characters without a piece become byte
     pieces, or the unknown piece where a model has none. A text that holds the space sign of the pieces itself decodes
@@ -286,18 +317,19 @@ def encode(
     own = df.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     blocks = bucketed(blocks_of(own, vocabulary))
     found = written(cut(word_table(blocks), vocabulary), "lexicon")
-    short = found.where((F.col("blocks") > 1) & (F.length("word") < BITS))
-    top = short.orderBy(F.desc("blocks"), "word").limit(frequent).select("word", F.col("cuts")[0].alias("cut")).toPandas()
-    sent = spark.sparkContext.broadcast(dict(zip(top.word, top.cut.tolist(), strict=True)))
+    sent = spark.sparkContext.broadcast(frequent_words(found, frequent))
     rare = rare_words(blocks, sent).join(found.select("word", "cuts"), "word").groupBy("block").agg(F.collect_list(F.struct("number", "cuts")).alias("rare"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        speller, common = Speller(vocabulary), sent.value
+        speller, (hashes, common) = Speller(vocabulary), sent.value
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {n: batch.column(n)[i] for n in batch.schema.names}
                 words = words_of(row["words"].as_py())
-                cuts = [common.get(w) for w in words]
+                at, known = looked_up(words, hashes)
+                cuts = [None] * len(words)
+                for n, c in zip(np.flatnonzero(known).tolist(), common[at[known]].tolist(), strict=True):
+                    cuts[n] = c
                 if row["rare"].is_valid:
                     numbers, lists = row["rare"].values.flatten()
                     for n, c in zip(numbers.to_pylist(), lists.to_pylist(), strict=True):
