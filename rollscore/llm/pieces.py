@@ -77,13 +77,11 @@ def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     longest = max((len(p) for p, _, _ in vocabulary.pieces), default=1)
     least = 2 if vocabulary.kind == "bpe" else 1
     table = spark.createDataFrame([(p, s) for p, _, s in vocabulary.pieces if len(p) >= least], "piece string, score double")
-    spans = F.expr(
-        f"""flatten(transform(sequence(0, n - 1), i ->
-            IF(n - i < {least}, array(), transform(sequence({least}, least({longest}, n - i)), l ->
-                struct(i AS start, l AS size, substring(word, i + 1, l) AS piece)))))"""
-    )
     sized = words.select("word", "blocks", F.length("word").alias("n")).where(F.col("n") >= least)
-    edges = sized.select("word", "blocks", F.explode(spans).alias("e")).select("word", "blocks", "e.start", "e.size", "e.piece")
+    # Exploded by start and then by size, so that no row holds all substrings of a long word.
+    starts = sized.select("*", F.explode(F.expr(f"sequence(0, n - {least})")).alias("start"))
+    spans = starts.select("word", "blocks", "start", F.explode(F.expr(f"sequence({least}, least({longest}, n - start))")).alias("size"))
+    edges = spans.withColumn("piece", F.expr("substring(word, start + 1, size)"))
     joined = edges.join(F.broadcast(table), "piece")
     return joined.groupBy("word", "blocks").agg(F.collect_list(F.struct((-F.col("score")).alias("cost"), "size", "start")).alias("edges"))
 
