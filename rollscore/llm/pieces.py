@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from rollscore.session import fresh_path
 
-from .common import written
+from .common import chunks, written
 
 SPACE = "▁"
 #: Text bytes of a block; documents of a block share one list of words.
@@ -28,6 +28,8 @@ BLOCK_BYTES = 12 << 20
 FREQUENT = 1_000_000
 #: The seed of Spark's own 64-bit hash.
 SEED = 42
+#: Words that leave a task at once.
+SENT = 20_000
 #: Stands for the word that is a NUL character; no other word has these two characters.
 NUL_WORD = "\x01\x02"
 #: Bits of a mask in which cuts between characters are kept.
@@ -165,7 +167,7 @@ def blocks_of(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             kinds = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], BLOCK)
 
-        for batch in batches:
+        for batch in chunks(batches, "text"):
             for number, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 absent, text = text is None, text or ""
                 codes.append(np.array([numbers.setdefault(u, len(numbers)) for u in unit.findall(normal(text))], np.uint32))
@@ -196,7 +198,9 @@ def word_table(blocks: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column("words").to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(words_of(data), pa.string())], ["word"])
+                words = words_of(data)
+                for a in range(0, len(words), SENT):
+                    yield pa.RecordBatch.from_arrays([pa.array(words[a : a + SENT], pa.string())], ["word"])
 
     return blocks.select("words").mapInArrow(run, "word string").groupBy("word").agg(F.count(F.lit(1)).alias("blocks"))
 
@@ -226,8 +230,8 @@ def frequent_words(found: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]
 def looked_up(words: list[str], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each word stands among the frequent ones, and whether it does."""
     own = np.fromiter((xxhash.xxh64_intdigest(w.encode(), SEED) for w in words), np.uint64, len(words)).view(np.int64)
-    at = np.searchsorted(hashes, own)
-    return at, np.append(hashes, 0)[at] == own if len(hashes) else np.zeros(len(words), bool)
+    at = np.minimum(np.searchsorted(hashes, own), max(len(hashes) - 1, 0))
+    return at, hashes[at] == own if len(hashes) else np.zeros(len(words), bool)
 
 
 def rare_words(blocks: DataFrame, sent: Broadcast) -> DataFrame:
@@ -239,8 +243,9 @@ def rare_words(blocks: DataFrame, sent: Broadcast) -> DataFrame:
                 words = words_of(data)
                 known = looked_up(words, sent.value[0])[1]
                 rare = [i for i in np.flatnonzero(~known).tolist() if len(words[i]) > 1]
-                if rare:
-                    arrays = [pa.array([block] * len(rare)), pa.array(rare, pa.int32()), pa.array([words[i] for i in rare], pa.string())]
+                for a in range(0, len(rare), SENT):
+                    some = rare[a : a + SENT]
+                    arrays = [pa.repeat(block, len(some)), pa.array(some, pa.int32()), pa.array([words[i] for i in some], pa.string())]
                     yield pa.RecordBatch.from_arrays(arrays, ["block", "number", "word"])
 
     return blocks.select("block", "words").mapInArrow(run, "block string, number int, word string")
