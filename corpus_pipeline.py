@@ -67,7 +67,8 @@ STAGES = [
     ("token_ids", token_ids),
 ]
 
-#: SQL cannot express the learned, keyed and merge-ordered stages; tests hold the rows against brute force.
+#: SQL cannot express the learned, keyed and merge-ordered stages. tests/llm/test_pipeline.py holds the stages against
+#: planted cases and the public library; the operators' own tests hold them against brute force.
 ORACLE_SQL = None
 
 
