@@ -1,4 +1,4 @@
-"""Factorization machine over binary features: fitting in numpy on a bounded sample, scoring in linear time."""
+"""Factorization machine over the features of texts: fitting in numpy on a bounded sample, scoring in linear time."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, written
+from .common import chunks
 
 #: Rows and features of a batch: for each feature of a document its document number and its feature number.
 Features = tuple[np.ndarray, np.ndarray]
@@ -19,9 +19,10 @@ Features = tuple[np.ndarray, np.ndarray]
 
 @dataclass
 class Machine:
-    """``kept``: the chosen feature numbers in order, ``weight`` and ``factor`` by place in ``kept``."""
+    """``kept``: all feature numbers met in training, in order; ``strong``, ``weight`` and ``factor`` by place in ``kept``."""
 
     kept: np.ndarray
+    strong: np.ndarray
     bias: float
     weight: np.ndarray
     factor: np.ndarray
@@ -29,72 +30,120 @@ class Machine:
     def scores(self, rows: int, features: Features) -> np.ndarray:
         """Chance of label 1. Pairwise terms come from the square of sums less the sum of squares: linear time."""
         doc, feature = features
-        place = np.searchsorted(self.kept, feature)
-        known = (place < len(self.kept)) & (self.kept[np.minimum(place, len(self.kept) - 1)] == feature) if len(self.kept) else np.zeros(len(doc), bool)
+        place = np.minimum(np.searchsorted(self.kept, feature), max(len(self.kept) - 1, 0))
+        known = self.kept[place] == feature if len(self.kept) else np.zeros(len(doc), bool)
         doc, place = doc[known], place[known]
-        linear = np.bincount(doc, self.weight[place], rows)
-        pairs = np.zeros(rows)
+        x = values(rows, doc, self.strong[place])
+        raw = self.bias + np.bincount(doc, self.weight[place] * x, rows)
         for f in range(self.factor.shape[1]):
-            v = self.factor[place, f]
-            pairs += np.bincount(doc, v, rows) ** 2 - np.bincount(doc, v * v, rows)
-        return 1 / (1 + np.exp(-np.clip(self.bias + linear + pairs / 2, -60, 60)))
+            v = self.factor[place, f] * x
+            raw += (np.bincount(doc, v, rows) ** 2 - np.bincount(doc, v * v, rows)) / 2
+        return chance(raw)
 
 
-def choose(counts: DataFrame, rows: int, ones: int, most: int, least_z: float) -> np.ndarray:
-    """The features whose share differs most between the labels, ``most`` at the utmost, by a two-sample z.
+def chance(raw: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(raw, -60, 60)))
 
-    ``counts``: feature, n (rows that have it), n1 (those with label 1); features of fewer than 3 rows tell too little.
+
+def values(rows: int, doc: np.ndarray, strong: np.ndarray) -> np.ndarray:
+    """What each feature of a document counts: 1 if it is strong; the others share a sum of squares of 1.
+
+    So the many words of a long text that say little alone add no more noise than those of a short one, and pairs of
+    them can still be learned.
     """
-    zeros, p = max(rows - ones, 1), F.col("n") / rows
-    gap = F.col("n1") / max(ones, 1) - (F.col("n") - F.col("n1")) / zeros
-    z = F.abs(gap) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)) * (1 / max(ones, 1) + 1 / zeros))
-    best = counts.where("n >= 3 and feature >= 0").select("feature", z.alias("z")).where(F.col("z") >= least_z)
-    return np.sort(np.array([r.feature for r in best.orderBy(F.desc("z"), "feature").limit(most).collect()], np.int64))
+    others = np.maximum(np.bincount(doc[~strong], minlength=rows), 1)
+    return np.where(strong, 1, 1 / np.sqrt(others)[doc]).astype(np.float32)
+
+
+def evidence(rows: int, doc: np.ndarray, place: np.ndarray, y: np.ndarray, many: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each feature the number of documents that have it, and how much its share differs by label, as a two-sample z."""
+    ones = y.sum()
+    zeros = max(rows - ones, 1)
+    n = np.bincount(place, minlength=many)
+    n1 = np.bincount(place, y[doc], many)
+    p = n / rows
+    gap = n1 / max(ones, 1) - (n - n1) / zeros
+    return n, np.abs(gap) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / max(ones, 1) + 1 / zeros))
+
+
+def row_sums(bounds: np.ndarray, entries: np.ndarray) -> np.ndarray:
+    """Sums of the stretches of ``entries`` between ``bounds``, 0 where one is empty."""
+    out = np.zeros((len(bounds) - 1, *entries.shape[1:]), entries.dtype)
+    filled = np.flatnonzero(np.diff(bounds))
+    if len(filled):
+        out[filled] = np.add.reduceat(entries, bounds[filled], axis=0)
+    return out
 
 
 def fit(
     rows: int,
     features: Features,
-    kept: np.ndarray,
     y: np.ndarray,
     sample_weight: np.ndarray,
     rank: int = 8,
-    epochs: int = 30,
+    epochs: int = 12,
     rate: float = 0.02,
     decay: float = 1e-4,
+    strong_z: float = 4.0,
+    trusted: int = 30,
+    trusted_share: float = 0.01,
 ) -> Machine:
-    """Weighted logistic loss by Adam over the ``kept`` features, all that ``features`` holds."""
+    """Weighted logistic loss by Adam over all features; a step touches only those that its documents have.
+
+    No feature is left out. One whose own effect is sure (z of ``strong_z``, in 3 documents or more) counts in full, the
+    others by ``values``. A feature of fewer than ``trusted`` documents, or than ``trusted_share`` of them, learns more
+    slowly in proportion, as one that few documents have would learn these by heart.
+    """
     doc, feature = features
-    x = np.zeros((rows, len(kept)), np.float32)
-    x[doc, np.searchsorted(kept, feature)] = 1
+    order = np.lexsort((feature, doc))
+    doc, (kept, place) = doc[order].astype(np.int32), np.unique(feature[order], return_inverse=True)
+    place = place.astype(np.int32)
+    n, z = evidence(rows, doc, place, y, len(kept))
+    strong = (z >= strong_z) & (n >= 3)
+    trust = np.where(strong, 1, np.minimum(1, n / max(trusted, trusted_share * rows))).astype(np.float32)[:, None]
+    x = values(rows, doc, strong[place])
     rng = np.random.default_rng(3)
     share = np.average(y, weights=sample_weight)
-    state = {
-        "bias": np.array(np.log(max(share, 1e-6) / max(1 - share, 1e-6))),
-        "weight": np.zeros(len(kept)),
-        "factor": rng.normal(0, 0.01, (len(kept), rank)),
-    }
-    first, second = ({k: np.zeros_like(v) for k, v in state.items()} for _ in range(2))
+    bias = float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))
+    # The first column holds the weights, the others the factors.
+    state = rng.normal(0, 0.01, (len(kept), 1 + rank)).astype(np.float32)
+    state[:, 0] = 0
+    first, second = np.zeros_like(state), np.zeros_like(state)
+    bias_first = bias_second = 0.0
+    starts = np.searchsorted(doc, np.arange(rows + 1))
+    dealt = rng.permutation(rows)
+    batches = []
+    for part in (dealt[at : at + 256] for at in range(0, rows, 256)):
+        bounds = np.concatenate([[0], np.cumsum(starts[part + 1] - starts[part])])
+        at = np.repeat(starts[part] - bounds[:-1], np.diff(bounds)) + np.arange(bounds[-1])
+        own, inside = np.unique(place[at], return_inverse=True)
+        by_feature = np.argsort(inside, kind="stable").astype(np.int32)
+        feature_bounds = np.searchsorted(inside[by_feature], np.arange(len(own) + 1))
+        batches.append((part, bounds, own, inside.astype(np.int32), by_feature, feature_bounds, x[at, None]))
     step = 0
     for _ in range(epochs):
-        order = rng.permutation(rows)
-        for at in range(0, rows, 256):
-            part = order[at : at + 256]
-            xb = x[part]
-            sums = xb @ state["factor"]
-            raw = state["bias"] + xb @ state["weight"] + ((sums**2).sum(1) - (xb @ (state["factor"] ** 2)).sum(1)) / 2
-            g = (1 / (1 + np.exp(-np.clip(raw, -60, 60))) - y[part]) * sample_weight[part] / len(part)
-            grads = {
-                "bias": g.sum(),
-                "weight": xb.T @ g + decay * state["weight"],
-                "factor": xb.T @ (g[:, None] * sums) - (xb.T @ g)[:, None] * state["factor"] + decay * state["factor"],
-            }
+        for k in rng.permutation(len(batches)):
+            part, bounds, own, inside, by_feature, feature_bounds, xb = batches[k]
+            old = state[own]
+            v = old[inside] * xb
+            sums = row_sums(bounds, v)
+            raw = bias + sums[:, 0] + ((sums[:, 1:] ** 2).sum(1) - row_sums(bounds, (v[:, 1:] ** 2).sum(1))) / 2
+            g = ((chance(raw) - y[part]) * sample_weight[part] / len(part)).astype(np.float32)
+            # The gradient of a weight is the error, that of a factor the error times the sum of the others' factors.
+            sums[:, 0] = 1
+            v[:, 0] = 0
+            each = np.repeat(sums, np.diff(bounds), axis=0) - v
+            each *= np.repeat(g, np.diff(bounds))[:, None] * xb
+            grad = row_sums(feature_bounds, each[by_feature]) + decay * old
             step += 1
-            for k in state:
-                first[k] = 0.9 * first[k] + 0.1 * grads[k]
-                second[k] = 0.999 * second[k] + 0.001 * grads[k] ** 2
-                state[k] = state[k] - rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
-    return Machine(kept, float(state["bias"]), state["weight"], state["factor"])
+            even, even_squares = 1 - 0.9**step, 1 - 0.999**step
+            first[own] = 0.9 * first[own] + 0.1 * grad
+            second[own] = 0.999 * second[own] + 0.001 * grad**2
+            state[own] = old - rate * trust[own] * (first[own] / even) / (np.sqrt(second[own] / even_squares) + 1e-8)
+            bias_first = 0.9 * bias_first + 0.1 * float(g.sum())
+            bias_second = 0.999 * bias_second + 0.001 * float(g.sum()) ** 2
+            bias -= rate * (bias_first / even) / (np.sqrt(bias_second / even_squares) + 1e-8)
+    return Machine(kept, strong, float(bias), state[:, 0].copy(), state[:, 1:].copy())
 
 
 def learn(
@@ -104,16 +153,13 @@ def learn(
     extract: Callable[[pa.RecordBatch], Features],
     sample: int = 8000,
     id_column: str = "doc_id",
-    most: int = 1024,
-    least_z: float = 4.0,
     **options,
 ) -> Machine | None:
     """A machine for ``label`` (0 or 1, other values are ignored), from at most about ``sample`` labelled documents.
 
     Half of the sample is drawn from either label, by a hash of the id; weights restore the true shares. The drawn
-    ids are few by that bound, so they are broadcast onto the scan of the texts. Features that tell nothing of the
-    label are left out (``choose``), so that the many words of a long text add no noise; the driver gets the ``most``
-    chosen ones of each drawn document. None where either label is missing.
+    ids are few by that bound, so they are broadcast onto the scan of the texts. All features of the drawn documents
+    come to the driver as numbers, and all are trained (``fit``). None where either label is missing.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col(id_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("y"))
     known = known.groupBy("id").agg(F.max("y").alias("y"))
@@ -125,39 +171,28 @@ def learn(
     drawn = known.where(draw < F.when(F.col("y") == 1, rates[1]).otherwise(rates[0]))
     joined = docs.withColumnRenamed(id_column, "id").join(F.broadcast(drawn), "id")
 
-    def all_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The features of every row; feature -1 counts the rows."""
+    def features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text"):
             doc, feature = extract(part)
-            y = part.column("y").to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([feature, np.full(len(y), -1)])), pa.array(np.concatenate([y[doc], y]))], ["feature", "y"]
-            )
-
-    counted = joined.mapInArrow(all_features, "feature long, y int").groupBy("feature")
-    counts = written(counted.agg(F.count("y").alias("n"), F.sum("y").alias("n1")), "feature-counts")
-    whole = counts.where("feature = -1").first()
-    if whole is None or whole.n1 in (0, whole.n):
-        return None
-    kept = choose(counts, whole.n, whole.n1, most, least_z)
-
-    def kept_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, "text"):
-            doc, feature = extract(part)
-            wanted = np.isin(feature, kept)
-            doc, feature = doc[wanted], feature[wanted].astype(np.int64)
             order = np.lexsort((feature, doc))
             ends = np.searchsorted(doc[order], np.arange(part.num_rows + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(ends, pa.array(feature[order], pa.int64()))
+            lists = pa.ListArray.from_arrays(ends, pa.array(feature[order].astype(np.int32)))
             yield pa.RecordBatch.from_arrays([part.column("id").cast(pa.int64()), part.column("y"), lists], ["id", "y", "f"])
 
-    got = joined.mapInArrow(kept_features, "id long, y int, f array<long>").toPandas()
-    sizes_of = got.f.map(len).to_numpy()
-    got = got.iloc[np.lexsort((sizes_of, got.id))]
-    features = (np.repeat(np.arange(len(got)), got.f.map(len)), np.concatenate([*got.f, np.zeros(0)]).astype(np.int64))
-    y = got.y.to_numpy().astype(float)
-    weight = np.where(y == 1, 1 / rates[1], 1 / rates[0])
-    return fit(len(got), features, kept, y, weight / weight.mean(), **options)
+    got = joined.mapInArrow(features_of, "id long, y int, f array<int>").toArrow().combine_chunks()
+    y = got["y"].to_numpy().astype(float)
+    if y.sum() in (0, len(y)):
+        return None
+    lists = got["f"].combine_chunks()
+    many = lists.value_lengths().to_numpy()
+    flat = lists.flatten().to_numpy()
+    doc = np.repeat(np.arange(len(y)), many)
+    # Rows arrive in any order: they are numbered by id, and those that share an id by their features.
+    order = np.lexsort((np.bincount(doc, flat, len(y)), many, got["id"].to_numpy()))
+    number = np.empty(len(y), np.int64)
+    number[order] = np.arange(len(y))
+    weight = np.where(y[order] == 1, 1 / rates[1], 1 / rates[0])
+    return fit(len(y), (number[doc], flat), y[order], weight / weight.mean(), **options)
 
 
 def apply(

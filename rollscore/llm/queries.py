@@ -112,10 +112,10 @@ def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-def labelled(spark: SparkSession, sf_dir: str, label: str, divisor: int, remainder: int) -> tuple[DataFrame, DataFrame]:
+def labelled(spark: SparkSession, sf_dir: str, label: str, divisor: int, remainder: int, *metadata: str) -> tuple[DataFrame, DataFrame]:
     """Documents, and the labels that may be learned from."""
     labels = table(spark, sf_dir, "labels", "doc_id", label)
-    return table(spark, sf_dir, "documents", "doc_id", "text"), labels.where(
+    return table(spark, sf_dir, "documents", "doc_id", "text", *metadata), labels.where(
         language.learnable(held_out("doc_id", divisor, remainder))
     )
 
@@ -129,8 +129,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_quality")
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = labelled(spark, sf_dir, "quality", 3, 1)
-    scored = quality.score(docs, quality.train(docs, labels))
+    known = ("n_chars",)
+    docs, labels = labelled(spark, sf_dir, "quality", 3, 1, *known)
+    scored = quality.score(docs, quality.train(docs, labels, metadata=known), metadata=known)
     return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted")
 
 
