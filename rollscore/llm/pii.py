@@ -14,16 +14,19 @@ from pyspark.sql import types as T
 
 from .common import chunks, written
 
-MALE, FEMALE = "male", "female"
+MALE, FEMALE, NEUTRAL = "male", "female", "neutral"
 # Forms of address with the gender they name.
 TITLES = {
-    MALE: ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Don", "господин"),
-    FEMALE: ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Señora", "Sra", "Doña", "госпожа"),
+    MALE: ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Don", "господин", "Г-н", "г-н"),
+    FEMALE: ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Señora", "Sra", "Doña", "госпожа", "Г-жа", "г-жа"),
+    NEUTRAL: ("Dr", "Prof", "Professor"),
 }
 # Given names and syllables of surnames by script.
 GIVEN = {
     ("latin", MALE): "Adam Bruno Carl David Emil Felix Georg Hugo Ivan Jonas Karl Leon Martin Noel Oscar Paul Robert Simon Thomas Victor".split(),
     ("latin", FEMALE): "Anna Berta Clara Diana Emma Flora Greta Helena Irene Julia Klara Laura Maria Nora Olivia Paula Rosa Sara Teresa Vera".split(),
+    ("latin", NEUTRAL): "Alex Charlie Dominique Jona Kai Kim Luca Noa Robin Sam".split(),
+    ("cyrillic", NEUTRAL): "Женя Валя Саша Шура".split(),
     ("cyrillic", MALE): "Антон Борис Виктор Глеб Денис Егор Иван Кирилл Лев Максим".split(),
     ("cyrillic", FEMALE): "Анна Вера Галина Дарья Елена Зоя Ирина Ксения Лидия Мария".split(),
 }
@@ -32,13 +35,25 @@ SYLLABLES = {
     "cyrillic": "ба бе во га да де жа за ка ко ла ле ло ма ме ми на не но па ра ре ро са се та те то ха ша".split(),
 }
 
+# How long the account numbers of a country are, its two letters and check digits included.
+IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN_SIZE = {country: n for n, countries in IBAN_SIZES.items() for country in countries.split()}
+
 TITLE = "|".join(sorted((t for v in TITLES.values() for t in v), key=len, reverse=True))
 # A name word goes on over apostrophes and hyphens, but not into a possessive s; letters with a full stop are initials.
 WORD = r"[^\W\d_]+(?:(?:['’](?!s(?!\w))|-)[^\W\d_]+)*"
 INITIALS = r"(?:[^\W\d_]\.[ ]?)"
+# The letters of addresses: those that have a capital of one character in their own script.
+MAIL_LETTERS = "A-Za-zà-öø-þÀ-ÖØ-Þа-яёА-ЯЁά-ώΆΈ-Ϋ"
+MAIL = f"0-9{MAIL_LETTERS}"
 # The kinds in the order in which they are tried at a place. Cards in unusual groups come after phone numbers.
 PATTERNS = {
-    "email": r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": rf"[{MAIL}](?:[{MAIL}._%+-]*[{MAIL}_%+-])?@[{MAIL}-]+(?:\.[{MAIL}-]+)*\.[{MAIL_LETTERS}]{{2,}}",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)(?!\w)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
@@ -66,6 +81,13 @@ def script_of(word: str) -> str:
     return "cyrillic" if any("Ѐ" <= c <= "ӿ" for c in word) else "latin"
 
 
+def gender_of(title: str, name: str) -> str:
+    """The gender that a form of address names, else that of a listed given name, else neutral."""
+    gender = next(g for g, titles in TITLES.items() if title in titles)
+    first = name.split(" ")[0]
+    return next((g for (_, g), names in GIVEN.items() if first in names), gender) if gender == NEUTRAL else gender
+
+
 def groups_in(shown: str) -> list[tuple[int, int]]:
     """(start, end) of the runs of digits."""
     return [m.span() for m in re.finditer(r"\d+", shown)]
@@ -90,6 +112,20 @@ def card_end(text: str, start: int, end: int, usual: bool) -> int | None:
     return None
 
 
+def account_rest(account: str) -> int:
+    """What is left of an account number, its first four symbols put last, by 97; 1 for a right one."""
+    return int("".join(str(int(c, 36)) for c in account[4:] + account[:4])) % 97
+
+
+def account_end(text: str, start: int, end: int) -> int | None:
+    """Where the account number ends that starts at ``start``: as long as its country's are, with right check digits."""
+    size = IBAN_SIZE.get(text[start : start + 2])
+    at = [i for i in range(start, end) if text[i] != " "]
+    if size is None or len(at) < size or (len(at) > size and text[at[size] - 1] != " "):
+        return None
+    return at[size - 1] + 1 if account_rest("".join(text[i] for i in at[:size])) == 1 else None
+
+
 def checked(kind: str, m: re.Match) -> tuple[int, int, str] | None:
     """(start, end, canonical form) of what the match holds of its kind from its start on, None if that is nothing.
 
@@ -103,12 +139,14 @@ def checked(kind: str, m: re.Match) -> tuple[int, int, str] | None:
         end = card_end(text, start, end, usual=False)
         if end and any((n := KINDS["card"].match(text, a)) and card_end(text, a, n.end(), usual=True) for a in inner):
             return None
+    elif kind == "iban":
+        end = account_end(text, start, end)
     elif kind == "phone":
         runs = groups_in(m[0])
         end = next((start + b for n, (_, b) in reversed([*enumerate(runs, 1)]) if 7 <= sum(y - x for x, y in runs[:n]) <= 15), None)
     elif kind == "name":
         words, titles = m["who"].split(" "), {t for v in TITLES.values() for t in v} - {"Don"}
-        many = next((i for i, w in enumerate(words) if not any(p[:1].isupper() for p in re.split("['’-]", w)) or (i and w in titles)), len(words))
+        many = next((i for i, w in enumerate(words) if not any(p[:1].isupper() for p in re.split("['’-]", w)) or w in titles), len(words))
         start = m.start("who")
         end = start + len(" ".join(words[:many])) if many else None
     if end is None:
@@ -121,7 +159,7 @@ def checked(kind: str, m: re.Match) -> tuple[int, int, str] | None:
     elif kind == "iban":
         value = value.replace(" ", "")
     elif kind == "name":
-        value = f"{MALE if m['title'] in TITLES[MALE] else FEMALE}:{value}"
+        value = f"{gender_of(m['title'], value)}:{value}"
     return start, end, value
 
 
@@ -161,17 +199,20 @@ def permuted(key: bytes, tweak: str, values: list[int], radix: list[int]) -> lis
     return values
 
 
-CLASSES = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+# Symbols that stand for each other: digits, and the letters of a script without those of other scripts.
+SMALL = ("abcdefghijklmnopqrstuvwxyz", "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþ", "абвгдежзийклмнопрстуфхцчшщъыьэюяё", "άέήίαβγδεζηθικλμνξοπρστυφχψωόύώ")
+CLASSES = ("0123456789", *SMALL, *(k.upper() for k in SMALL))
 
 
 def reformat(key: bytes, tweak: str, text: str, allowed=lambda s: True) -> str:
     """A keyed permutation of all texts of this format: digits, small and capital letters keep their kind and place.
 
-    Steps on until the result differs and is ``allowed``, which keeps it a permutation of the allowed texts.
+    Steps on until the result is ``allowed``, as ``text`` is, which keeps it a permutation of the allowed texts. A text may come out as
+    it was (one without a letter or digit does); ``assigned`` draws anew then.
     """
     at = [(i, next(k for k in CLASSES if c in k)) for i, c in enumerate(text) if any(c in k for k in CLASSES)]
     now = text
-    for _ in range(10_000):
+    while True:
         moved = permuted(key, tweak, [k.index(now[i]) for i, k in at], [len(k) for _, k in at])
         letters = list(now)
         for (i, k), v in zip(at, moved, strict=True):
@@ -179,7 +220,6 @@ def reformat(key: bytes, tweak: str, text: str, allowed=lambda s: True) -> str:
         now = "".join(letters)
         if allowed(now):
             return now
-    return now
 
 
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
@@ -192,7 +232,9 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     if kind == "email":
         local, domain = value.split("@")
         host, _, top = domain.rpartition(".")
-        return f"{reformat(key, tweak, local)}@{reformat(key, 'domain', host)}.{top}"
+        # There are few short names: from the eighth attempt on a name grows by a letter each time.
+        more = "".join(SMALL[0][b % 26] for b in stream(key, tweak, "more", value)[: min(max(attempt - 7, 0), 40)])
+        return f"{reformat(key, tweak, local)}{more}@{reformat(key, 'domain', host)}.{top}"
     if kind == "ip":
         parts = [int(x) for x in value.split(".")]
         inside = lambda p: p[0] in (10, 127) or p[:2] == [192, 168] or (p[0] == 172 and 16 <= p[1] < 32)
@@ -254,6 +296,8 @@ def initial(key: bytes, letter: str) -> str:
 def styled(kind: str, shown: str, new: str) -> str:
     """The surrogate written as the entity was: separators and capital letters stay in place."""
     if kind == "email":
+        if len(shown) != len(new):
+            return new
         return "".join(n.upper() if s.isupper() else n for s, n in zip(shown, new, strict=True))
     if kind in ("card", "phone", "ssn", "iban"):
         symbols = iter(new.lstrip("+"))
@@ -297,14 +341,17 @@ def entity_table(df: DataFrame, text: str) -> DataFrame:
     return df.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "kind string, value string").distinct()
 
 
-def assigned(known: DataFrame, key: bytes, avoid_rounds: int = 8) -> DataFrame:
+def assigned(known: DataFrame, key: bytes, avoid_rounds: int = 40) -> DataFrame:
     """(kind, value, attempt, new): a surrogate for every entity, different ones for different entities of a kind.
 
     Each round draws surrogates for the entities still open, drops those that another entity holds already or that
-    several would share (the first one by value keeps it), and in the first ``avoid_rounds`` rounds those that are
-    themselves an entity of the corpus. What is left is drawn anew; all but names are permutations of their format,
-    so that clashes are rare and the rounds few.
+    several would share (the first one by value keeps it), those that equal their own entity, and in the first
+    ``avoid_rounds`` rounds those that are another entity of the corpus. What is left is drawn anew; all but names are
+    permutations of their format, so that clashes are rare and the rounds few. A format of which the corpus holds a
+    share p reaches the last of these rounds with chance p^avoid_rounds for an entity; only then may a surrogate be
+    another real one.
     """
+    tasks = known.sparkSession.sparkContext.defaultParallelism
 
     def draw(attempt: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,8 +363,8 @@ def assigned(known: DataFrame, key: bytes, avoid_rounds: int = 8) -> DataFrame:
 
     done, left, attempt = None, known, 0
     while True:
-        drawn = written(left.mapInArrow(draw(attempt), "kind string, value string, attempt int, new string"), "drawn")
-        kept = drawn.groupBy("kind", "new").agg(F.min("value").alias("value"), F.min("attempt").alias("attempt")).select("kind", "value", "attempt", "new")
+        drawn = written(left.repartition(tasks, "kind", "value").mapInArrow(draw(attempt), "kind string, value string, attempt int, new string"), "drawn")
+        kept = drawn.where(F.col("new") != F.col("value")).groupBy("kind", "new").agg(F.min("value").alias("value"), F.min("attempt").alias("attempt")).select("kind", "value", "attempt", "new")
         if attempt < avoid_rounds:
             kept = kept.join(known.select("kind", F.col("value").alias("new")), ["kind", "new"], "left_anti")
         if done is not None:

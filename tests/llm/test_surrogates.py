@@ -7,7 +7,7 @@ import re
 
 import pytest
 
-from rollscore.llm.pii import ENTITY, MAYBE, TITLES, entities, luhn, replace_entities
+from rollscore.llm.pii import ENTITY, MAYBE, TITLES, entities, luhn, replace_entities, units
 
 CARD = "4111111111111111"
 SPACED = "4111 1111 1111 1111"
@@ -93,3 +93,47 @@ def test_short_and_full_names_agree(spark):
         plain, curly, full, bare = (x.split(" ", 1)[1] for x in rows[1].text.split("|"))
         assert curly == plain.replace("'", "’") and full.endswith(" " + plain) and plain.endswith("'" + bare) and "Brien" not in plain
         assert len(set(rows[2].text.split("|"))) == 120
+
+
+@pytest.mark.parametrize(
+    ("text", "held"),
+    [
+        ("SKU AB12CDEF3456 and part XX99 ABCD 1234", []),
+        ("to DE89 3704 0044 0532 0130 00 please", [("iban", "DE89 3704 0044 0532 0130 00")]),
+        ("to GB82WEST12345698765432.", [("iban", "GB82WEST12345698765432")]),
+        ("to NO93 8601 1117 947 ABCD", [("iban", "NO93 8601 1117 947")]),
+        ("wrong DE88 3704 0044 0532 0130 00", []),
+        ("short DE89 3704 0044", []),
+        ("mail jörg@müller.de or иван@почта.рф now", [("email", "jörg@müller.de"), ("email", "иван@почта.рф")]),
+        ("Dr. Jane Roe met Prof. Dr. Li and Г-н Иванов", [("name", "Jane Roe"), ("name", "Li"), ("name", "Иванов")]),
+        ("Herr Dr. Huber", [("name", "Huber")]),
+    ],
+)
+def test_accounts_addresses_and_titles(text, held):
+    assert [(k, text[a:b]) for a, b, k, _ in entities(text)] == held
+
+
+def test_gender_after_a_title_without_one():
+    gender = lambda t: next(entities(t))[3].partition(":")[0]
+    assert [gender(t) for t in ("Dr. Anna Roe", "Prof. Paul Roe", "Dr. Roe", "Mrs Paul", "Г-жа Ли")] == ["female", "male", "neutral", "female", "female"]
+
+
+def test_no_surrogate_is_real(spark):
+    texts = [f"mail {c}@x.de or {c}{c}@x.de" for c in "abcdefghijklmnopqrstuvwxyz0123456789"]
+    texts += [f"pay DE{98 - int(f'{n:018d}131400') % 97:02d}{n:018d} now" for n in range(20)]
+    texts += [f"Mr {g} Roe, Dr. {g} Li" for g in "Adam Bruno Carl David Emil Felix Georg Hugo Ivan Jonas".split()]
+    texts += ["write jörg@müller.de", "write JÖRG@müller.de", "write иван@почта.рф"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    new = {r.doc_id: r.text for r in replace_entities(df, "key").collect()}
+    forms = lambda t: [(k, u.rpartition(":")[2]) for _, _, kind, v in entities(t) for k, u in units(kind, v)]
+    real = {f for t in texts for f in forms(t)}
+    drawn = {}
+    for i, t in enumerate(texts):
+        before, after = forms(t), forms(new[i])
+        assert [k for k, _ in before] == [k for k, _ in after], (t, new[i])
+        for (kind, a), (_, b) in zip(before, after, strict=True):
+            if kind not in ("given", "surname"):
+                assert (kind, b) not in real, (t, new[i])
+                assert drawn.setdefault((kind, a), b) == b
+    assert len(set(drawn.values())) == len(drawn)
+    assert new[len(texts) - 2].lower() == new[len(texts) - 3].lower()
