@@ -9,6 +9,7 @@ from ..operators import evaluation as E
 from ..operators import joins as J
 from ..operators import sets as U
 from ..operators import sweeps as W
+from ..operators.sketches import bucket_scale, merge_sketches, quantile_sketch, sketch_quantiles
 from ..sources import dimensions as D
 from ..sources.tables import read_table, sample_counts
 from . import inputs as I
@@ -153,6 +154,53 @@ def eval_throughput_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("task", "runs", *[rounded(c, 6).alias(c) for c in out.columns[2:]])
 
 
+SKETCH_ERROR = 0.02
+SKETCH_PROBABILITIES = [0.1, 0.5, 0.95]
+
+
+def quantiles_sql(rows: str, by: str) -> str:
+    """Quantiles of the values ``v`` by sketch: the bucket that holds the exact rank, and the middle of its values."""
+    width, shift = bucket_scale(SKETCH_ERROR)
+    return f"""with b as (select {by}, measure, v,
+        case when v = 0 then 0 else sign(v) * (ceil(ln(abs(v)) / {width!r}::double) + {shift}) end as bucket from ({rows})),
+      s as (select {by}, measure, bucket, count(*) as n, min(v) as least, max(v) as most from b group by {by}, measure, bucket),
+      q as (select *, sum(n) over (partition by {by}, measure order by bucket) as upto, sum(n) over (partition by {by}, measure) as total from s)
+    select {by}, measure, p as probability, cast(total as bigint) as n, least as low, most as high,
+      {r("case when least = most then least else least / ((1 + least / most) / 2) end", 6)} as value
+    from q, (select unnest({SKETCH_PROBABILITIES}::double[]) as p) where greatest(ceil(p * total), 1) between upto - n + 1 and upto"""
+
+
+@query(
+    "throughput_quantiles",
+    quantiles_sql(f"select task, (step - 50) // 200 as steps, 'value' as measure, value as v from ({I.SAMPLES_SQL})", "task, steps"),
+)
+def throughput_quantiles_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seconds per sample over ranges of steps, from sketches that are kept per task and step."""
+    kept = quantile_sketch(I.eval_samples(spark, sf_dir), ["value"], ["task", "step"], SKETCH_ERROR)
+    ranges = kept.withColumn("steps", F.floor((F.col("step") - 50) / 200))
+    out = sketch_quantiles(merge_sketches(ranges, ["task", "steps"]), SKETCH_PROBABILITIES, ["task", "steps"])
+    return out.withColumn("value", rounded("value", 6))
+
+
+@query(
+    "reward_quantiles",
+    quantiles_sql(
+        f"""select step // 5 as steps, measure, v from (select c.prompt_id // 10 as step, length(content)::double as chars,
+          length(problem)::double as problem_chars from ({I.COMPLETIONS_SQL}) c)
+          unpivot (v for measure in (chars, problem_chars))""",
+        "steps",
+    ),
+)
+def reward_quantiles_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lengths of completions and problems over ranges of training steps, from sketches that are kept per step."""
+    rows = I.completions(spark, sf_dir).select(
+        F.floor(F.col("prompt_id") / 10).alias("step"), F.length("content").alias("chars"), F.length("problem").alias("problem_chars")
+    )
+    kept = quantile_sketch(rows, ["chars", "problem_chars"], ["step"], SKETCH_ERROR)
+    out = sketch_quantiles(merge_sketches(kept.withColumn("steps", F.floor(F.col("step") / 5)), ["steps"]), SKETCH_PROBABILITIES, ["steps"])
+    return out.withColumn("value", rounded("value", 6))
+
+
 @query(
     "cost_table",
     "with b as (select count(*) as samples, count(*) * 6 as outputs, count(*) * 6 * (42.0::double / 42000) as base_cost "
