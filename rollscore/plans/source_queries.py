@@ -9,6 +9,7 @@ from ..operators.evaluation import macro_average
 from ..operators.shaping import replicate_generations, request_batches
 from ..session import fresh_path
 from ..sources.eval_logs import explode_results, scan_eval_logs, write_eval_logs
+from ..sources.log_store import refresh_logs, scan_stored_logs
 from ..sources.commits import commit_generations, commit_metrics, notes, read_committed
 from ..sources.tables import read_table, scan_split, sink_generations, sink_metrics, write_splits
 from ..streaming.keyed import read_live_leaderboard, stream_live_leaderboard, stream_save_jobs
@@ -49,6 +50,31 @@ def scan_eval_logs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "scan_eval_logs_again",
+    f"""select suite, exp, step, cast(run_ts as varchar) as run_ts, count(*) + 1 as n_results, {r('avg(score)')} as all_score,
+      true as read_once from ({I.RUNS_SQL}) group by suite, exp, step, run_ts""",
+)
+def scan_eval_logs_again_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logs of one half of the runs are stored, then those of the other half come; no log is opened twice."""
+    root, store = fresh_path(spark, "logs"), fresh_path(spark, "log-store")
+    runs = I.eval_runs(spark, sf_dir)
+    write_eval_logs(runs.where("exp <> 2"), f"{root}/first")
+    first = refresh_logs(spark, root, store, compacted=True)
+    write_eval_logs(runs.where("exp = 2"), f"{root}/second")
+    second = refresh_logs(spark, root, store, compacted=True)
+    read_once = first.opened + second.opened == second.listed
+    return scan_stored_logs(spark, store).select(
+        "suite",
+        "exp",
+        "step",
+        F.col("run_ts").cast("string").alias("run_ts"),
+        F.size("results").cast("bigint").alias("n_results"),
+        rounded(F.col("results")["all"]["extractive_match"]).alias("all_score"),
+        F.lit(read_once).alias("read_once"),
+    )
+
+
 @query(
     "explode_results",
     f"""select suite, exp, step, cast(run_ts as varchar) as run_ts, task, task_key, {r('score')} as score, {r('stderr')} as stderr,

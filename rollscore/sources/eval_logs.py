@@ -32,6 +32,7 @@ SUITE_PATTERN = r"(?:^|/)(?:suite=)?([^/=]+)/(?:[^/=]+=)?Exp\d+_\d+/"
 CHECKPOINT_PATTERN = r"Exp(\d+)_(\d+)"
 STAMP_PATTERN = r"results_(\d{4}-\d{2}-\d{2}T\d{2}-\d{2}-\d{2}(?:\.\d+)?)"
 ALL_TASKS = "all"
+LOG_FILES = "*.json"
 
 
 def path_columns(path: Column) -> dict[str, Column]:
@@ -46,12 +47,12 @@ def path_columns(path: Column) -> dict[str, Column]:
 
 
 def read_options(compacted: bool) -> dict[str, object]:
-    return {"multiLine": not compacted, "recursiveFileLookup": True, "pathGlobFilter": "*.json"}
+    return {"multiLine": not compacted, "recursiveFileLookup": True, "pathGlobFilter": LOG_FILES}
 
 
-def locate(raw: DataFrame) -> DataFrame:
+def locate(raw: DataFrame, file: Column | None = None) -> DataFrame:
     """Add suite, checkpoint and run time, from the record's own path if it has one, else from the file's."""
-    path = F.coalesce("source_path", F.col("_metadata.file_path"))
+    path = F.coalesce("source_path", F.col("_metadata.file_path") if file is None else file)
     named = raw.select("*", path.alias("_path"))
     return named.select(*[c.alias(n) for n, c in path_columns(F.col("_path")).items()], *raw.columns)
 
