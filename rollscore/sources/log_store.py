@@ -70,7 +70,7 @@ def opened_records(spark: SparkSession, paths: list[str], compacted: bool) -> tu
     buffer; the order of their lines does not count.
     """
     raw = spark.read.text([literal_path(p) for p in paths], wholetext=not compacted)
-    raw = raw.select(F.col("_metadata.file_path").alias("file"), "value").where(F.trim("value") != "")
+    raw = raw.select(F.col("_metadata.file_path").alias("file"), "value").where(F.col("value").rlike(r"\S"))
     line = F.md5("value")
     sums = [F.sum(F.conv(F.substring(line, a, 8), 16, 10).cast("decimal(20,0)")).cast("string") for a in (1, 9, 17, 25)]
     digests = raw.groupBy("file").agg(F.md5(F.concat_ws(",", F.count(F.lit(1)).cast("string"), *sums)).alias("digest"))
