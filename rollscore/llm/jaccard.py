@@ -21,7 +21,7 @@ COMMON_MOST = 200_000
 BLOCK = 256
 #: Leaders that a column offers in each size band.
 LEADERS = 16
-#: Partners from other components with which a class is multiplied before the rest of its pairs.
+#: Leaders of other components with which a class is multiplied in the second round, from each of two size bands.
 NEAREST = 4
 #: Bits of the filter that keeps sets without a candidate out of the shuffle.
 FILTER_BITS = 1 << 23
@@ -54,12 +54,13 @@ def documents(df: DataFrame, width: int) -> DataFrame:
     return df.mapInArrow(run, "id long, n long, class long")
 
 
-def common_columns(df: DataFrame, width: int) -> np.ndarray:
-    """The most common columns, sorted: those that more than ``COMMON_FROM`` different rows of the matrix have.
+def common_columns(df: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(columns in order, counts) of the most common columns, those that more than ``COMMON_FROM`` different rows have.
 
     Every document is counted. A task counts groups of chunks and passes on the columns that it has met twice or
     more, so a column is surely found if it is in more than ``COMMON_FROM`` documents besides one for each group.
-    They only order the columns: any order gives the same links, so the bound on the list costs no result.
+    They only order the columns: any order gives the same links, so the bound on the list costs no result. Columns are
+    counted by steps of counts, an eighth of a doubling wide, and as many steps from the top as the list holds are taken whole.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,8 +83,20 @@ def common_columns(df: DataFrame, width: int) -> np.ndarray:
         yield counted()
 
     summed = df.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > COMMON_FROM)
-    top = summed.orderBy(F.desc("n"), "token").limit(COMMON_MOST).select("token").toPandas()
-    return np.sort(top.token.to_numpy(np.int64).view(np.uint64))
+    step = F.floor(F.log2("n") * 8).cast("int")
+    counted_once = written(summed.withColumn("step", step), "common-columns")
+    taken, least = 0, None
+    for r in sorted(counted_once.groupBy("step").agg(F.count(F.lit(1)).alias("columns")).collect(), reverse=True):
+        taken += r["columns"]
+        if taken > COMMON_MOST:
+            break
+        least = r["step"]
+    if least is None:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    top = counted_once.where(F.col("step") >= least).select("token", "n").toArrow()
+    tokens, counts = top["token"].to_numpy().view(np.uint64), top["n"].to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], counts[order]
 
 
 def needed(n, percent: int):
@@ -100,11 +113,13 @@ def reachable(n: Column, m: Column, shared: Column, percent: int) -> Column:
     return shared + rest >= F.ceil(percent * (n + m) / F.lit(100 + percent))
 
 
-def prefixes(df: DataFrame, width: int, percent: int, common: np.ndarray) -> DataFrame:
+def prefixes(df: DataFrame, width: int, percent: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """The columns of each row that may be the first one shared with a similar row: (token, class, n).
 
-    Columns are ordered rare ones first. Two sets that are similar enough share one of their first n - needed + 1.
+    Columns are ordered rare ones first, common ones by count. Two sets that are similar enough share one of their first
+    n - needed + 1.
     """
+    listed, counts = common
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -117,9 +132,10 @@ def prefixes(df: DataFrame, width: int, percent: int, common: np.ndarray) -> Dat
                 if not n or (own := class_of(row)) in seen:
                     continue
                 seen.add(own)
-                place = np.searchsorted(common, row)
-                often = common[np.minimum(place, len(common) - 1)] == row if len(common) else np.zeros(n, bool)
-                first = np.concatenate([row[~often], row[often]])[: n - needed(n, percent) + 1]
+                place = np.minimum(np.searchsorted(listed, row), max(len(listed) - 1, 0))
+                often = listed[place] == row if len(listed) else np.zeros(n, bool)
+                by_count = row[often][np.argsort(counts[place[often]], kind="stable")] if often.any() else row[:0]
+                first = np.concatenate([row[~often], by_count])[: n - needed(n, percent) + 1]
                 tokens.append(first)
                 classes.append(np.full(len(first), own, np.int64))
                 sizes.append(np.full(len(first), n, np.int32))
@@ -193,18 +209,58 @@ def links_of(df: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataF
     return counted.where(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
 
 
+def in_several(index: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of the index with their ``component``, of columns that are in several components."""
+    labelled = index.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn(
+        "component", F.coalesce("component", "class")
+    )
+    column = Window.partitionBy("token")
+    return (
+        labelled.repartition("token")
+        .withColumn("low", F.min("component").over(column))
+        .withColumn("high", F.max("component").over(column))
+        .where("low <> high")
+        .drop("low", "high")
+    )
+
+
+def leader_pairs(rows: DataFrame, percent: int, salt: int) -> DataFrame:
+    """(a, b): for each class b the classes a of other components that it is multiplied with first.
+
+    ``rows`` are those of the index with their component. Each column offers ``LEADERS`` classes of each size band, the
+    smallest of each slot of components, to the larger ones of the band and of the band above. Of the leaders of either
+    band that share enough prefix columns with a class, the ``NEAREST`` that share most are taken, or one in the first
+    round, where every class is a component.
+    """
+    banded = rows.withColumn("band", F.floor(F.log(F.col("n")) / math.log(100 / percent)).cast("int"))
+    slot = F.pmod(F.xxhash64("component", F.lit(salt)), F.lit(LEADERS)).alias("slot")
+    least = banded.groupBy("token", "band", slot).agg(F.min(F.struct("n", "class", "component")).alias("lead")).drop("slot")
+    offered = least.withColumn("step", F.lit(0)).union(least.withColumn("band", F.col("band") + 1).withColumn("step", F.lit(1)))
+    counted = (
+        banded.join(offered, ["token", "band"])
+        .where((F.struct("lead.n", "lead.class") < F.struct("n", "class")) & (F.col("lead.component") != F.col("component")))
+        .groupBy(F.col("lead.class").alias("a"), F.col("class").alias("b"), F.col("lead.n").alias("n"), F.col("n").alias("m"), "step")
+        .agg(F.count(F.lit(1)).alias("shared"))
+        .where(reachable(F.col("n"), F.col("m"), F.col("shared"), percent))
+    )
+    if not salt:
+        best = counted.groupBy("b", "step").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
+    else:
+        place = F.row_number().over(Window.partitionBy("b", "step").orderBy(F.desc("shared"), "a"))
+        best = counted.withColumn("place", place).where(F.col("place") <= NEAREST)
+    return best.select("a", "b").distinct()
+
+
 def similar_classes(df: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, component) of the linked classes. Every two similar classes get one component.
 
     1. Prefix columns of all rows are brought together by column; columns of one class only drop out.
-    2. Each column offers ``LEADERS`` classes of each size band (the smallest of each hash slot) to the larger ones of
-       the band and of the band above. Each class is multiplied with the one of either band that it shares most prefix
-       columns with, if these are enough: of many leaders that one is most likely similar. So near copies, however
-       many, become few components by two products each, and those merge through the leaders.
+    2. Each class is multiplied with the leaders that it is most likely similar to, in two rounds; components merge after
+       each, and the second round offers leaders of other components only. So near copies, however many, become few
+       components by a few products each.
     3. In columns that still join several components, all pairs of different components within the size bounds meet.
        Their shared prefix columns are counted, and pairs whose count cannot reach the needed overlap are discarded.
-    4. Each class is multiplied with the ``NEAREST`` partners that it shares most with; this merges most components.
-       Then all pairs that still lie in different components are multiplied. Pairs within one need no product.
+       The others are multiplied. Pairs within one component need no product.
     """
     common = common_columns(df, width)
     column = Window.partitionBy("token")
@@ -217,35 +273,13 @@ def similar_classes(df: DataFrame, width: int, percent: int) -> DataFrame:
         .drop("df")
     )
     index = written(index, "prefix-index")
-    banded = index.withColumn("band", F.floor(F.log(F.col("n")) / math.log(100 / percent)).cast("int"))
-    slot = F.pmod(F.xxhash64("class"), F.lit(LEADERS)).alias("slot")
-    least = banded.groupBy("token", "band", slot).agg(F.min(F.struct("n", "class")).alias("lead")).drop("slot")
-    offered = least.withColumn("step", F.lit(0)).union(least.withColumn("band", F.col("band") + 1).withColumn("step", F.lit(1)))
-    star = (
-        banded.join(offered, ["token", "band"])
-        .where(F.col("lead") < F.struct("n", "class"))
-        .groupBy(F.col("lead.class").alias("a"), F.col("class").alias("b"), F.col("lead.n").alias("n"), F.col("n").alias("m"), "step")
-        .agg(F.count(F.lit(1)).alias("shared"))
-        .where(reachable(F.col("n"), F.col("m"), F.col("shared"), percent))
-        .groupBy("b", "step")
-        .agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
-        .select("a", "b")
-        .distinct()
-    )
-    star = written(star, "star")
-    first = written(links_of(df, star, width, percent), "star-links")
-    found = written(components(first), "star-components")
+    star = written(leader_pairs(index.withColumn("component", F.col("class")), percent, 0), "star")
+    found = written(components(links_of(df, star, width, percent)), "star-components")
+    near = written(leader_pairs(in_several(index, found), percent, 1).join(star, ["a", "b"], "left_anti"), "near")
+    second = links_of(df, near, width, percent)
+    found = written(components(second.union(found.select("component", "node"))), "near-components")
 
-    labelled = index.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "component", F.coalesce("component", "class")
-    )
-    mixed = (
-        labelled.repartition("token")
-        .withColumn("low", F.min("component").over(column))
-        .withColumn("high", F.max("component").over(column))
-        .where("low <> high")
-        .drop("low", "high")
-    )
+    mixed = in_several(index, found)
     x, y = mixed.alias("x"), mixed.alias("y")
     n, m = F.col("x.n"), F.col("y.n")
     pairs = (
@@ -255,19 +289,11 @@ def similar_classes(df: DataFrame, width: int, percent: int) -> DataFrame:
         .groupBy(F.col("x.class").alias("a"), F.col("y.class").alias("b"), n.alias("n"), m.alias("m"))
         .agg(F.count(F.lit(1)).alias("shared"))
         .where(reachable(F.col("n"), F.col("m"), F.col("shared"), percent))
-        .select("a", "b", "shared")
-        .join(star, ["a", "b"], "left_anti")
+        .select("a", "b")
+        .join(star.union(near), ["a", "b"], "left_anti")
     )
-    near_a, near_b = (Window.partitionBy(x).orderBy(F.desc("shared"), y) for x, y in ("ab", "ba"))
-    near = F.least(F.row_number().over(near_a), F.row_number().over(near_b)) <= NEAREST
-    pairs = written(pairs.withColumn("near", near).select("a", "b", "near"), "cross-pairs")
-    second = written(links_of(df, pairs.where("near").select("a", "b"), width, percent), "near-links")
-    merged = written(components(second.union(found.select("component", "node"))), "near-components")
-    of_a, of_b = (merged.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
-    rest = pairs.where("NOT near").join(of_a, "a", "left").join(of_b, "b", "left")
-    apart = F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
-    third = written(links_of(df, written(rest.where(apart).select("a", "b"), "rest-pairs"), width, percent), "rest-links")
-    return components(third.union(merged.select("component", "node")))
+    third = written(links_of(df, written(pairs, "rest-pairs"), width, percent), "rest-links")
+    return components(third.union(found.select("component", "node")))
 
 
 def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
