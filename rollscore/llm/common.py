@@ -83,6 +83,8 @@ OUTER = re.compile(r"\A[\W_]+|[\W_]+\Z")
 
 def bare(word: str) -> str:
     """Lower case, without the signs around it."""
+    if word and word[0].isalnum() and word[-1].isalnum():
+        return word.lower()
     return OUTER.sub("", word).lower()
 
 

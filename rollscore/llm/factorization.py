@@ -15,6 +15,8 @@ from .common import chunks
 
 #: Rows and features of a batch: for each feature of a document its document number and its feature number.
 Features = tuple[np.ndarray, np.ndarray]
+#: Features up to so far apart are looked up in a table, others by bisection.
+TABLE = 1 << 22
 
 
 @dataclass
@@ -30,16 +32,29 @@ class Machine:
     def scores(self, rows: int, features: Features) -> np.ndarray:
         """Chance of label 1. Pairwise terms come from the square of sums less the sum of squares: linear time."""
         doc, feature = features
-        place = np.minimum(np.searchsorted(self.kept, feature), max(len(self.kept) - 1, 0))
-        known = self.kept[place] == feature if len(self.kept) else np.zeros(len(doc), bool)
+        place = self.places(feature)
+        known = place >= 0
         doc, place = doc[known], place[known]
         x = values(rows, doc, self.strong[place])
         raw = self.bias + np.bincount(doc, self.weight[place] * x, rows)
-        for f in range(self.factor.shape[1]):
-            v = self.factor[place, f] * x
+        for factor in np.ascontiguousarray(self.factor.T):
+            v = factor[place] * x
             raw += (np.bincount(doc, v, rows) ** 2 - np.bincount(doc, v * v, rows)) / 2
         return chance(raw)
 
+    def places(self, feature: np.ndarray) -> np.ndarray:
+        """The place of each feature in ``kept``, -1 if it was not met in training."""
+        if not len(self.kept):
+            return np.full(len(feature), -1)
+        low, high = int(self.kept[0]), int(self.kept[-1])
+        if high - low < TABLE:
+            # One more place at the end is for all features outside.
+            table = np.full(high - low + 2, -1, np.int32)
+            table[self.kept - low] = np.arange(len(self.kept), dtype=np.int32)
+            return table[np.where((feature >= low) & (feature <= high), feature - low, high - low + 1)]
+        place = np.minimum(np.searchsorted(self.kept, feature), len(self.kept) - 1)
+        return np.where(self.kept[place] == feature, place, -1)
+
 
 def chance(raw: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(raw, -60, 60)))

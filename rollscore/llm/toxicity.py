@@ -25,26 +25,32 @@ def terms(part: pa.RecordBatch) -> factorization.Features:
     row = np.repeat(np.arange(n), np.diff(bounds))
     hashes = hash_list(plain)
     code = coded.indices.to_numpy()
-    both = np.unique(row * np.int64(max(len(plain), 1)) + code)
-    doc, code = both // max(len(plain), 1), both % max(len(plain), 1)
+    doc, code = np.divmod(distinct(row * np.int64(max(len(plain), 1)) + code)[0], max(len(plain), 1))
     real = hashes[code] != 0
     doc, code = doc[real], code[real]
     found = [spread(doc, hashes[code])]
     for length in STEMS:
-        stem = hash_list([w[:length] if len(w) > length else "" for w in plain])[code]
-        begun = stem != 0
-        order = np.lexsort((stem[begun], doc[begun]))
-        d, h = doc[begun][order], stem[begun][order]
-        new = np.ones(len(d), bool)
-        new[1:] = (d[1:] != d[:-1]) | (h[1:] != h[:-1])
-        at = np.flatnonzero(new)
-        many = np.diff(np.append(at, len(d)))
+        # Stems are numbered within the batch, so that one sort of plain numbers brings those of a text together.
+        stems, number = np.unique(hash_list([w[:length] if len(w) > length else "" for w in plain]), return_inverse=True)
+        own = number[code]
+        begun = stems[own] != 0
+        both, many = distinct(doc[begun] * np.int64(max(len(stems), 1)) + own[begun])
+        d, own = np.divmod(both, max(len(stems), 1))
         for least in (1, 2, 3):
-            there = at[many >= least]
-            found.append(spread(d[there], mix(h[there] + np.uint64(16 * length + least))))
-    empty = np.setdiff1d(np.arange(n), doc)
-    both = np.unique(np.concatenate([*found, empty * np.int64(BUCKETS + 1) + BUCKETS]))
-    return both // (BUCKETS + 1), both % (BUCKETS + 1)
+            there = many >= least
+            found.append(spread(d[there], mix(stems[own[there]] + np.uint64(16 * length + least))))
+    empty = np.flatnonzero(np.bincount(doc, minlength=n) == 0)
+    both = distinct(np.concatenate([*found, empty * np.int64(BUCKETS + 1) + BUCKETS]))[0]
+    return np.divmod(both, BUCKETS + 1)
+
+
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different numbers of ``x`` in order, and how often each occurs. Sorts plain numbers, the quickest sort of numpy."""
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    at = np.flatnonzero(new)
+    return x[at], np.diff(np.append(at, len(x)))
 
 
 def hash_list(words: list[str]) -> np.ndarray:
