@@ -30,6 +30,9 @@ FREQUENT = 1_000_000
 SEED = 42
 #: Words that leave a task at once.
 SENT = 20_000
+#: Words that leave the lattice at once, or edges of one word after which it leaves.
+EDGED = 4000
+EDGES = "array<struct<cost:double,size:int,start:int>>"
 #: Stands for the word that is a NUL character; no other word has these two characters.
 NUL_WORD = "\x01\x02"
 #: Bits of a mask in which cuts between characters are kept.
@@ -70,22 +73,51 @@ def normal(text: str) -> str:
 
 
 def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(word, blocks, edges): all substrings of a word that are pieces, each as (score, size, start), grouped by word.
+    """(word, blocks, edges): all substrings of a word that are pieces, each as (cost, size, start), in that order.
 
-    Substrings up to the longest piece are exploded and equi-joined to the piece table, which the model bounds.
-    ``words`` is dealt by word, so the edges of a word are grouped where they are made.
+    A substring is looked up in the pieces, which the model bounds, where the word is; so no row is made for a substring
+    and nothing is grouped. Words without an edge are left out.
     """
-    spark = words.sparkSession
     longest = max((len(p) for p, _, _ in vocabulary.pieces), default=1)
     least = 2 if vocabulary.kind == "bpe" else 1
-    table = spark.createDataFrame([(p, s) for p, _, s in vocabulary.pieces if len(p) >= least], "piece string, score double")
-    sized = words.select("word", "blocks", F.length("word").alias("n")).where(F.col("n") >= least)
-    # Exploded by start and then by size, so that no row holds all substrings of a long word.
-    starts = sized.select("*", F.explode(F.expr(f"sequence(0, n - {least})")).alias("start"))
-    spans = starts.select("word", "blocks", "start", F.explode(F.expr(f"sequence({least}, least({longest}, n - start))")).alias("size"))
-    edges = spans.withColumn("piece", F.expr("substring(word, start + 1, size)"))
-    joined = edges.join(F.broadcast(table), "piece")
-    return joined.groupBy("word", "blocks").agg(F.collect_list(F.struct((-F.col("score")).alias("cost"), "size", "start")).alias("edges"))
+    cost = {p: -s for p, _, s in vocabulary.pieces if len(p) >= least}
+    begun = {p[:3] for p in cost}
+
+    def edges_of(word: str) -> list[tuple[float, int, int]]:
+        n, out = len(word), []
+        for start in range(n - least + 1):
+            # Where no piece begins with the next three characters, only shorter ones are left to try.
+            top = min(longest, n - start) if word[start : start + 3] in begun else min(2, n - start)
+            for size in range(least, top + 1):
+                c = cost.get(word[start : start + size])
+                if c is not None:
+                    out.append((c, size, start))
+        out.sort()
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, blocks = batch.column("word").to_pylist(), batch.column("blocks").to_pylist()
+            kept, edges = [], []
+            for i, word in enumerate(words):
+                if found := edges_of(word):
+                    kept.append(i)
+                    edges.append(found)
+                # What leaves at once is bounded by edges: a long word has many.
+                if len(kept) == EDGED or i == len(words) - 1 or (found and len(found) > EDGED):
+                    if kept:
+                        yield edge_batch([words[k] for k in kept], [blocks[k] for k in kept], edges)
+                    kept, edges = [], []
+
+    return words.select("word", "blocks").mapInArrow(run, f"word string, blocks long, edges {EDGES}")
+
+
+def edge_batch(words: list[str], blocks: list[int], edges: list[list[tuple[float, int, int]]]) -> pa.RecordBatch:
+    ends = np.cumsum([0, *map(len, edges)]).astype(np.int32)
+    columns = zip(*(e for x in edges for e in x), strict=True)
+    parts = [pa.array(c, k) for c, k in zip(columns, (pa.float64(), pa.int32(), pa.int32()), strict=True)]
+    lists = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(parts, ["cost", "size", "start"]))
+    return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(blocks, pa.int64()), lists], ["word", "blocks", "edges"])
 
 
 def merged(n: Column) -> Column:
@@ -95,13 +127,13 @@ def merged(n: Column) -> Column:
     worse score. The cuts are bits; a taken edge clears those inside it.
     """
     small = f"""
-        array(aggregate(array_sort(edges), shiftleft(1L, n + 1) - 1L, (m, e) ->
+        array(aggregate(edges, shiftleft(1L, n + 1) - 1L, (m, e) ->
             IF((shiftright(m, e.start) & 1L) = 1L AND (shiftright(m, e.start + e.size) & 1L) = 1L
                AND bit_count(shiftright(m, e.start + 1) & (shiftleft(1L, e.size - 1) - 1L)) = 1,
                m & ~shiftleft(shiftleft(1L, e.size - 1) - 1L, e.start + 1), m)))"""
     bit = lambda p: f"(shiftright(m[({p}) div {BITS}], cast(({p}) % {BITS} AS int)) & 1L)"
     large = f"""
-        aggregate(array_sort(edges), transform(sequence(0, n div {BITS}), k -> shiftleft(1L, {BITS}) - 1L), (m, e) ->
+        aggregate(edges, transform(sequence(0, n div {BITS}), k -> shiftleft(1L, {BITS}) - 1L), (m, e) ->
             IF({bit("e.start")} = 1L AND {bit("e.start + e.size")} = 1L
                AND aggregate(sequence(e.start + 1, e.start + e.size - 1), 0L, (c, p) -> c + {bit("p")}) = 1L,
                transform(m, (w, k) -> IF(k < (e.start + 1) div {BITS} OR k > (e.start + e.size - 1) div {BITS}, w,
@@ -271,8 +303,11 @@ class Speller:
         if cuts is None:
             parts = word
         elif isinstance(cuts, int):
-            at = [i for i in range(len(word) + 1) if cuts >> i & 1]
-            parts = [word[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+            parts, a, left = [], 0, cuts >> 1
+            while left:
+                step = (left & -left).bit_length()
+                parts.append(word[a : a + step])
+                a, left = a + step, left >> step
         else:
             at = [i for i in range(len(word) + 1) if cuts[i // BITS] >> i % BITS & 1]
             parts = [word[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
