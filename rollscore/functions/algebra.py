@@ -74,34 +74,52 @@ def coded(c: Column) -> Column:
     """Symbols in order, with the products that are not written, coded by rank: d number, x name, 0 opening, 1 sum, 2 product,
     3 sign, 4 power, 9 closing."""
 
-    def code(found: Column) -> Column:
-        def one(t: Column, i: Column) -> Column:
-            before = F.get(found, i - 1)
-            after_value = before.rlike(r"\A[\da-zA-Z.)\]}]|\A" + SYMBOL)
-            number = t.rlike(r"\A[\d.]")
-            name = t.rlike(rf"\A(?:[a-zA-Z]|{SYMBOL})\z")
-            opening = t.isin("(", "[", "\\frac", "\\sqrt") | t.startswith("\\root")
-            own = (
-                F.when(number, F.concat(F.lit("d"), t))
-                .when(name, F.concat(F.lit("x"), t))
-                .when(t.isin("(", "["), F.lit("0("))
-                .when(t == "{", F.lit("0{"))
-                .when(t.isin(")", "]"), F.lit("9("))
-                .when(t == "}", F.lit("9{"))
-                .when(t == "\\frac", F.lit("0F"))
-                .when(t == "\\sqrt", F.lit("0R2"))
-                .when(t.startswith("\\root"), F.concat(F.lit("0R"), F.substring(t, 6, 1)))
-                .when(t.isin("*", "/"), F.concat(F.lit("2"), t))
-                .when(t == "^", F.lit("4^"))
-                .when(F.coalesce(after_value, F.lit(False)), F.concat(F.lit("1"), t))
-                .when(t == "-", F.lit("3-"))
-            )
-            product = F.coalesce(after_value, F.lit(False)) & (number | name | opening)
-            return F.when(product, F.array(F.lit("2*"), own)).when(own.isNull(), F.array().cast("array<string>")).otherwise(F.array(own))
-
-        return F.flatten(F.transform(found, one))
+    def kind(t: Column) -> Column:
+        """d number, x name, f fraction or root; every other symbol is its own kind."""
+        first = F.substring(t, 1, 1)
+        return (
+            F.when(t.isin("\\frac", "\\sqrt") | t.startswith("\\root"), F.lit("f"))
+            .when(first.between("0", "9") | (first == "."), F.lit("d"))
+            .when(first.between("a", "z") | first.between("A", "Z") | (first == "\\"), F.lit("x"))
+            .otherwise(t)
+        )
 
-    return let(F.regexp_extract_all(c, F.lit(TOKEN), F.lit(0)), code)
+    def code(found: Column) -> Column:
+        texts, kinds = found["texts"], found["kinds"]
+
+        def one(own_kind: Column, i: Column) -> Column:
+            t = F.get(texts, i)
+
+            def placed(z: Column) -> Column:
+                k, after_value = z["kind"], z["after"]
+                own = (
+                    F.when(k.isin("d", "x"), F.concat(k, t))
+                    .when(k == "f", F.when(t == "\\frac", F.lit("0F")).when(t == "\\sqrt", F.lit("0R2")).otherwise(F.concat(F.lit("0R"), F.substring(t, 6, 1))))
+                    .when(k.isin("(", "["), F.lit("0("))
+                    .when(k == "{", F.lit("0{"))
+                    .when(k.isin(")", "]"), F.lit("9("))
+                    .when(k == "}", F.lit("9{"))
+                    .when(k.isin("*", "/"), F.concat(F.lit("2"), k))
+                    .when(k == "^", F.lit("4^"))
+                    .when(after_value, F.concat(F.lit("1"), k))
+                    .when(k == "-", F.lit("3-"))
+                )
+                nothing = (k == "+") & ~after_value
+                return (
+                    F.when(after_value & k.isin("d", "x", "f", "(", "["), F.array(F.lit("2*"), own))
+                    .when(nothing, F.array().cast("array<string>"))
+                    .otherwise(F.array(own))
+                )
+
+            after = F.coalesce(F.get(kinds, i - 1).isin("d", "x", ")", "]", "}"), F.lit(False))
+            return let(F.struct(own_kind.alias("kind"), after.alias("after")), placed)
+
+        return F.flatten(F.transform(kinds, one))
+
+    def with_kinds(found: Column) -> Column:
+        return F.struct(found.alias("texts"), F.transform(found, kind).alias("kinds"))
+
+    return let(let(F.regexp_extract_all(c, F.lit(TOKEN), F.lit(0)), with_kinds), code)
 
 
 def postfix(codes: Column) -> Column:
@@ -168,15 +186,21 @@ def value_of(m: Column, e: Column, k: Column, r: Column) -> Column:
 
 
 def number(text: Column) -> Column:
-    dot = F.instr(text, ".")
-    places = F.when(dot > 0, F.length(text) - dot).otherwise(F.lit(0))
-    digits = F.replace(text, F.lit("."), F.lit("")).try_cast("bigint")
-    ten = F.when(places <= 18, F.rpad(F.lit("1"), places + 1, F.lit("0")).try_cast("bigint"))
+    def parsed(t: Column) -> Column:
+        dot = F.instr(t, ".")
+        places = F.when(dot > 0, F.length(t) - dot).otherwise(F.lit(0))
+        return F.struct(places.alias("places"), F.replace(t, F.lit("."), F.lit("")).try_cast("bigint").alias("digits"), t.try_cast("double").alias("real"))
+
+    def valued(z: Column) -> Column:
+        places, digits = z["places"], z["digits"]
+        ten = F.when(places <= 18, F.rpad(F.lit("1"), places + 1, F.lit("0")).try_cast("bigint"))
 
-    def modulo(p: int) -> Column:
-        return F.when(places == 0, digits % p).otherwise(digits % p * power_mod(ten % p, F.lit(p - 2).cast("long"), p) % p)
+        def modulo(p: int) -> Column:
+            return F.when(places == 0, digits % p).otherwise(digits % p * power_mod(ten % p, F.lit(p - 2).cast("long"), p) % p)
 
-    return value_of(modulo(P), modulo(Q), F.when((places == 0) & (digits < SMALL), digits), text.try_cast("double"))
+        return value_of(modulo(P), modulo(Q), F.when((places == 0) & (digits < SMALL), digits), z["real"])
+
+    return let(let(text, parsed), valued)
 
 
 def name(t: Column, point: Column) -> Column:
@@ -282,13 +306,22 @@ def scalar(c: Column) -> Column:
                 return F.concat(sign, x["m"].cast("string"))
 
             constant = ~F.exists(codes, lambda t: t.startswith("x") & (t != "x\\pi"))
-            key = F.concat(one(F.get(v, F.lit(0))), F.lit("|"), one(F.get(v, F.lit(1))))
+            key = F.concat(one(F.get(v, F.lit(0))), F.lit("|"), one(F.element_at(v, -1)))
             return F.struct(F.coalesce(key, F.concat(F.lit("text:"), c)).alias("key"), F.when(constant & key.isNotNull(), F.get(v, F.lit(0))["r"]).alias("value"))
 
-        return let(F.transform(F.array(F.lit("1"), F.lit("2")), lambda point: evaluated(codes, point)), keyed)
+        # Without a name the value is the same at both points.
+        named = F.exists(codes, lambda t: t.startswith("x"))
+        points = F.when(named, F.array(F.lit("1"), F.lit("2"))).otherwise(F.array(F.lit("1")))
+        return let(F.transform(points, lambda point: evaluated(codes, point)), keyed)
+
+    def of_whole(n: Column) -> Column:
+        """What evaluation gives for a whole number, which is below the prime."""
+        residue = F.when(n == 0, F.lit("00")).when(n < 0, F.concat(F.lit("-"), (n + P).cast("string"))).otherwise(F.concat(F.lit("+"), n.cast("string")))
+        return F.struct(F.concat(residue, F.lit("|"), residue).alias("key"), n.cast("double").alias("value"))
 
     text = F.struct(F.concat(F.lit("text:"), c).alias("key"), F.lit(None).cast("double").alias("value"))
-    return F.when(is_expression(c), let(postfix(coded(c)), of_codes)).otherwise(text)
+    whole = c.rlike(r"\A(?:\d{1,9}|-[1-9]\d{0,8})\z")
+    return F.when(whole, let(c.try_cast("bigint"), of_whole)).when(is_expression(c), let(postfix(coded(c)), of_codes)).otherwise(text)
 
 
 def marked(c: Column) -> Column:
