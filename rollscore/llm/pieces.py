@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import uuid
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +36,11 @@ EDGES = "array<struct<cost:double,size:int,start:int>>"
 NUL_WORD = "\x01\x02"
 #: Bits of a mask in which cuts between characters are kept.
 BITS = 62
+#: Bits of a block's number that count the blocks of one task; the task's number stands above them.
+BLOCK_BITS = 32
+#: Different words of a block that are spelled at once, and words of texts that leave at once.
+SPELLED = 20_000
+SENT_CODES = 100_000
 
 
 @dataclass
@@ -187,16 +191,19 @@ def digest_of(data: bytes) -> int:
 
 
 def blocks_of(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Documents of a task in blocks: their ids, the different words of the block, and each text as word numbers."""
+    """Documents of a task in blocks: their ids, the different words of the block, and each text as word numbers.
+
+    A block is named by the numbers of its task and of the block in it: 8 bytes that travel beside each rare word.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit = vocabulary.units()
+        unit, block = vocabulary.units(), TaskContext.get().partitionId() << BLOCK_BITS
         ids, ends, digests, codes, numbers, size = [], [], [], [], {}, 0
 
         def close() -> pa.RecordBatch:
             words = zstandard.compress("\x00".join(NUL_WORD if w == "\x00" else w for w in numbers).encode(), 3)
-            row = [uuid.uuid4().hex, ids, ends, digests, words, packed(np.concatenate([*codes, np.zeros(0, np.uint32)]))]
-            kinds = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+            row = [block, ids, ends, digests, words, packed(np.concatenate([*codes, np.zeros(0, np.uint32)]))]
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], BLOCK)
 
         for batch in chunks(batches, "text"):
@@ -210,10 +217,11 @@ def blocks_of(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 if size > BLOCK_BYTES:
                     yield close()
                     ids, ends, digests, codes, numbers, size = [], [], [], [], {}, 0
+                    block += 1
         if ids:
             yield close()
 
-    return df.mapInArrow(run, "block string, ids array<long>, ends array<long>, digests array<long>, words binary, codes binary")
+    return df.mapInArrow(run, "block long, ids array<long>, ends array<long>, digests array<long>, words binary, codes binary")
 
 
 BLOCK = ["block", "ids", "ends", "digests", "words", "codes"]
@@ -221,7 +229,8 @@ BLOCK = ["block", "ids", "ends", "digests", "words", "codes"]
 
 def words_of(data: bytes) -> list[str]:
     """The words of a block by number."""
-    return ["\x00" if w == NUL_WORD else w for w in zstandard.decompress(data).decode().split("\x00")]
+    words = zstandard.decompress(data).decode().split("\x00")
+    return ["\x00" if w == NUL_WORD else w for w in words] if NUL_WORD in words else words
 
 
 def word_table(blocks: DataFrame) -> DataFrame:
@@ -244,7 +253,7 @@ def frequent_words(found: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]
     words are taken whole, so no words are sorted and only what is sent comes to the driver.
     """
     step = F.floor(F.log2("blocks") * 8).cast("int")
-    short = found.where((F.col("blocks") > 1) & (F.length("word") < BITS)).withColumn("step", step)
+    short = found.where((F.col("blocks") > 1) & F.col("cut").isNotNull()).withColumn("step", step)
     taken, least = 0, None
     for r in sorted(short.groupBy("step").agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
         taken += r["n"]
@@ -253,7 +262,7 @@ def frequent_words(found: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]
         least = r["step"]
     if least is None:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    top = short.where(F.col("step") >= least).select(F.xxhash64("word").alias("h"), F.col("cuts")[0].alias("cut")).toArrow()
+    top = short.where(F.col("step") >= least).select(F.xxhash64("word").alias("h"), "cut").toArrow()
     hashes, cuts = top["h"].to_numpy(), top["cut"].to_numpy()
     order = np.argsort(hashes, kind="stable")
     return hashes[order], cuts[order]
@@ -277,10 +286,10 @@ def rare_words(blocks: DataFrame, sent: Broadcast) -> DataFrame:
                 rare = [i for i in np.flatnonzero(~known).tolist() if len(words[i]) > 1]
                 for a in range(0, len(rare), SENT):
                     some = rare[a : a + SENT]
-                    arrays = [pa.repeat(block, len(some)), pa.array(some, pa.int32()), pa.array([words[i] for i in some], pa.string())]
+                    arrays = [pa.repeat(pa.scalar(block, pa.int64()), len(some)), pa.array(some, pa.int32()), pa.array([words[i] for i in some], pa.string())]
                     yield pa.RecordBatch.from_arrays(arrays, ["block", "number", "word"])
 
-    return blocks.select("block", "words").mapInArrow(run, "block string, number int, word string")
+    return blocks.select("block", "words").mapInArrow(run, "block long, number int, word string")
 
 
 class Speller:
@@ -354,9 +363,13 @@ def encode(
     spark = df.sparkSession
     own = df.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     blocks = bucketed(blocks_of(own, vocabulary))
-    found = written(cut(word_table(blocks), vocabulary), "lexicon")
+    # The cuts of a short word are one number; only a long word has a list of them.
+    short = F.size("cuts") == 1
+    found = cut(word_table(blocks), vocabulary)
+    found = written(found.select("word", "blocks", F.when(short, F.col("cuts")[0]).alias("cut"), F.when(~short, F.col("cuts")).alias("cuts")), "lexicon")
     sent = spark.sparkContext.broadcast(frequent_words(found, frequent))
-    rare = rare_words(blocks, sent).join(found.select("word", "cuts"), "word").groupBy("block").agg(F.collect_list(F.struct("number", "cuts")).alias("rare"))
+    rare = rare_words(blocks, sent).join(found.select("word", "cut", "cuts"), "word")
+    rare = rare.groupBy("block").agg(F.collect_list(F.struct("number", "cut", "cuts")).alias("rare"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         speller, (hashes, common) = Speller(vocabulary), sent.value
@@ -365,36 +378,45 @@ def encode(
                 row = {n: batch.column(n)[i] for n in batch.schema.names}
                 words = words_of(row["words"].as_py())
                 at, known = looked_up(words, hashes)
-                cuts = [None] * len(words)
-                for n, c in zip(np.flatnonzero(known).tolist(), common[at[known]].tolist(), strict=True):
-                    cuts[n] = c
+                cuts, lists = np.zeros(len(words), np.int64), {}
+                cuts[known] = common[at[known]]
                 if row["rare"].is_valid:
-                    numbers, lists = row["rare"].values.flatten()
-                    for n, c in zip(numbers.to_pylist(), lists.to_pylist(), strict=True):
-                        cuts[n] = c[0] if len(c) == 1 else c
-                yield from spelled_block(row, words, cuts, speller)
+                    numbers, masks, long = row["rare"].values.flatten()
+                    numbers = numbers.to_numpy()
+                    cuts[numbers] = masks.fill_null(0).to_numpy()
+                    there = np.flatnonzero(long.is_valid())
+                    lists = dict(zip(numbers[there].tolist(), long.take(pa.array(there)).to_pylist(), strict=True))
+                yield from spelled_block(row, *spelled_words(words, cuts, lists, speller), speller)
 
     return blocks.join(rare, "block", "left").mapInArrow(run, "id long, ids array<int>, n_tokens int, round_trip boolean").withColumnRenamed("id", id_column)
 
 
-def spelled_block(row: dict, words: list[str], cuts: list, speller: Speller) -> Iterator[pa.RecordBatch]:
+def spelled_words(words: list[str], cuts: np.ndarray, lists: dict[int, list[int]], speller: Speller) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words one after the other, and how many each word has. ``cuts``: one mask a word, 0 for none.
+
+    ``lists`` has the masks of long words. Words are spelled some at a time, so few ids stand as Python objects.
+    """
+    parts, sizes = [np.zeros(0, np.int32)], np.zeros(len(words), np.int32)
+    for a in range(0, len(words), SPELLED):
+        own = [speller.spell(w, lists.get(a + i, c or None)) for i, (w, c) in enumerate(zip(words[a : a + SPELLED], cuts[a : a + SPELLED].tolist(), strict=True))]
+        sizes[a : a + len(own)] = [len(x) for x in own]
+        parts.append(np.array([x for ids in own for x in ids], np.int32))
+    return np.concatenate(parts), sizes
+
+
+def spelled_block(row: dict, flat: np.ndarray, sizes: np.ndarray, speller: Speller) -> Iterator[pa.RecordBatch]:
     """The documents of one block with the ids of their texts, some at a time."""
-    spelled, sizes = array("i"), np.zeros(len(words), np.int64)
-    for i, (word, c) in enumerate(zip(words, cuts, strict=True)):
-        own = speller.spell(word, c)
-        spelled.extend(own)
-        sizes[i] = len(own)
-    flat = np.frombuffer(spelled, np.int32) if spelled else np.zeros(0, np.int32)
-    starts = np.cumsum(sizes) - sizes
+    starts = np.cumsum(sizes, dtype=np.int64) - sizes
     codes = unpacked(row["codes"].as_py())
     ids, ends, digests = (row[n].as_py() for n in ("ids", "ends", "digests"))
     a = 0
     while a < len(ids):
-        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + 500_000)))
         first = ends[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, first + SENT_CODES)))
         code = codes[first : ends[b - 1]]
-        tokens = gather(flat, starts[code], sizes[code])
-        bounds = np.concatenate([[0], np.cumsum(sizes[code])])[np.array([first, *ends[a:b]]) - first]
+        counts = sizes[code]
+        tokens = gather(flat, starts[code], counts)
+        bounds = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])[np.array([first, *ends[a:b]]) - first]
         absent = np.array([d is None for d in digests[a:b]])
         same = [None if d is None else digest_of(speller.text(tokens[x:y])) == d for d, x, y in zip(digests[a:b], bounds[:-1], bounds[1:], strict=True)]
         lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32), mask=np.append(absent, False)), pa.array(tokens, pa.int32()))
