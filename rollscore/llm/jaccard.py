@@ -25,6 +25,8 @@ LEADERS = 16
 NEAREST = 4
 #: Bits of the filter that keeps sets without a candidate out of the shuffle.
 FILTER_BITS = 1 << 23
+#: Words of 64 parity bits in the sketch of a set.
+PARITIES = 4
 
 
 def signed(x: np.ndarray) -> np.ndarray:
@@ -43,15 +45,31 @@ def class_of(row: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(row.tobytes()) - (1 << 63)
 
 
+def parities(row: np.ndarray) -> np.ndarray:
+    """A sketch of a set: columns are dealt over bits, and a bit tells whether its number of columns is odd.
+
+    Bits in which two sketches differ stand for at least one column each that only one of the sets has.
+    """
+    odd = np.bincount((row >> np.uint64(20)).astype(np.int64) % (64 * PARITIES), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
+def may_link(n: Column, m: Column, own: Column, other: Column, percent: int) -> Column:
+    """Whether the sketches of two sets of ``n`` and ``m`` columns leave room for the similarity. No similar pair is refused."""
+    differ = sum((F.bit_count(own[k].bitwiseXOR(other[k])) for k in range(PARITIES)), F.lit(0))
+    return differ <= n + m - 2 * F.ceil(percent * (n + m) / F.lit(100 + percent))
+
+
 def documents(df: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text"):
             rows = sets_of(part, width)
             sizes = pa.array([len(r) for r in rows], pa.int64())
             classes = pa.array([class_of(r) if len(r) else None for r in rows], pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column("id"), sizes, classes], ["id", "n", "class"])
+            sketches = pa.array([parities(r) if len(r) else None for r in rows], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([part.column("id"), sizes, classes, sketches], ["id", "n", "class", "sketch"])
 
-    return df.mapInArrow(run, "id long, n long, class long")
+    return df.mapInArrow(run, "id long, n long, class long, sketch array<long>")
 
 
 def common_columns(df: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -160,6 +178,8 @@ def overlaps(df: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     roles = dealt.select(F.col("b").alias("class"), "a", "block", F.lit(1).alias("member")).union(
         leads.select(F.col("a").alias("class"), "a", "block", F.lit(0).alias("member"))
     )
+    # Written, as a join with a union may be planned as a union of joins, each of which reads and cuts all texts again.
+    roles = written(roles, "roles")
     bits = roles.select(F.pmod("class", F.lit(FILTER_BITS)).cast("int").alias("bit")).distinct().toPandas().bit
     wanted = np.zeros(FILTER_BITS, bool)
     wanted[bits.to_numpy(np.int64)] = True
@@ -209,11 +229,12 @@ def links_of(df: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataF
     return counted.where(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
 
 
-def in_several(index: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows of the index with their ``component``, of columns that are in several components."""
-    labelled = index.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "component", F.coalesce("component", "class")
-    )
+def in_several(index: DataFrame, found: DataFrame, sketches: DataFrame | None = None) -> DataFrame:
+    """The rows of the index with their ``component`` (and sketch), of columns that are in several components."""
+    known = found.withColumnRenamed("node", "class")
+    if sketches is not None:
+        known = sketches.select("class", "sketch").join(known, "class", "left")
+    labelled = index.join(known, "class", "left").withColumn("component", F.coalesce("component", "class"))
     column = Window.partitionBy("token")
     return (
         labelled.repartition("token")
@@ -251,15 +272,27 @@ def leader_pairs(rows: DataFrame, percent: int, salt: int) -> DataFrame:
     return best.select("a", "b").distinct()
 
 
-def similar_classes(df: DataFrame, width: int, percent: int) -> DataFrame:
+def plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose sketches leave room for the similarity; the others are not multiplied."""
+    own = sketches.select(F.col("class").alias("a"), F.col("n").alias("n"), F.col("sketch").alias("own"))
+    other = sketches.select(F.col("class").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("other"))
+    both = pairs.join(own, "a").join(other, "b")
+    return both.where(may_link(F.col("n"), F.col("m"), F.col("own"), F.col("other"), percent)).select("a", "b")
+
+
+def similar_classes(df: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, component) of the linked classes. Every two similar classes get one component.
 
+    ``sketches``: class, size and sketch, one row for each class.
+
     1. Prefix columns of all rows are brought together by column; columns of one class only drop out.
     2. Each class is multiplied with the leaders that it is most likely similar to, in two rounds; components merge after
-       each, and the second round offers leaders of other components only. So near copies, however many, become few
+       each, and the second round offers leaders of other components only. Leaders whose sketches differ too much are
+       left out. So near copies, however many, become few
        components by a few products each.
     3. In columns that still join several components, all pairs of different components within the size bounds meet.
-       Their shared prefix columns are counted, and pairs whose count cannot reach the needed overlap are discarded.
+       Pairs whose sketches differ too much are refused at once. The shared prefix columns of the others are counted, and
+       pairs whose count cannot reach the needed overlap are discarded.
        The others are multiplied. Pairs within one component need no product.
     """
     common = common_columns(df, width)
@@ -273,19 +306,22 @@ def similar_classes(df: DataFrame, width: int, percent: int) -> DataFrame:
         .drop("df")
     )
     index = written(index, "prefix-index")
-    star = written(leader_pairs(index.withColumn("component", F.col("class")), percent, 0), "star")
+    star = leader_pairs(index.withColumn("component", F.col("class")), percent, 0)
+    star = written(plausible(star, sketches, percent), "star")
     found = written(components(links_of(df, star, width, percent)), "star-components")
-    near = written(leader_pairs(in_several(index, found), percent, 1).join(star, ["a", "b"], "left_anti"), "near")
+    near = leader_pairs(in_several(index, found), percent, 1).join(star, ["a", "b"], "left_anti")
+    near = written(plausible(near, sketches, percent), "near")
     second = links_of(df, near, width, percent)
     found = written(components(second.union(found.select("component", "node"))), "near-components")
 
-    mixed = in_several(index, found)
+    mixed = in_several(index, found, sketches)
     x, y = mixed.alias("x"), mixed.alias("y")
     n, m = F.col("x.n"), F.col("y.n")
     pairs = (
         x.join(y, F.col("x.token") == F.col("y.token"))
         .where((n < m) | ((n == m) & (F.col("x.class") < F.col("y.class"))))
         .where((100 * n >= percent * m) & (F.col("x.component") != F.col("y.component")))
+        .where(may_link(n, m, F.col("x.sketch"), F.col("y.sketch"), percent))
         .groupBy(F.col("x.class").alias("a"), F.col("y.class").alias("b"), n.alias("n"), m.alias("m"))
         .agg(F.count(F.lit(1)).alias("shared"))
         .where(reachable(F.col("n"), F.col("m"), F.col("shared"), percent))
@@ -311,7 +347,8 @@ def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", wi
     rows = written(documents(docs, width), "sets")
     known = docs.where("id is not null")
     least = rows.where("id is not null and class is not null").groupBy("class").agg(F.min("id").alias("least"))
-    found = similar_classes(known, width, percent)
+    sketches = rows.where("id is not null and class is not null").dropDuplicates(["class"]).select("class", "n", "sketch")
+    found = similar_classes(known, sketches, width, percent)
     reached = found.join(least, found.node == least["class"]).groupBy("component").agg(F.min("least").alias("component_id"))
     named = least.join(found, least["class"] == found.node, "left").join(reached, "component", "left")
     named = named.select("class", F.coalesce("component_id", "least").alias("component_id"))
