@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from rollscore.session import fresh_path
 
-from .common import chunks, written
+from .common import chunks
 
 SPACE = "▁"
 #: Text bytes of a block; documents of a block share one list of words.
@@ -362,11 +362,12 @@ def encode(
     """
     spark = df.sparkSession
     own = df.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    blocks = bucketed(blocks_of(own, vocabulary))
+    blocks = bucketed(blocks_of(own, vocabulary), "block", "piece_blocks")
     # The cuts of a short word are one number; only a long word has a list of them.
     short = F.size("cuts") == 1
     found = cut(word_table(blocks), vocabulary)
-    found = written(found.select("word", "blocks", F.when(short, F.col("cuts")[0]).alias("cut"), F.when(~short, F.col("cuts")).alias("cuts")), "lexicon")
+    found = found.select("word", "blocks", F.when(short, F.col("cuts")[0]).alias("cut"), F.when(~short, F.col("cuts")).alias("cuts"))
+    found = bucketed(found, "word", "piece_lexicon")
     sent = spark.sparkContext.broadcast(frequent_words(found, frequent))
     rare = rare_words(blocks, sent).join(found.select("word", "cut", "cuts"), "word")
     rare = rare.groupBy("block").agg(F.collect_list(F.struct("number", "cut", "cuts")).alias("rare"))
@@ -429,12 +430,12 @@ def spelled_block(row: dict, flat: np.ndarray, sizes: np.ndarray, speller: Spell
 RESULT = ["id", "ids", "n_tokens", "round_trip"]
 
 
-def bucketed(blocks: DataFrame) -> DataFrame:
-    """The blocks as a table in the shared folder, dealt by block, so that what belongs to them can join in place."""
-    spark = blocks.sparkSession
-    name = f"piece_blocks_{uuid.uuid4().hex}"
+def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, dealt by ``key``, so that what belongs to a key can join in place."""
+    spark = df.sparkSession
+    name = f"{name}_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks.write.bucketBy(parts, "block").option("path", fresh_path(spark, name)).saveAsTable(name)
+    df.write.bucketBy(parts, key).option("path", fresh_path(spark, name)).saveAsTable(name)
     return spark.table(name)
 
 
