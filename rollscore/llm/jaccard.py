@@ -9,20 +9,19 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, components, shingles, split_words, texts_of, word_hashes, written
+from .common import chunks, components, mix, shingles, split_words, texts_of, word_hashes, written
 
-#: A column of the matrix is common if more documents than this have it; at most ``COMMON_MOST`` are listed.
-COMMON_FROM = 24
-COMMON_MOST = 200_000
 #: Members that are compared with one leader in one block.
 BLOCK = 256
-#: Leaders that a column offers in each size band.
-LEADERS = 16
-#: Leaders of other components with which a class is multiplied in the second round, from each of two size bands.
+#: Leaders of different components that a block offers in the second round, and those that a class is multiplied with.
+LEADERS = 8
 NEAREST = 4
+#: Sums of two set sizes are cut into steps, each so many hundredths of the one before.
+STEP = 140
 #: Bits of the filter that keeps sets without a candidate out of the shuffle.
 FILTER_BITS = 1 << 23
 #: Words of 64 parity bits in the sketch of a set.
@@ -54,116 +53,103 @@ def parities(row: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(bool)).view(np.int64)
 
 
-def may_link(n: Column, m: Column, own: Column, other: Column, percent: int) -> Column:
-    """Whether the sketches of two sets of ``n`` and ``m`` columns leave room for the similarity. No similar pair is refused."""
+def room(n: Column, m: Column, own: Column, other: Column, percent: int) -> Column:
+    """In how many more bits the sketches of two sets of ``n`` and ``m`` columns might differ if the sets were similar."""
     differ = sum((F.bit_count(own[k].bitwiseXOR(other[k])) for k in range(PARITIES)), F.lit(0))
-    return differ <= n + m - 2 * F.ceil(percent * (n + m) / F.lit(100 + percent))
-
+    return n + m - 2 * F.ceil(percent * (n + m) / F.lit(100 + percent)) - differ
 
-def documents(df: DataFrame, width: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, "text"):
-            rows = sets_of(part, width)
-            sizes = pa.array([len(r) for r in rows], pa.int64())
-            classes = pa.array([class_of(r) if len(r) else None for r in rows], pa.int64())
-            sketches = pa.array([parities(r) if len(r) else None for r in rows], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([part.column("id"), sizes, classes, sketches], ["id", "n", "class", "sketch"])
 
-    return df.mapInArrow(run, "id long, n long, class long, sketch array<long>")
+def may_link(n: Column, m: Column, own: Column, other: Column, percent: int) -> Column:
+    """Whether the sketches of two sets leave room for the similarity. No similar pair is refused."""
+    return room(n, m, own, other, percent) >= 0
 
 
-def common_columns(df: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(columns in order, counts) of the most common columns, those that more than ``COMMON_FROM`` different rows have.
+def steps(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sums, blocks, spare): for pairs whose sizes add up to ``sums`` at most, into how many blocks the columns are cut.
 
-    Every document is counted. A task counts groups of chunks and passes on the columns that it has met twice or
-    more, so a column is surely found if it is in more than ``COMMON_FROM`` documents besides one for each group.
-    They only order the columns: any order gives the same links, so the bound on the list costs no result. Columns are
-    counted by steps of counts, an eighth of a doubling wide, and as many steps from the top as the list holds are taken whole.
+    Similar sets whose sizes add up to s differ in s * (100 - percent) / (100 + percent) columns at most, each of which
+    spoils one block. With ``spare`` blocks and one more than that, so many are the same in both. Sums up to the first
+    leave room for no difference.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        held: list[np.ndarray] = []
-
-        def counted() -> pa.RecordBatch:
-            token, n = np.unique(np.concatenate([*held, np.empty(0, np.uint64)]), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(signed(token[n > 1])), pa.array(n[n > 1])], ["token", "n"])
-
-        for part in chunks(batches, "text"):
-            for row in sets_of(part, width):
-                if len(row) and (own := class_of(row)) not in seen:
-                    seen.add(own)
-                    held.append(row)
-            if sum(map(len, held)) > 4_000_000:
-                yield counted()
-                held.clear()
-                seen.clear()
-        yield counted()
-
-    summed = df.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > COMMON_FROM)
-    step = F.floor(F.log2("n") * 8).cast("int")
-    counted_once = written(summed.withColumn("step", step), "common-columns")
-    taken, least = 0, None
-    for r in sorted(counted_once.groupBy("step").agg(F.count(F.lit(1)).alias("columns")).collect(), reverse=True):
-        taken += r["columns"]
-        if taken > COMMON_MOST:
-            break
-        least = r["step"]
-    if least is None:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    top = counted_once.where(F.col("step") >= least).select("token", "n").toArrow()
-    tokens, counts = top["token"].to_numpy().view(np.uint64), top["n"].to_numpy()
-    order = np.argsort(tokens)
-    return tokens[order], counts[order]
-
-
-def needed(n, percent: int):
-    """The least overlap with any set that reaches the similarity."""
-    return F.floor((percent * n + 99) / 100) if isinstance(n, Column) else (percent * n + 99) // 100
-
-
-def reachable(n: Column, m: Column, shared: Column, percent: int) -> Column:
-    """Whether two sets of ``n`` and ``m`` columns that share so many prefix columns can be similar enough.
-
-    Of the set whose prefix ends first, each shared column is in both prefixes or behind its own prefix.
+    sums, blocks, spare = [(99 + percent) // (100 - percent) if percent < 100 else 1 << 40], [0], [0]
+    while sums[-1] < 1 << 40:
+        low, high = sums[-1], max(sums[-1] + 1, sums[-1] * STEP // 100)
+        differ = high * (100 - percent) // (100 + percent)
+        free = (differ + 1) * math.exp(-low * percent / (100 + percent) / (differ + 1))
+        sums.append(high)
+        spare.append(int(free + 3 * math.sqrt(free)))
+        blocks.append(differ + 1 + spare[-1])
+    return np.array(sums), np.array(blocks), np.array(spare)
+
+
+def block_hashes(rows: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, whose): one for each block of columns that a row has any of, at each step that the row may be paired in.
+
+    Two similar sets share a hash: at the step of their sizes more than ``spare`` blocks are the same in both. A set that
+    has more empty blocks than that shows the empty ones too.
     """
-    rest = F.greatest(needed(n, percent), needed(m, percent), F.lit(1)).cast("long") - 1
-    return shared + rest >= F.ceil(percent * (n + m) / F.lit(100 + percent))
-
-
-def prefixes(df: DataFrame, width: int, percent: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """The columns of each row that may be the first one shared with a similar row: (token, class, n).
-
-    Columns are ordered rare ones first, common ones by count. Two sets that are similar enough share one of their first
-    n - needed + 1.
+    sums, blocks, spare = steps(percent)
+    sizes = np.array([len(r) for r in rows], np.int64)
+    columns = np.concatenate([*rows, np.empty(0, np.uint64)])
+    first = np.maximum(np.searchsorted(sums, sizes + (percent * sizes + 99) // 100), 1)
+    last = np.searchsorted(sums, sizes + 100 * sizes // percent)
+    hashes, whose = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for k in range(int((last - first).max(initial=-1)) + 1):
+        on = (first + k <= last) & (sizes > 0)
+        if not on.any():
+            continue
+        step = np.where(on, first + k, 0)
+        own = np.repeat(np.flatnonzero(on), sizes[on])
+        column = columns[np.repeat(on, sizes)]
+        place = ((column >> np.uint64(32)) * blocks[step][own].astype(np.uint64)) >> np.uint64(32)
+        starts = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (own[1:] != own[:-1])]))
+        total, place, own = np.add.reduceat(mix(column), starts), place[starts], own[starts]
+        free = blocks[step] - np.bincount(own, minlength=len(rows))
+        empty, shown = [], []
+        for i in np.flatnonzero(on & (free > spare[step])):
+            empty.append(np.setdiff1d(np.arange(blocks[step[i]], dtype=np.uint64), place[slice(*np.searchsorted(own, [i, i + 1]))]))
+            shown.append(np.full(len(empty[-1]), i))
+        total = np.concatenate([total, np.zeros(sum(map(len, empty)), np.uint64)])
+        place, own = np.concatenate([place, *empty]), np.concatenate([own, *shown])
+        hashes.append(mix(mix(total + step[own].astype(np.uint64)) + place))
+        whose.append(own)
+    return np.concatenate(hashes), np.concatenate(whose)
+
+
+def documents(df: DataFrame, width: int, percent: int | None = None) -> DataFrame:
+    """(id, n, class, sketch) of each row, and where ``percent`` is given its blocks (block, class), with a null ``n``.
+
+    Rows without an id have no blocks, and of rows of one class in a task one has. The rows of documents have numbers of
+    their own in ``block``, which only deal them out.
     """
-    listed, counts = common
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        number = TaskContext.get().partitionId() << 40
         for part in chunks(batches, "text"):
-            tokens, classes, sizes = [], [], []
+            rows = sets_of(part, width)
+            sizes = pa.array([len(r) for r in rows], pa.int64())
+            found = [class_of(r) if len(r) else None for r in rows]
+            sketches = pa.array([parities(r) if len(r) else None for r in rows], pa.list_(pa.int64()))
+            own = pa.array(signed(mix(np.arange(number, number + len(rows), dtype=np.uint64))))
+            number += len(rows)
+            yield pa.RecordBatch.from_arrays([part.column("id"), sizes, pa.array(found, pa.int64()), sketches, own], names)
+            if percent is None:
+                continue
             if len(seen) > 1_000_000:
                 seen.clear()
-            for row in sets_of(part, width):
-                n = len(row)
-                if not n or (own := class_of(row)) in seen:
-                    continue
-                seen.add(own)
-                place = np.minimum(np.searchsorted(listed, row), max(len(listed) - 1, 0))
-                often = listed[place] == row if len(listed) else np.zeros(n, bool)
-                by_count = row[often][np.argsort(counts[place[often]], kind="stable")] if often.any() else row[:0]
-                first = np.concatenate([row[~often], by_count])[: n - needed(n, percent) + 1]
-                tokens.append(first)
-                classes.append(np.full(len(first), own, np.int64))
-                sizes.append(np.full(len(first), n, np.int32))
-            if tokens:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(np.concatenate(tokens))), *[pa.array(np.concatenate(x)) for x in (classes, sizes)]],
-                    ["token", "class", "n"],
-                )
-
-    return df.mapInArrow(run, "token long, class long, n int")
+            known = part.column("id").is_valid().to_pylist()
+            new = {c: r for c, r, k in zip(found, rows, known, strict=True) if k and c is not None and c not in seen}
+            seen.update(new)
+            hashes, whose = block_hashes(list(new.values()), percent)
+            for a in range(0, len(hashes), 200_000):
+                block = pa.array(signed(hashes[a : a + 200_000]))
+                classes = pa.array(np.array(list(new), np.int64)[whose[a : a + 200_000]])
+                none = [pa.nulls(len(block), t) for t in (pa.int64(), pa.int64(), pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([none[0], none[1], classes, none[2], block], names)
+
+    names = ["id", "n", "class", "sketch", "block"]
+    return df.mapInArrow(run, "id long, n long, class long, sketch array<long>, block long")
 
 
 def overlaps(df: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
@@ -229,47 +215,39 @@ def links_of(df: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataF
     return counted.where(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
 
 
-def in_several(index: DataFrame, found: DataFrame, sketches: DataFrame | None = None) -> DataFrame:
-    """The rows of the index with their ``component`` (and sketch), of columns that are in several components."""
+def in_several(index: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of the index with their ``component``, of blocks that are in several components."""
     known = found.withColumnRenamed("node", "class")
-    if sketches is not None:
-        known = sketches.select("class", "sketch").join(known, "class", "left")
-    labelled = index.join(known, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    column = Window.partitionBy("token")
+    block = Window.partitionBy("block")
     return (
-        labelled.repartition("token")
-        .withColumn("low", F.min("component").over(column))
-        .withColumn("high", F.max("component").over(column))
+        index.join(known, "class", "left")
+        .withColumn("component", F.coalesce("component", "class"))
+        .repartition("block")
+        .withColumn("low", F.min("component").over(block))
+        .withColumn("high", F.max("component").over(block))
         .where("low <> high")
-        .drop("low", "high")
+        .select("block", "class", "component")
+        .dropDuplicates(["block", "class"])
     )
 
 
-def leader_pairs(rows: DataFrame, percent: int, salt: int) -> DataFrame:
-    """(a, b): for each class b the classes a of other components that it is multiplied with first.
+def nearest(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): for each class b the classes a of other components that its sketch is closest to, of those its blocks offer.
 
-    ``rows`` are those of the index with their component. Each column offers ``LEADERS`` classes of each size band, the
-    smallest of each slot of components, to the larger ones of the band and of the band above. Of the leaders of either
-    band that share enough prefix columns with a class, the ``NEAREST`` that share most are taken, or one in the first
-    round, where every class is a component.
+    ``rows``: blocks with class, component, size and sketch. Each block offers one class of each slot of components,
+    other ones than the next block does, so a class of a large group meets many others of it.
     """
-    banded = rows.withColumn("band", F.floor(F.log(F.col("n")) / math.log(100 / percent)).cast("int"))
-    slot = F.pmod(F.xxhash64("component", F.lit(salt)), F.lit(LEADERS)).alias("slot")
-    least = banded.groupBy("token", "band", slot).agg(F.min(F.struct("n", "class", "component")).alias("lead")).drop("slot")
-    offered = least.withColumn("step", F.lit(0)).union(least.withColumn("band", F.col("band") + 1).withColumn("step", F.lit(1)))
-    counted = (
-        banded.join(offered, ["token", "band"])
-        .where((F.struct("lead.n", "lead.class") < F.struct("n", "class")) & (F.col("lead.component") != F.col("component")))
-        .groupBy(F.col("lead.class").alias("a"), F.col("class").alias("b"), F.col("lead.n").alias("n"), F.col("n").alias("m"), "step")
-        .agg(F.count(F.lit(1)).alias("shared"))
-        .where(reachable(F.col("n"), F.col("m"), F.col("shared"), percent))
+    slot = F.pmod(F.xxhash64("component", "block"), F.lit(LEADERS)).alias("slot")
+    lead = F.min_by(F.struct("class", "component", "n", "sketch"), F.xxhash64("class", "block")).alias("lead")
+    left = room(F.col("n"), F.col("lead.n"), F.col("sketch"), F.col("lead.sketch"), percent)
+    met = (
+        rows.join(rows.groupBy("block", slot).agg(lead).drop("slot"), "block")
+        .where((F.col("component") != F.col("lead.component")) & (left >= 0))
+        .select(F.col("lead.class").alias("a"), F.col("class").alias("b"), left.alias("left"))
+        .distinct()
     )
-    if not salt:
-        best = counted.groupBy("b", "step").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
-    else:
-        place = F.row_number().over(Window.partitionBy("b", "step").orderBy(F.desc("shared"), "a"))
-        best = counted.withColumn("place", place).where(F.col("place") <= NEAREST)
-    return best.select("a", "b").distinct()
+    place = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("left"), "a"))
+    return met.withColumn("place", place).where(F.col("place") <= NEAREST).select("a", "b")
 
 
 def plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -280,56 +258,45 @@ def plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return both.where(may_link(F.col("n"), F.col("m"), F.col("own"), F.col("other"), percent)).select("a", "b")
 
 
-def similar_classes(df: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
+def similar_classes(df: DataFrame, index: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, component) of the linked classes. Every two similar classes get one component.
 
+    ``index``: the blocks that several classes have, (block, class, low), with the smallest of these classes.
     ``sketches``: class, size and sketch, one row for each class.
 
-    1. Prefix columns of all rows are brought together by column; columns of one class only drop out.
-    2. Each class is multiplied with the leaders that it is most likely similar to, in two rounds; components merge after
-       each, and the second round offers leaders of other components only. Leaders whose sketches differ too much are
-       left out. So near copies, however many, become few
-       components by a few products each.
-    3. In columns that still join several components, all pairs of different components within the size bounds meet.
-       Pairs whose sketches differ too much are refused at once. The shared prefix columns of the others are counted, and
-       pairs whose count cannot reach the needed overlap are discarded.
-       The others are multiplied. Pairs within one component need no product.
+    1. Each class is multiplied with one leader, the class with which it shares most of those blocks whose smallest class
+       that is, then in blocks that join several components with the nearest ones of a few. Components merge after each
+       round. So near copies, however many, become few components by a few products each.
+    2. In blocks that still join several components, all pairs of different components within the size bounds meet.
+       Pairs whose sketches differ too much are refused at once, the others are multiplied. Pairs within one component
+       need no product.
     """
-    common = common_columns(df, width)
-    column = Window.partitionBy("token")
-    index = (
-        prefixes(df, width, percent, common)
-        .repartition("token")
-        .dropDuplicates(["token", "class"])
-        .withColumn("df", F.count(F.lit(1)).over(column))
-        .where("df > 1")
-        .drop("df")
-    )
-    index = written(index, "prefix-index")
-    star = leader_pairs(index.withColumn("component", F.col("class")), percent, 0)
+    shared = index.where("class <> low").groupBy(F.col("low").alias("a"), F.col("class").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+    star = shared.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b")
     star = written(plausible(star, sketches, percent), "star")
     found = written(components(links_of(df, star, width, percent)), "star-components")
-    near = leader_pairs(in_several(index, found), percent, 1).join(star, ["a", "b"], "left_anti")
-    near = written(plausible(near, sketches, percent), "near")
+
+    mixed = written(in_several(index.select("block", "class"), found).join(sketches, "class"), "mixed")
+    near = written(nearest(mixed, percent).join(star, ["a", "b"], "left_anti"), "near")
     second = links_of(df, near, width, percent)
     found = written(components(second.union(found.select("component", "node"))), "near-components")
 
-    mixed = in_several(index, found, sketches)
+    done = star.union(near)
+    done = done.union(done.select("b", "a")).distinct()
+    mixed = in_several(mixed.select("block", "class"), found).join(sketches, "class")
     x, y = mixed.alias("x"), mixed.alias("y")
     n, m = F.col("x.n"), F.col("y.n")
     pairs = (
-        x.join(y, F.col("x.token") == F.col("y.token"))
+        x.join(y, F.col("x.block") == F.col("y.block"))
         .where((n < m) | ((n == m) & (F.col("x.class") < F.col("y.class"))))
         .where((100 * n >= percent * m) & (F.col("x.component") != F.col("y.component")))
         .where(may_link(n, m, F.col("x.sketch"), F.col("y.sketch"), percent))
-        .groupBy(F.col("x.class").alias("a"), F.col("y.class").alias("b"), n.alias("n"), m.alias("m"))
-        .agg(F.count(F.lit(1)).alias("shared"))
-        .where(reachable(F.col("n"), F.col("m"), F.col("shared"), percent))
-        .select("a", "b")
-        .join(star.union(near), ["a", "b"], "left_anti")
+        .select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
+        .distinct()
+        .join(done, ["a", "b"], "left_anti")
     )
-    third = written(links_of(df, written(pairs, "rest-pairs"), width, percent), "rest-links")
-    return components(third.union(found.select("component", "node")))
+    rest = written(links_of(df, written(pairs, "rest-pairs"), width, percent), "rest-links")
+    return components(rest.union(found.select("component", "node")))
 
 
 def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
@@ -344,11 +311,22 @@ def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", wi
     The join is exact but for 64-bit hashes: of n different sets, about n * n / 2^65 pairs share a number by chance.
     """
     docs = df.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    rows = written(documents(docs, width), "sets")
+    block = Window.partitionBy("block")
+    sets = (
+        documents(docs, width, percent)
+        .repartition("block")
+        .withColumn("low", F.min("class").over(block))
+        .withColumn("high", F.max("class").over(block))
+        .where("n is not null or low <> high")
+        .drop("high")
+    )
+    # Documents and blocks are written together, so that the texts are cut once for both.
+    sets = written(sets, "sets")
+    rows, index = sets.where("n is not null"), sets.where("n is null").select("block", "class", "low")
     known = docs.where("id is not null")
     least = rows.where("id is not null and class is not null").groupBy("class").agg(F.min("id").alias("least"))
     sketches = rows.where("id is not null and class is not null").dropDuplicates(["class"]).select("class", "n", "sketch")
-    found = similar_classes(known, sketches, width, percent)
+    found = similar_classes(known, index, sketches, width, percent)
     reached = found.join(least, found.node == least["class"]).groupBy("component").agg(F.min("least").alias("component_id"))
     named = least.join(found, least["class"] == found.node, "left").join(reached, "component", "left")
     named = named.select("class", F.coalesce("component_id", "least").alias("component_id"))
