@@ -22,10 +22,12 @@ LEADERS = 8
 NEAREST = 4
 #: Sums of two set sizes are cut into steps, each so many hundredths of the one before.
 STEP = 140
+#: The lowest bits of a block's number tell its step.
+STEP_BITS = 4
 #: Bits of the filter that keeps sets without a candidate out of the shuffle.
 FILTER_BITS = 1 << 23
 #: Words of 64 parity bits in the sketch of a set.
-PARITIES = 4
+PARITIES = 8
 
 
 def signed(x: np.ndarray) -> np.ndarray:
@@ -82,18 +84,19 @@ def steps(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array(sums), np.array(blocks), np.array(spare)
 
 
-def block_hashes(rows: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+def block_hashes(rows: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hashes, whose): one for each block of columns that a row has any of, at each step that the row may be paired in.
 
     Two similar sets share a hash: at the step of their sizes more than ``spare`` blocks are the same in both. A set that
-    has more empty blocks than that shows the empty ones too.
+    has more empty blocks than that shows the empty ones too. Third: how many hashes of one step each row shares with any
+    similar one at least.
     """
     sums, blocks, spare = steps(percent)
     sizes = np.array([len(r) for r in rows], np.int64)
     columns = np.concatenate([*rows, np.empty(0, np.uint64)])
     first = np.maximum(np.searchsorted(sums, sizes + (percent * sizes + 99) // 100), 1)
     last = np.searchsorted(sums, sizes + 100 * sizes // percent)
-    hashes, whose = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    hashes, whose, need = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], np.full(len(rows), 1 << 30)
     for k in range(int((last - first).max(initial=-1)) + 1):
         on = (first + k <= last) & (sizes > 0)
         if not on.any():
@@ -105,21 +108,25 @@ def block_hashes(rows: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.n
         starts = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (own[1:] != own[:-1])]))
         total, place, own = np.add.reduceat(mix(column), starts), place[starts], own[starts]
         free = blocks[step] - np.bincount(own, minlength=len(rows))
+        need[on] = np.minimum(need, np.maximum(spare[step] + 1 - free, 1))[on]
         empty, shown = [], []
         for i in np.flatnonzero(on & (free > spare[step])):
             empty.append(np.setdiff1d(np.arange(blocks[step[i]], dtype=np.uint64), place[slice(*np.searchsorted(own, [i, i + 1]))]))
             shown.append(np.full(len(empty[-1]), i))
         total = np.concatenate([total, np.zeros(sum(map(len, empty)), np.uint64)])
         place, own = np.concatenate([place, *empty]), np.concatenate([own, *shown])
-        hashes.append(mix(mix(total + step[own].astype(np.uint64)) + place))
+        at = step[own].astype(np.uint64)
+        low = np.uint64((1 << STEP_BITS) - 1)
+        hashes.append(mix(mix(total + at) + place) & ~low | at & low)
         whose.append(own)
-    return np.concatenate(hashes), np.concatenate(whose)
+    return np.concatenate(hashes), np.concatenate(whose), need
 
 
 def documents(df: DataFrame, width: int, percent: int | None = None) -> DataFrame:
     """(id, n, class, sketch) of each row, and where ``percent`` is given its blocks (block, class), with a null ``n``.
 
-    Rows without an id have no blocks, and of rows of one class in a task one has. The rows of documents have numbers of
+    ``need`` is the least number of blocks of one step that the class shares with any similar one; it stands where the
+    blocks are given. Rows without an id have no blocks, and of rows of one class in a task one has. The rows of documents have numbers of
     their own in ``block``, which only deal them out.
     """
 
@@ -133,23 +140,25 @@ def documents(df: DataFrame, width: int, percent: int | None = None) -> DataFram
             sketches = pa.array([parities(r) if len(r) else None for r in rows], pa.list_(pa.int64()))
             own = pa.array(signed(mix(np.arange(number, number + len(rows), dtype=np.uint64))))
             number += len(rows)
-            yield pa.RecordBatch.from_arrays([part.column("id"), sizes, pa.array(found, pa.int64()), sketches, own], names)
-            if percent is None:
-                continue
             if len(seen) > 1_000_000:
                 seen.clear()
             known = part.column("id").is_valid().to_pylist()
             new = {c: r for c, r, k in zip(found, rows, known, strict=True) if k and c is not None and c not in seen}
+            new = new if percent is not None else {}
             seen.update(new)
-            hashes, whose = block_hashes(list(new.values()), percent)
-            for a in range(0, len(hashes), 200_000):
-                block = pa.array(signed(hashes[a : a + 200_000]))
-                classes = pa.array(np.array(list(new), np.int64)[whose[a : a + 200_000]])
-                none = [pa.nulls(len(block), t) for t in (pa.int64(), pa.int64(), pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([none[0], none[1], classes, none[2], block], names)
+            classes, held = np.array(list(new), np.int64), list(new.values())
+            least = {}
+            for a in range(0, len(held), 500):
+                hashes, whose, need = block_hashes(held[a : a + 500], percent)
+                least |= zip(classes[a : a + 500].tolist(), need.tolist(), strict=True)
+                none = [pa.nulls(len(hashes), t) for t in (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32())]
+                own_classes = pa.array(classes[a : a + 500][whose])
+                yield pa.RecordBatch.from_arrays([*none[:2], own_classes, none[2], pa.array(signed(hashes)), none[3]], names)
+            need = pa.array([least.get(c) for c in found], pa.int32())
+            yield pa.RecordBatch.from_arrays([part.column("id"), sizes, pa.array(found, pa.int64()), sketches, own, need], names)
 
-    names = ["id", "n", "class", "sketch", "block"]
-    return df.mapInArrow(run, "id long, n long, class long, sketch array<long>, block long")
+    names = ["id", "n", "class", "sketch", "block", "need"]
+    return df.mapInArrow(run, "id long, n long, class long, sketch array<long>, block long, need int")
 
 
 def overlaps(df: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
@@ -250,6 +259,31 @@ def nearest(rows: DataFrame, percent: int) -> DataFrame:
     return met.withColumn("place", place).where(F.col("place") <= NEAREST).select("a", "b")
 
 
+def with_enough(index: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The blocks (block, class, low) of several classes, without those of classes that have too few of a step for any link.
+
+    A class that shares fewer blocks with all others together than it must share with a similar one is similar to none
+    of that step.
+    """
+    step = F.col("block").bitwiseAND(F.lit((1 << STEP_BITS) - 1)).alias("step")
+    block = Window.partitionBy("block")
+    return (
+        index.select("block", "class")
+        .repartition("class")
+        .dropDuplicates(["class", "block"])
+        .withColumn("step", step)
+        .withColumn("shared", F.count(F.lit(1)).over(Window.partitionBy("class", "step")))
+        .join(sketches.select("class", "need"), "class")
+        .where("shared >= need")
+        .select("block", "class")
+        .repartition("block")
+        .withColumn("low", F.min("class").over(block))
+        .withColumn("high", F.max("class").over(block))
+        .where("low <> high")
+        .drop("high")
+    )
+
+
 def plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose sketches leave room for the similarity; the others are not multiplied."""
     own = sketches.select(F.col("class").alias("a"), F.col("n").alias("n"), F.col("sketch").alias("own"))
@@ -283,7 +317,7 @@ def similar_classes(df: DataFrame, index: DataFrame, sketches: DataFrame, width:
 
     done = star.union(near)
     done = done.union(done.select("b", "a")).distinct()
-    mixed = in_several(mixed.select("block", "class"), found).join(sketches, "class")
+    mixed = written(in_several(mixed.select("block", "class"), found).join(sketches, "class"), "mixed")
     x, y = mixed.alias("x"), mixed.alias("y")
     n, m = F.col("x.n"), F.col("y.n")
     pairs = (
@@ -325,7 +359,9 @@ def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", wi
     rows, index = sets.where("n is not null"), sets.where("n is null").select("block", "class", "low")
     known = docs.where("id is not null")
     least = rows.where("id is not null and class is not null").groupBy("class").agg(F.min("id").alias("least"))
-    sketches = rows.where("id is not null and class is not null").dropDuplicates(["class"]).select("class", "n", "sketch")
+    sketches = rows.where("id is not null and need is not null").dropDuplicates(["class"]).select("class", "n", "sketch", "need")
+    index = written(with_enough(index, sketches), "index")
+    sketches = sketches.drop("need")
     found = similar_classes(known, index, sketches, width, percent)
     reached = found.join(least, found.node == least["class"]).groupBy("component").agg(F.min("least").alias("component_id"))
     named = least.join(found, least["class"] == found.node, "left").join(reached, "component", "left")

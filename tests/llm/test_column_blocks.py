@@ -21,7 +21,7 @@ def test_similar_sets_share_a_block(percent, size):
     for _ in range(1500):
         x = np.unique(rng.integers(0, 1 << 64, int(rng.integers(1, size)), dtype=np.uint64))
         rows += [x, edited(rng, x, len(x) * (100 - percent) // 100 + 1)]
-    hashes, whose = jaccard.block_hashes(rows, percent)
+    hashes, whose, need = jaccard.block_hashes(rows, percent)
     own = np.split(hashes[np.argsort(whose, kind="stable")], np.cumsum(np.bincount(whose, minlength=len(rows)))[:-1])
     similar = 0
     for i in range(0, len(rows), 2):
@@ -29,7 +29,8 @@ def test_similar_sets_share_a_block(percent, size):
         if len(rows[i + 1]) and both < max(len(rows[i]), len(rows[i + 1])):
             if 100 * both >= percent * (len(rows[i]) + len(rows[i + 1]) - both):
                 similar += 1
-                assert len(np.intersect1d(own[i], own[i + 1])), (rows[i], rows[i + 1])
+                steps = np.intersect1d(own[i], own[i + 1]) & np.uint64((1 << jaccard.STEP_BITS) - 1)
+                assert len(steps) and np.bincount(steps.astype(int)).max() >= max(need[i : i + 2]), (rows[i], rows[i + 1])
     assert similar or percent == 100
     assert not len(jaccard.block_hashes([np.empty(0, np.uint64)], percent)[0])
 
@@ -40,7 +41,7 @@ def test_sets_with_many_empty_blocks_meet():
     y = np.concatenate([x[16:], np.arange(1, 15, dtype=np.uint64) << np.uint64(58)])
     both = len(np.intersect1d(x, y))
     assert 100 * both >= 85 * (len(x) + len(y) - both)
-    hashes, whose = jaccard.block_hashes([x, np.sort(y)], 85)
+    hashes, whose, _ = jaccard.block_hashes([x, np.sort(y)], 85)
     assert len(np.intersect1d(hashes[whose == 0], hashes[whose == 1]))
 
 
