@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +10,8 @@ from .text import as_col, py_strip
 
 BOX = "\\boxed{"
 LETTERS = ["A", "B", "C", "D"]
+# What a box holds up to its closing brace, with braces nested up to three deep. No loop gives back what it took.
+NESTED = r"\A((?:[^{}]++|\{(?:[^{}]++|\{(?:[^{}]++|\{[^{}]*+\})*+\})*+\})*+)\}"
 # Decimal places kept when two numeric answers are compared (fixed value).
 PRECISION = 5
 
@@ -50,7 +50,8 @@ def boxed_answer(c: Column | str) -> Column:
     """Content of the last balanced box, braces nested to any depth; null without one.
 
     One pass over braces and the text between them keeps the depth and the boxes that are still open. Of nested boxes
-    the outermost one closes last, so the box closed last is the answer.
+    the outermost one closes last, so the box closed last is the answer. A single box that is not nested deeply needs no
+    such pass.
     """
     c = as_col(c)
     tail = F.substring(c, F.instr(c, BOX), F.length(c))
@@ -82,10 +83,12 @@ def boxed_answer(c: Column | str) -> Column:
         )
 
     found = F.aggregate(tokens, state, step, lambda s: F.when(s["start"] > 0, F.substring(tail, s["start"], s["size"])))
-    inside = F.substring(tail, F.lit(len(BOX) + 1), F.length(tail))
-    content = F.substring_index(inside, "}", 1)
-    single = inside.contains("}") & ~content.contains("{") & ~inside.contains(BOX)
-    return F.when(F.instr(c, BOX) > 0, F.when(single, content).otherwise(found))
+    before, after = F.substring_index(c, BOX, 1), F.substring_index(c, BOX, -1)
+    alone = F.octet_length(before) + F.octet_length(after) + F.lit(len(BOX)) == F.octet_length(c)
+    content = F.substring_index(after, "}", 1)
+    flat = alone & after.contains("}") & ~content.contains("{")
+    nested = F.when(alone, F.nullif(F.regexp_extract(after, NESTED, 1), F.lit("")))
+    return F.when(flat, content).otherwise(F.coalesce(nested, F.when(F.instr(c, BOX) > 0, found)))
 
 
 def normalize_answer(c: Column | str) -> Column:
@@ -119,11 +122,16 @@ def numeric_value(norm: Column | str) -> Column:
     """Value of a plain number, a percentage or a fraction in normalised text; null otherwise."""
     num = r"[+-]?(?:\d+(?:\.\d+)?|\.\d+)"
     fraction = rf"\A([+-]?)\\frac\{{({num})\}}\{{({num})\}}\z"
-    flat = F.regexp_replace(F.regexp_replace(as_col(norm), fraction, "$1$2/$3"), r"\A--", "")
     number = rf"\A({num})(?:/({num})|(\\?%))?\z"
-    top, under, percent = (F.regexp_extract(flat, number, i) for i in (1, 2, 3))
-    divisor = F.when(percent != "", F.lit(100.0)).when(under != "", under.try_cast("double")).otherwise(F.lit(1.0))
-    return F.try_divide(top.try_cast("double"), divisor)
+    norm = as_col(norm)
+    flat = F.regexp_replace(F.regexp_replace(norm, fraction, "$1$2/$3"), r"\A--", "")
+    flat = F.when(norm.contains("frac") | norm.startswith("--"), flat).otherwise(norm)
+    # Where the first part is found, the last sign tells the others.
+    top, under = (F.regexp_extract(flat, number, i) for i in (1, 2))
+    divisor = F.when(flat.endswith("%"), F.lit(100.0)).when(flat.contains("/"), under.try_cast("double")).otherwise(F.lit(1.0))
+    value = F.try_divide(top.try_cast("double"), divisor)
+    # Any other sign than these makes it no number.
+    return F.when(norm.rlike(r"\A[-+.\d/%\\{}]++(?:frac[-+.\d{}]++)?\z"), value)
 
 
 def answers_match(pred_norm: Column, gold_norm: Column, pred_value: Column, gold_value: Column) -> Column:
@@ -152,18 +160,12 @@ def undecided(pred_norm: Column, gold_norm: Column, pred_value: Column, gold_val
     return pred_norm.isNotNull() & gold_norm.isNotNull() & (pred_norm != gold_norm) & (pred_value.isNull() | gold_value.isNull())
 
 
-@lru_cache(maxsize=16)
-def keys_of(answers: str) -> Column:
-    """Keys of an array column of answers. Building this expression takes longer than most others, so it is kept."""
-    return F.transform(F.col(answers), answer_key)
-
-
 def with_grading(df: DataFrame, content: str = "content", gold: str = "solution", equivalence: bool = True) -> DataFrame:
     """Add ``gold_norm``, ``pred_norm`` and ``is_correct`` once; every graded reward reads these columns.
 
     With ``equivalence`` answers that differ as text and are not both plain numbers are compared as mathematics. Where all
-    answers are plain numbers it changes nothing, and leaving it off saves about a second of planning. Each regex chain
-    is bound as a column before something reads it twice.
+    answers are plain numbers it changes nothing, and leaving it off saves the second that compiling the key takes. Each
+    regex chain is bound as a column before something reads it twice.
     """
     parsed = df.withColumns(
         {"gold_norm": normalize_gold(gold), "pred_norm": normalize_answer(boxed_answer(content))}
@@ -171,9 +173,9 @@ def with_grading(df: DataFrame, content: str = "content", gold: str = "solution"
     four = [F.col(c) for c in ("pred_norm", "gold_norm", "_pred_value", "_gold_value")]
     if not equivalence:
         return parsed.select(*df.columns, "gold_norm", "pred_norm", answers_match(*four).alias("is_correct"))
-    both = parsed.withColumn("_open", F.when(undecided(*four), F.array("pred_norm", "gold_norm")))
-    keyed = both.withColumn("_keys", keys_of("_open"))
-    match = answers_equivalent(*four, F.get("_keys", F.lit(0)), F.get("_keys", F.lit(1)))
+    both = parsed.withColumn("_open", undecided(*four))
+    keyed = both.withColumns({f"_{side}_key": F.when(F.col("_open"), answer_key(f"{side}_norm")) for side in ("pred", "gold")})
+    match = answers_equivalent(*four, F.col("_pred_key"), F.col("_gold_key"))
     return keyed.select(*df.columns, "gold_norm", "pred_norm", match.alias("is_correct"))
 
 
@@ -203,7 +205,7 @@ def with_multi_gold(df: DataFrame, content: str, golds: str, out: str = "score",
 
         asked = F.when((F.col(out) < 1.0) & F.col("_pred").isNotNull(), F.concat(F.array("_pred"), F.col("_golds")))
         numbered = F.transform("_golds", lambda g, i: F.struct(g.alias("gold"), i.alias("i")))
-        graded = graded.withColumn("_open", asked).withColumn("_keys", keys_of("_open")).withColumn(
+        graded = graded.withColumn("_open", asked).withColumn("_keys", F.transform("_open", answer_key)).withColumn(
             out, F.when(F.coalesce(F.exists(numbered, equivalent), F.lit(False)), F.lit(1.0)).otherwise(F.col(out))
         )
     return graded.drop("_pred", "_pred_value", "_golds", "_open", "_keys")

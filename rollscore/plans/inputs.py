@@ -6,7 +6,7 @@ turns in those forms. Evaluation samples come from the event table, recorded cod
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.evaluation import content_digest
@@ -306,5 +306,11 @@ def answer_pairs(spark: SparkSession, sf_dir: str, forms: list[tuple[str, str]])
         "cast(l_quantity as bigint) % 45 + 2 as c",
         "if(l_linenumber % 3 = 0, 1, 0) as d",
     ).withColumn("form", (F.col("row_id") % len(forms)).cast("int"))
-    solution, answer = (F.element_at(F.array(*[F.expr(f[i]) for f in forms]), F.col("form") + 1) for i in (0, 1))
+
+    def of_form(side: int) -> Column:
+        # Only the text of the row's own form is made; forms below 0 count from the end.
+        texts, n = [F.expr(f[side]) for f in forms], len(forms) + 1
+        return F.coalesce(*[F.when(F.col("form").isin(i, i - n), text) for i, text in enumerate(texts)])
+
+    solution, answer = of_form(0), of_form(1)
     return rows.select("row_id", "form", solution.alias("solution"), F.concat(F.lit("So it is \\boxed{"), answer, F.lit("}")).alias("content"))
