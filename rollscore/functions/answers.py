@@ -104,8 +104,9 @@ def normalize_answer(c: Column | str) -> Column:
         (r"\\[dt]frac(?![a-zA-Z])", r"\\frac"),
         (r"\\[()\[\]]|\$|[\s\x{a0}]+", ""),
         (r"\.$", ""),
-        # A comma goes only if everything around it is one grouped number (at most 30 groups in front of it).
-        (r"(?<=\A[+-]?\d{1,3}(?:,\d{3}){0,30}),(?=\d{3}(?:,\d{3})*(?:\.\d+)?\z)", ""),
+        # A comma goes only if everything around it is one grouped number (at most 30 groups in front of it). Looking behind
+        # is dear, so it comes last.
+        (r",(?=\d{3}(?:,\d{3})*(?:\.\d+)?\z)(?<=\A[+-]?\d{1,3}(?:,\d{3}){0,30},)", ""),
     ]
     for pattern, replacement in steps:
         c = F.regexp_replace(c, pattern, replacement)
