@@ -437,8 +437,11 @@ def compiled_key(application: str) -> object:
     made = loader.loadClass("AnswerKey").getConstructors()[0].newInstance(
         array(jvm.java.lang.Object, [*texts, array(gateway.jvm.long, root_exponents())])
     )
+    # Asked for by its types: a plain call may also find the variant for functions of Scala, which refuses this one.
+    sql = "org.apache.spark.sql"
+    types = array(jvm.java.lang.Class, [loader.loadClass(f"{sql}.api.java.UDF1"), loader.loadClass(f"{sql}.types.DataType")])
     kind = jvm.org.apache.spark.sql.types.DataType.fromDDL("key string, value double")
-    return getattr(jvm, "org.apache.spark.sql.functions").udf(made, kind)
+    return loader.loadClass(f"{sql}.functions").getMethod("udf", types).invoke(None, array(jvm.java.lang.Object, [made, kind]))
 
 
 def answer_key(norm: Column | str) -> Column:

@@ -123,16 +123,14 @@ def numeric_value(norm: Column | str) -> Column:
     """Value of a plain number, a percentage or a fraction in normalised text; null otherwise."""
     num = r"[+-]?(?:\d+(?:\.\d+)?|\.\d+)"
     fraction = rf"\A([+-]?)\\frac\{{({num})\}}\{{({num})\}}\z"
-    number = rf"\A({num})(?:/({num})|(\\?%))?\z"
+    number = rf"\A(?:--)?({num})(?:/({num})|\\?%)?\z"
     norm = as_col(norm)
-    flat = F.regexp_replace(F.regexp_replace(norm, fraction, "$1$2/$3"), r"\A--", "")
-    flat = F.when(norm.contains("frac") | norm.startswith("--"), flat).otherwise(norm)
-    # Where the first part is found, the last sign tells the others.
-    top, under = (F.regexp_extract(flat, number, i) for i in (1, 2))
-    divisor = F.when(flat.endswith("%"), F.lit(100.0)).when(flat.contains("/"), under.try_cast("double")).otherwise(F.lit(1.0))
-    value = F.try_divide(top.try_cast("double"), divisor)
+    flat = F.regexp_replace(norm, fraction, "$1$2/$3")
+    top, under = (F.regexp_extract(flat, number, i).try_cast("double") for i in (1, 2))
+    # Where there is a number on top, these signs tell the divisor.
+    divisor = F.when(norm.endswith("%"), F.lit(100.0)).when(norm.contains("/") | norm.contains("frac"), under).otherwise(F.lit(1.0))
     # Any other sign than these makes it no number.
-    return F.when(norm.rlike(r"\A[-+.\d/%\\{}]++(?:frac[-+.\d{}]++)?\z"), value)
+    return F.when(norm.rlike(r"\A[-+.\d/%\\{}]++(?:frac[-+.\d{}]++)?\z"), F.try_divide(top, divisor))
 
 
 def answers_match(pred_norm: Column, gold_norm: Column, pred_value: Column, gold_value: Column) -> Column:

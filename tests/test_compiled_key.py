@@ -9,7 +9,7 @@ from importlib.resources import files
 import pytest
 from pyspark.sql import functions as F
 
-from rollscore.functions.algebra import LEAST_SQUARE, MOST_CHARS, SMALL, SPELLINGS, P, Q, answer_key, expression_key
+from rollscore.functions.algebra import LEAST_SQUARE, MOST_CHARS, SMALL, SPELLINGS, P, Q, answer_key, compiled_key, expression_key
 from rollscore.functions.answers import boxed_answer, normalize_answer, numeric_value
 from rollscore.plans import inputs as I
 
@@ -106,3 +106,10 @@ def test_pairs_have_the_texts_of_their_form(spark, tmp_path, forms):
     want = base.select("row_id", form.alias("form"), gold.alias("solution"), F.concat(F.lit("So it is \\boxed{"), answer, F.lit("}")).alias("content"))
     assert sorted(map(str, pairs.collect())) == sorted(map(str, want.collect()))
     assert pairs.schema == want.schema
+
+
+def test_function_is_the_one_for_java(spark):
+    """Two of Spark's functions of this name take it, and a call without types may find either."""
+    found = compiled_key(spark.sparkContext.applicationId)
+    assert "UDF1" in files("rollscore.functions").joinpath("AnswerKey.java").read_text("utf-8")
+    assert "ToScalaUDF" in found.toString()
